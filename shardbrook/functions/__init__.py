@@ -1,0 +1,21 @@
+from shardbrook.functions.measures import (
+    micros_between,
+    payload_bytes,
+    seconds,
+    statistic_set,
+    whole_millis,
+    window_bounds,
+)
+from shardbrook.functions.sequence import SEQ_WIDTH, run_of, seq_key
+
+__all__ = [
+    "SEQ_WIDTH",
+    "micros_between",
+    "payload_bytes",
+    "run_of",
+    "seconds",
+    "seq_key",
+    "statistic_set",
+    "whole_millis",
+    "window_bounds",
+]
