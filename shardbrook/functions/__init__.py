@@ -6,11 +6,12 @@ from shardbrook.functions.measures import (
     whole_millis,
     window_bounds,
 )
-from shardbrook.functions.sequence import SEQ_WIDTH, run_of, seq_key
+from shardbrook.functions.sequence import MAX_DIGITS, number_of, run_of, seq_key
 
 __all__ = [
-    "SEQ_WIDTH",
+    "MAX_DIGITS",
     "micros_between",
+    "number_of",
     "payload_bytes",
     "run_of",
     "seconds",

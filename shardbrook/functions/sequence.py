@@ -1,37 +1,55 @@
-"""Ordering of sequence numbers, which are opaque strings."""
+"""Ordering of sequence numbers, which are opaque strings of digits."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Longest sequence number a log may hold.
-SEQ_WIDTH = 128
+# Most digits a sequence number may have.
+MAX_DIGITS = 128
+
+# Digits of the length that starts a key.
+_PREFIX = 3
 
 
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def seq_key(sequence_number: Column | str) -> Column:
-    """Left-pad to a fixed width, so that text order is numeric order.
+def seq_key(sequence_number: Column | str, width: int | None = None) -> Column:
+    """A text key that sorts sequence numbers: their length, then the number.
+
+    Plain text order is wrong ('9' > '10') and no number type holds 56 digits or
+    more.  Length first gives numeric order for numbers without leading zeros,
+    and for numbers padded to one width.  The key is only three bytes longer
+    than the number, which matters because it is sorted and shuffled.  More than
+    ``MAX_DIGITS`` digits fail the job.
 
-    ``lpad`` cuts longer input silently, which would merge distinct numbers, so
-    longer input fails the job instead.
+    Where every number has the same ``width``, pass it: the key then costs no
+    more than a constant prefix.
     """
     number = _col(sequence_number)
+    if width is not None:
+        return F.concat(F.lit(f"{width:0{_PREFIX}d}"), number)
+    count = F.octet_length(number)
     too_long = F.concat(
-        F.lit(f"sequence number longer than {SEQ_WIDTH} characters: "), number
+        F.lit(f"sequence number with more than {MAX_DIGITS} digits: "), number
     )
     return F.when(
-        F.length(number) > SEQ_WIDTH, F.raise_error(too_long).cast("string")
-    ).otherwise(F.lpad(number, SEQ_WIDTH, "0"))
+        count > MAX_DIGITS, F.raise_error(too_long).cast("string")
+    ).otherwise(F.concat(F.lpad(count.cast("string"), _PREFIX, "0"), number))
+
+
+def number_of(key: Column | str) -> Column:
+    """The sequence number a key was made from."""
+    return F.substr(_col(key), F.lit(_PREFIX + 1))
 
 
 def run_of(key: Column | str = "seq_key", digits: int = 6) -> Column:
     """The stretch of a shard a record lies in: its key without the last digits.
 
     It never decreases along a shard, and holds at most ``10 ** digits`` records
-    where sequence numbers are unique digit strings.
+    where sequence numbers are unique.
     """
-    return F.substring(_col(key), 1, SEQ_WIDTH - digits)
+    key = _col(key)
+    return F.substring(key, F.lit(1), F.greatest(F.octet_length(key) - digits, F.lit(0)))

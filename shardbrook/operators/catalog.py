@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shardbrook.functions.sequence import number_of
 from shardbrook.schema import SHARD_KEYS
 
 
@@ -15,8 +16,8 @@ def shard_catalog(records: DataFrame, parents: DataFrame | None = None) -> DataF
     split or merged from; shards without a row keep NULL.
     """
     catalog = records.groupBy(*SHARD_KEYS).agg(
-        F.min_by("sequence_number", "seq_key").alias("first_sequence"),
-        F.max_by("sequence_number", "seq_key").alias("last_sequence"),
+        number_of(F.min("seq_key")).alias("first_sequence"),
+        number_of(F.max("seq_key")).alias("last_sequence"),
         F.count("*").alias("n_records"),
     )
     if parents is None:

@@ -26,24 +26,28 @@ def throughput(records: DataFrame) -> DataFrame:
     )
 
 
-def with_lag(per_shard: DataFrame) -> DataFrame:
-    """Add how far each shard's newest record is behind its stream's newest.
+def with_lag(per_shard: DataFrame, by_stream: bool = False) -> DataFrame:
+    """Add how far each shard's newest record is behind the newest of all.
 
     Works on one row per shard.  The tip is a second aggregate over those same
-    rows, so the log is scanned and shuffled once (the exchange is reused).
+    rows, so the log is scanned and shuffled once (the exchange is reused).  A
+    consumer reads one stream; where the table holds several, ``by_stream``
+    compares each shard with the tip of its own.
     """
-    tips = per_shard.groupBy("stream").agg(F.max("last_arrival").alias("_tip"))
-    return (
-        per_shard.join(tips, "stream")
-        .withColumn("lag_us", micros_between(F.col("last_arrival"), F.col("_tip")))
-        .drop("_tip")
-    )
+    if by_stream:
+        tips = per_shard.groupBy("stream").agg(F.max("last_arrival").alias("_tip"))
+        known = per_shard.join(tips, "stream")
+    else:
+        known = per_shard.withColumn("_tip", per_shard.agg(F.max("last_arrival")).scalar())
+    return known.withColumn(
+        "lag_us", micros_between(F.col("last_arrival"), F.col("_tip"))
+    ).drop("_tip")
 
 
-def lag_latest(records: DataFrame) -> DataFrame:
+def lag_latest(records: DataFrame, by_stream: bool = False) -> DataFrame:
     """The lag gauge: microseconds behind the tip, per shard."""
     newest = records.groupBy(*SHARD_KEYS).agg(F.max("arrival_ts").alias("last_arrival"))
-    return with_lag(newest)
+    return with_lag(newest, by_stream)
 
 
 def event_counts(lease_events: DataFrame, kind: str = "renewed") -> DataFrame:

@@ -38,25 +38,31 @@ def observe(records: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     return seen.unionByName(samples.select(*SHARD_KEYS, "ts", "metric", "value"))
 
 
-def _only(metric: str) -> Column:
-    return F.when(F.col("metric") == metric, F.col("value"))
-
-
 def shard_metrics(observations: DataFrame, interval: str | None = DEFAULT_INTERVAL) -> DataFrame:
-    """All per-shard metrics of each interval side by side, in one shuffle.
+    """All per-shard metrics of each interval side by side.
 
     With ``interval=None`` one row per shard over everything (cumulative form).
+    Observations are first reduced to four numbers per shard, interval and
+    metric; only those few rows are spread into columns.
     """
     keys: list[Column | str] = [*SHARD_KEYS]
     if interval:
         keys.insert(0, F.window("ts", interval).alias("w"))
-    wide = observations.groupBy(*keys).agg(
-        F.count(_only("record")).alias("n_records"),
-        F.coalesce(F.sum(_only("record")), F.lit(0.0)).cast("bigint").alias("n_bytes"),
-        *statistic_set(_only(LAG), "lag_"),
-        *statistic_set(_only(FETCH), "fetch_"),
-        *statistic_set(_only(PROCESS), "process_"),
-        F.max("ts").alias("last_ts"),
+    per_metric = observations.groupBy(*keys, "metric").agg(
+        *statistic_set("value"), F.max("ts").alias("last_ts")
+    )
+
+    def of(metric: str, column: str) -> Column:
+        return F.coalesce(
+            F.max(F.when(F.col("metric") == metric, F.col(column))), F.lit(0)
+        )
+
+    stats = ("sample_count", "sum", "maximum", "minimum")
+    wide = per_metric.groupBy(*(["w"] if interval else []), *SHARD_KEYS).agg(
+        of("record", "sample_count").cast("bigint").alias("n_records"),
+        of("record", "sum").cast("bigint").alias("n_bytes"),
+        *[of(m, s).alias(f"{m}_{s}") for m in (LAG, FETCH, PROCESS) for s in stats],
+        F.max("last_ts").alias("last_ts"),
     )
     return window_bounds(wide) if interval else wide
 

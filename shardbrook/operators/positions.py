@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import seq_key
+from shardbrook.functions.sequence import number_of, seq_key
 from shardbrook.schema import SHARD_KEYS
 from shardbrook.storage import store, write_once
 
@@ -17,11 +17,9 @@ TIPS_SCHEMA = "stream string, shard_id string, sequence_number string, tip_key s
 
 
 def shard_tips(records: DataFrame) -> DataFrame:
-    """The last sequence number of every shard."""
-    return records.groupBy(*SHARD_KEYS).agg(
-        F.max_by("sequence_number", "seq_key").alias("sequence_number"),
-        F.max("seq_key").alias("tip_key"),
-    )
+    """The last sequence number of every shard; reads the keys only."""
+    tips = records.groupBy(*SHARD_KEYS).agg(F.max("seq_key").alias("tip_key"))
+    return tips.select(*SHARD_KEYS, number_of("tip_key").alias("sequence_number"), "tip_key")
 
 
 def freeze_tips(records: DataFrame, path: str | None = None) -> DataFrame:

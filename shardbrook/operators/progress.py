@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import seq_key
+from shardbrook.functions.sequence import number_of, seq_key
 from shardbrook.schema import PROGRESS
 
 
@@ -14,9 +14,7 @@ def latest_checkpoints(records: DataFrame) -> DataFrame:
 
     No record means no row, so an empty batch moves nothing.
     """
-    return records.groupBy("shard_id").agg(
-        F.max_by("sequence_number", "seq_key").alias("sequence_id")
-    )
+    return records.groupBy("shard_id").agg(number_of(F.max("seq_key")).alias("sequence_id"))
 
 
 def manual_checkpoints(records: DataFrame, where: Column) -> DataFrame:

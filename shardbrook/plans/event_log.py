@@ -18,7 +18,8 @@ STREAM = "events"
 # Two ways to cut the log into shards: four busy ones, or one per user.
 FOUR_SHARDS = "concat('shardId-', lpad(cast(user_id % 4 AS string), 3, '0'))"
 USER_SHARDS = "cast(user_id AS string)"
-SEQUENCE = "lpad(cast(event_id AS string), 20, '0')"
+WIDTH = 20
+SEQUENCE = f"lpad(cast(event_id AS string), {WIDTH}, '0')"
 WORKER = "concat('worker-', cast(user_id % 3 AS string))"
 
 _SCHEMA = (
@@ -52,6 +53,7 @@ def records_of(events: DataFrame, shard_id: str = FOUR_SHARDS) -> DataFrame:
         partition_key="cast(user_id AS string)",
         data="encode(props, 'UTF-8')",
         arrival_ts="ts",
+        width=WIDTH,
     )
 
 
@@ -78,7 +80,7 @@ def progress_of(events: DataFrame) -> DataFrame:
         F.max_by("value", "event_id").alias("last_value"),
     ).select(
         F.expr(USER_SHARDS).alias("shard_id"),
-        F.expr("lpad(cast(at AS string), 20, '0')").alias("sequence_id"),
+        F.expr(f"lpad(cast(at AS string), {WIDTH}, '0')").alias("sequence_id"),
         "owner",
         F.expr("last_ts + INTERVAL 30 SECONDS").cast("timestamp").alias("lease_timeout"),
         F.lit(None).cast("string").alias("parent_shard_id"),

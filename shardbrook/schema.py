@@ -9,8 +9,8 @@ RECORD = T.StructType(
         T.StructField("stream", T.StringType()),
         T.StructField("shard_id", T.StringType()),
         T.StructField("sequence_number", T.StringType()),
-        # sequence_number padded for ordering; stored so that a literal bound
-        # on it reaches the Parquet scan.
+        # sequence_number in a form that sorts; stored so that a literal bound on
+        # it reaches the Parquet scan.
         T.StructField("seq_key", T.StringType()),
         T.StructField("partition_key", T.StringType()),
         T.StructField("data", T.BinaryType()),

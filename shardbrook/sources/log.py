@@ -37,13 +37,17 @@ def as_records(
     partition_key: str = "partition_key",
     data: str = "data",
     arrival_ts: str = "arrival_ts",
+    width: int | None = None,
 ) -> DataFrame:
-    """Project any table onto the RECORD layout; arguments are SQL expressions."""
+    """Project any table onto the RECORD layout; arguments are SQL expressions.
+
+    ``width`` states that all sequence numbers have that many digits.
+    """
     return df.select(
         F.lit(stream).alias("stream"),
         F.expr(shard_id).alias("shard_id"),
         F.expr(sequence_number).alias("sequence_number"),
-        seq_key(F.expr(sequence_number)).alias("seq_key"),
+        seq_key(F.expr(sequence_number), width).alias("seq_key"),
         F.expr(partition_key).alias("partition_key"),
         F.expr(data).alias("data"),
         F.expr(arrival_ts).alias("arrival_ts"),

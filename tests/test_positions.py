@@ -1,0 +1,102 @@
+import pytest
+from conftest import rows
+
+from shardbrook.operators import positions
+from shardbrook.operators.catalog import list_shards, new_shards, shard_catalog
+
+LOG = [
+    ("a", "9", 1, b"x"),
+    ("a", "10", 2, b"yy"),
+    ("a", "11", 3, None),
+    ("b", "5", 4, b"zzzz"),
+]
+
+
+def seqs(df):
+    return rows(df, "shard_id", "sequence_number")
+
+
+def test_catalog(make):
+    found = rows(shard_catalog(make.records(LOG)), "shard_id", "first_sequence", "last_sequence", "n_records")
+    assert found == [("a", "9", "11", 3), ("b", "5", "5", 1)]
+
+
+def test_catalog_with_parents(spark, make):
+    parents = spark.createDataFrame([("b", "a")], "shard_id string, parent_shard_id string")
+    found = rows(shard_catalog(make.records(LOG), parents), "shard_id", "parent_shard_id")
+    assert found == [("a", None), ("b", "a")]
+
+
+def test_new_shards(make):
+    now = list_shards(make.records(LOG))
+    assert rows(new_shards(now, now.filter("shard_id = 'a'")), "shard_id") == [("b",)]
+    assert rows(new_shards(now, now)) == []
+
+
+def test_trim_horizon_reads_all(make):
+    assert len(seqs(positions.start_at(make.records(LOG), "TRIM_HORIZON"))) == 4
+
+
+def test_latest_reads_what_came_after_the_tips(make, tmp_path):
+    path = str(tmp_path / "tips")
+    old = make.records(LOG)
+    tips = positions.freeze_tips(old, path)
+    grown = make.records([*LOG, ("a", "12", 5, b"n"), ("c", "1", 6, b"n")])
+    assert seqs(positions.start_at(grown, "LATEST", tips=tips)) == [("a", "12"), ("c", "1")]
+    # A restart finds the same tips, so nothing between is skipped.
+    again = positions.freeze_tips(grown, path)
+    assert seqs(positions.after_tips(grown, again)) == [("a", "12"), ("c", "1")]
+
+
+def test_after_sequence_is_exclusive(make):
+    found = positions.start_at(
+        make.records(LOG), "AFTER_SEQUENCE_NUMBER", sequence_number="9"
+    )
+    assert seqs(found) == [("a", "10"), ("a", "11")]
+
+
+@pytest.mark.parametrize("position", ["AT_TIMESTAMP", "", "latest"])
+def test_other_positions_are_refused(make, position):
+    with pytest.raises(ValueError):
+        positions.start_at(make.records(LOG), position)
+
+
+def test_missing_arguments_are_refused(make):
+    for position in ("LATEST", "AFTER_SEQUENCE_NUMBER"):
+        with pytest.raises(ValueError):
+            positions.start_at(make.records(LOG), position)
+
+
+def test_resume(make):
+    progress = make.progress([("a", "10", "w", False, None)])
+    assert seqs(positions.resume(make.records(LOG), progress)) == [("a", "11"), ("b", "5")]
+
+
+def test_resume_treats_empty_as_no_checkpoint(make):
+    progress = make.progress([("a", "", "w", False, None), ("b", "5", "w", False, None)])
+    assert len(seqs(positions.resume(make.records(LOG), progress))) == 3
+
+
+def test_resume_where_every_shard_has_a_checkpoint(make):
+    progress = make.progress([("a", "10", "w", False, None), ("b", "4", "w", False, None)])
+    recs = make.records(LOG)
+    assert seqs(positions.resume(recs, progress, complete=True)) == seqs(
+        positions.resume(recs, progress)
+    )
+
+
+def test_processed_and_resumed_make_the_whole(make):
+    recs = make.records(LOG)
+    progress = make.progress([("a", "9", "w", False, None)])
+    rest = seqs(positions.resume(recs, progress))
+    assert sorted(rest + [("a", "9")]) == sorted(seqs(recs))
+
+
+def test_resume_or_start_at_latest(make):
+    progress = make.progress([("a", "9", "w", False, None), ("b", "", "w", False, None)])
+    tips = positions.freeze_tips(make.records(LOG))
+    grown = make.records([*LOG, ("b", "6", 7, b"n"), ("c", "1", 8, b"n")])
+    found = positions.resume_or_start(grown, progress, "LATEST", tips)
+    assert seqs(found) == [("a", "10"), ("a", "11"), ("b", "6"), ("c", "1")]
+    with pytest.raises(ValueError):
+        positions.resume_or_start(grown, progress, "AFTER_SEQUENCE_NUMBER", tips)

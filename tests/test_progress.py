@@ -1,0 +1,133 @@
+import pytest
+from conftest import rows
+
+from shardbrook.operators import progress as p
+from shardbrook.operators.delivery import drop_duplicate_deliveries, duplicate_deliveries
+from shardbrook.schema import PROGRESS
+from shardbrook.sources import progress_table as table
+
+
+def updates(spark, *values):
+    return spark.createDataFrame(list(values), "shard_id string, sequence_id string")
+
+
+def test_latest_checkpoint_is_numeric(make):
+    recs = make.records([("a", "9", 1, b""), ("a", "10", 0, b"")])
+    assert rows(p.latest_checkpoints(recs)) == [("a", "10")]
+
+
+def test_no_records_no_checkpoint(make):
+    assert rows(p.latest_checkpoints(make.records([]))) == []
+
+
+def test_manual_checkpoint(make):
+    recs = make.records([("a", "1", 1, b"end"), ("a", "2", 2, b"more")])
+    assert rows(p.manual_checkpoints(recs, recs.data == b"end")) == [("a", "1")]
+
+
+def test_lookup_gives_empty_for_a_missing_shard(spark, make):
+    shards = spark.createDataFrame(
+        [("a", None), ("b", "a")], "shard_id string, parent_shard_id string"
+    )
+    progress = make.progress([("a", "7", "w", False, None)])
+    found = rows(p.lookup_checkpoints(shards, progress), "shard_id", "sequence_id", "parent_shard_id")
+    assert found == [("a", "7", None), ("b", "", "a")]
+
+
+def test_guarded_upsert(spark, make):
+    old = make.progress(
+        [
+            ("mine", "1", "me", True, None),
+            ("claimed", "1", "me", False, "other"),
+            ("theirs", "1", "other", False, None),
+            ("unowned", "1", None, False, None),
+            ("untouched", "1", "me", True, None),
+        ]
+    )
+    new = updates(
+        spark, ("mine", "0"), ("claimed", "2"), ("theirs", "2"), ("unowned", "2"), ("fresh", "2")
+    )
+    result = p.upsert_checkpoints(old, new, "me")
+    assert result.columns == PROGRESS.fieldNames()
+    assert rows(result, "shard_id", "sequence_id", "owner", "closed") == [
+        ("claimed", "1", "me", False),
+        ("fresh", "2", "me", False),
+        # Backwards is allowed, and a plain checkpoint opens the shard again.
+        ("mine", "0", "me", False),
+        ("theirs", "1", "other", False),
+        ("unowned", "1", None, False),
+        ("untouched", "1", "me", True),
+    ]
+    assert rows(p.refused_checkpoints(old, new, "me"), "shard_id") == [
+        ("claimed",),
+        ("theirs",),
+        ("unowned",),
+    ]
+
+
+def test_unguarded_upsert_lets_the_last_write_win(spark, make):
+    old = make.progress([("a", "1", "x", False, "claim")])
+    found = p.upsert_checkpoints(old, updates(spark, ("a", "2")))
+    assert rows(found, "shard_id", "sequence_id", "owner") == [("a", "2", "x")]
+
+
+def test_upsert_twice_changes_nothing(spark, make):
+    old = make.progress([("a", "1", "me", False, None)])
+    once = p.upsert_checkpoints(old, updates(spark, ("a", "2")), "me")
+    assert rows(p.upsert_checkpoints(once, updates(spark, ("a", "2")), "me")) == rows(once)
+
+
+def test_drained(spark, make):
+    recs = make.records([("full", "9", 1, b""), ("full", "10", 2, b""), ("left", "10", 3, b"")])
+    ended = updates(spark, ("full", "10"), ("left", "9"), ("nothing", "3"), ("unread", ""))
+    found = rows(p.drained_shards(ended, recs), "shard_id", "drained")
+    assert found == [("full", True), ("left", False), ("nothing", True), ("unread", True)]
+
+
+def test_closing(spark, make):
+    recs = make.records([("a", "1", 1, b""), ("b", "1", 2, b""), ("b", "2", 3, b""), ("c", "1", 4, b"")])
+    ended = spark.createDataFrame([("a",), ("b",)], "shard_id string")
+    marked = p.closing_updates(updates(spark, ("a", "1"), ("b", "1"), ("c", "1")), ended, recs)
+    assert rows(marked, "shard_id", "closed") == [("a", True), ("b", False), ("c", False)]
+    old = make.progress([("a", "", "me", False, None)])
+    done = p.upsert_checkpoints(old, marked, "me")
+    assert rows(done.filter("closed"), "shard_id") == [("a",)]
+
+
+def test_duplicates(make):
+    recs = make.records([("a", "1", 1, b"x"), ("a", "1", 1, b"x"), ("a", "2", 2, b"x"), ("b", "1", 1, b"x")])
+    assert rows(duplicate_deliveries(recs), "shard_id", "sequence_number", "n_delivered") == [("a", "1", 2)]
+    assert drop_duplicate_deliveries(recs).count() == 3
+
+
+def test_progress_table_versions(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    assert rows(table.read_progress(spark, path)) == []
+    for version in range(2 * table.SLOTS + 1):
+        table.write_version(make.progress([("a", str(version), "w", False, None)]), path, version)
+    assert table.latest_version(spark, path) == 2 * table.SLOTS
+    assert rows(table.read_progress(spark, path), "sequence_id") == [(str(2 * table.SLOTS),)]
+    # The slot of an old version holds a newer one by now.
+    assert table.read_version(spark, path, 0) is None
+    assert rows(table.read_version(spark, path, table.SLOTS + 1), "sequence_id") == [
+        (str(table.SLOTS + 1),)
+    ]
+
+
+def test_a_version_without_its_commit_is_not_read(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    table.write_version(make.progress([("a", "1", "w", False, None)]), path, 0)
+    cut_short = make.progress([("a", "2", "w", False, None)])
+    cut_short.selectExpr("*", "1L AS version").write.parquet(f"{path}/rows/slot=1")
+    assert rows(table.read_progress(spark, path), "sequence_id") == [("1",)]
+
+
+def test_write_once_starts_over_after_a_cut(spark, tmp_path):
+    from shardbrook.storage import write_once
+
+    path = str(tmp_path / "once")
+    spark.sql("SELECT 1 AS n").write.parquet(f"{path}/rows")
+    found = write_once(spark, path, "n int", lambda: spark.sql("SELECT 2 AS n"))
+    assert rows(found) == [(2,)]
+    again = write_once(spark, path, "n int", lambda: pytest.fail("built twice"))
+    assert rows(again) == [(2,)]
