@@ -304,34 +304,39 @@ def activity_sessions(spark, sf_dir):
 # --- hand-off and streams -------------------------------------------------------
 
 
-class _SizeOf(handoff.ShardProcessor):
-    """Returns the payload size of each record, with its place in the shard."""
-
-    def init(self, shard_id: str) -> None:
-        self.shard_id = shard_id
-        self.last = ""
-
-    def process(self, batch: pd.DataFrame) -> pd.DataFrame:
-        first, last = batch["seq_key"].iloc[0], batch["seq_key"].iloc[-1]
-        if not (self.last < first and batch["seq_key"].is_monotonic_increasing):
-            raise ValueError(f"records of {self.shard_id} out of order")
-        self.last = last
-        return pd.DataFrame(
-            {
-                "shard_id": self.shard_id,
-                "sequence_number": batch["sequence_number"],
-                "position": batch["position"],
-                "n_bytes": batch["data"].str.len(),
-            }
-        )
-
-
 def handoff_ordered(spark, sf_dir):
+    """The payload size of each record, with its place in the shard."""
+
+    # Local and without a base class, so that it travels to executors by value.
+    class SizeOf:
+        def init(self, shard_id: str) -> None:
+            self.shard_id = shard_id
+            self.last = None
+
+        def process(self, batch: pd.DataFrame) -> pd.DataFrame:
+            place = batch["position"]
+            first = place.iloc[0] if self.last is None else self.last + 1
+            if place.iloc[0] != first or not (place.diff().iloc[1:] == 1).all():
+                raise ValueError(f"records of {self.shard_id} out of order")
+            self.last = place.iloc[-1]
+            return pd.DataFrame(
+                {
+                    "shard_id": self.shard_id,
+                    "sequence_number": batch["sequence_number"],
+                    "position": place,
+                    "n_bytes": batch["data"].str.len(),
+                }
+            )
+
+        def shutdown(self) -> None:
+            pass
+
     return handoff.handoff_ordered(
         log.records(spark, sf_dir),
-        _SizeOf,
+        SizeOf,
         "shard_id string, sequence_number string, position bigint, n_bytes bigint",
         digits=4,
+        columns=["sequence_number", "position", "data"],
     )
 
 

@@ -11,7 +11,7 @@ from shardbrook.schema import RECORD
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The log as a table; filters on shard prune folders, on seq_key row groups."""
-    return spark.read.schema(RECORD).parquet(path)
+    return spark.read.schema(RECORD).parquet(path).select(*RECORD.fieldNames())
 
 
 def stream_log(
@@ -26,7 +26,7 @@ def stream_log(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*RECORD.fieldNames())
 
 
 def as_records(

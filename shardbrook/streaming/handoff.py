@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shardbrook.operators.intervals import FETCH, PROCESS
 from shardbrook.operators.progress import latest_checkpoints, upsert_checkpoints
 from shardbrook.operators.running import shard_positions
 from shardbrook.schema import SAMPLE, SHARD_KEYS
@@ -88,9 +89,10 @@ def commit_progress(
 
 
 class ShardProcessor:
-    """User code for ordered hand-off; subclass and override.
+    """User code for ordered hand-off; subclass, or write the same three methods.
 
-    One object serves one task.  ``init`` is called when a shard (or the next
+    As with all Python code on Spark, a class from a module needs that module on
+    the executors.  One object serves one task.  ``init`` is called when a shard (or the next
     stretch of one) begins, ``process`` with records of that shard in sequence
     order, ``shutdown`` once at the end.
     """
@@ -105,22 +107,13 @@ class ShardProcessor:
         pass
 
 
-def _pieces(batch: pd.DataFrame, keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Cut a sorted batch where the key changes."""
-    if batch.empty:
-        return
-    key = batch[keys]
-    starts = (key != key.shift()).any(axis=1).to_numpy().nonzero()[0].tolist()
-    for begin, end in zip(starts, [*starts[1:], len(batch)]):
-        yield tuple(key.iloc[begin]), batch.iloc[begin:end]
-
-
 def handoff_ordered(
     records: DataFrame,
     make_processor: Callable[[], ShardProcessor],
     schema: T.StructType | str | None = None,
     digits: int | None = 6,
     partitions: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Hand every shard's records to a ``ShardProcessor`` in sequence order.
 
@@ -133,9 +126,12 @@ def handoff_ordered(
     at most.  Use it on micro-batches, whose size the trigger bounds, when the
     processor must see a shard unbroken.
 
+    ``columns`` limits what is sent to Python; all columns by default.
+
     ``schema`` describes what ``process`` returns.  Without it the result is one
     SAMPLE row per call: the time ``process`` took, in whole milliseconds.
     """
+    wanted = list(columns or [*records.columns, *([] if digits is None else ["position"])])
     if digits is None:
         by = list(SHARD_KEYS)
         spread = records.repartition(*([partitions] if partitions else []), *by)
@@ -144,30 +140,40 @@ def handoff_ordered(
         spread = shard_positions(records, digits)
         if partitions:
             spread = spread.repartition(partitions, *by)
-    ordered = spread.sortWithinPartitions(*by, "seq_key")
-    shard_at = by.index("shard_id")
-    stream_at = by.index("stream")
+    # Built on the partitioning and order that are there already.
+    in_order = Window.partitionBy(*by).orderBy("seq_key")
+    ordered = (
+        spread.withColumn("_starts", F.lag(F.lit(True)).over(in_order).isNull())
+        .sortWithinPartitions(*by, "seq_key")
+        .select(
+            *wanted,
+            "_starts",
+            F.col("shard_id").alias("_shard"),
+            *([F.col("stream").alias("_stream")] if schema is None else []),
+        )
+    )
     timings = schema is None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         processor = make_processor()
-        current = None
         try:
             for batch in batches:
-                for key, piece in _pieces(batch, by):
-                    if key != current:
-                        processor.init(key[shard_at])
-                        current = key
+                starts = batch["_starts"].to_numpy()
+                cuts = sorted({0, *starts.nonzero()[0].tolist()}) if len(batch) else []
+                given = batch[wanted]
+                for begin, end in zip(cuts, [*cuts[1:], len(batch)]):
+                    if starts[begin]:
+                        processor.init(batch["_shard"].iloc[begin])
                     began = time.monotonic_ns()
-                    result = processor.process(piece.drop(columns="_stretch", errors="ignore"))
+                    result = processor.process(given.iloc[begin:end])
                     spent = float((time.monotonic_ns() - began) // 1_000_000)
                     if timings:
                         yield pd.DataFrame(
                             {
-                                "stream": [key[stream_at]],
-                                "shard_id": [key[shard_at]],
+                                "stream": [batch["_stream"].iloc[begin]],
+                                "shard_id": [batch["_shard"].iloc[begin]],
                                 "ts": [pd.Timestamp.now(tz="UTC")],
-                                "metric": ["process"],
+                                "metric": [PROCESS],
                                 "value": [spent],
                             }
                         )
@@ -176,7 +182,7 @@ def handoff_ordered(
         finally:
             processor.shutdown()
 
-    return ordered.mapInPandas(run, schema if schema is not None else SAMPLE)
+    return ordered.mapInPandas(run, SAMPLE if timings else schema)
 
 
 def batch_durations(query: StreamingQuery, stream: str) -> DataFrame:
@@ -189,7 +195,7 @@ def batch_durations(query: StreamingQuery, stream: str) -> DataFrame:
     rows = []
     for progress in query.recentProgress:
         took = progress["durationMs"]
-        for metric, field in (("fetch", "triggerExecution"), ("process", "addBatch")):
+        for metric, field in ((FETCH, "triggerExecution"), (PROCESS, "addBatch")):
             if field in took:
                 rows.append(
                     Row(

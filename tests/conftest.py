@@ -1,10 +1,16 @@
 import datetime
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# Workers import the processors defined in test modules.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [str(HERE), str(HERE.parent), os.environ.get("PYTHONPATH", "")]
+)
 
 from shardbrook.schema import LEASE_EVENT, PROGRESS, RECORD, SAMPLE  # noqa: E402
 from shardbrook.session import build_session  # noqa: E402

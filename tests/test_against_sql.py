@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -47,3 +49,25 @@ def test_query(name, spark, duck):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 4
+
+
+def test_ordered_handoff_needs_nothing_on_the_workers(tmp_path):
+    """The package is importable on the driver only."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as e\n"
+        "from shardbrook.session import build_session\n"
+        "spark = build_session('x', 'local[2]', spark_ui_enabled='false')\n"
+        f"print('rows', e.queries()['handoff_ordered'](spark, {SF_DIR!r}).count())\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code],
+        cwd=tmp_path,
+        env=environment,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert "rows 1000" in done.stdout, done.stderr[-2000:]
