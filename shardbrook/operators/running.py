@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import run_of
+from shardbrook.functions.sequence import number_of, run_of
 from shardbrook.schema import SHARD_KEYS
 
 
@@ -81,8 +81,38 @@ def lease_changes() -> Column:
     )
 
 
-def shard_positions(records: DataFrame, digits: int = 6) -> DataFrame:
-    """Number the records of each shard from 1 in sequence order."""
+def stretch_digits(records: DataFrame, target_records: int = 1_000_000) -> int:
+    """How many last digits to drop so that stretches hold about that many records.
+
+    Sequence numbers may lie far apart, so the count follows from the busiest
+    shard's records and span.  Any answer gives right positions; a good one
+    keeps both the stretches and their number small.
+    """
+    busiest = (
+        records.groupBy(*SHARD_KEYS)
+        .agg(
+            F.count("*").alias("n"),
+            number_of(F.min("seq_key")).alias("first"),
+            number_of(F.max("seq_key")).alias("last"),
+        )
+        .orderBy(F.desc("n"))
+        .first()
+    )
+    if busiest is None:
+        return 0
+    span = int(busiest.last) - int(busiest.first) + 1
+    return len(str(max(1, span * target_records // busiest.n))) - 1
+
+
+def shard_positions(
+    records: DataFrame, digits: int | None = None, target_records: int = 1_000_000
+) -> DataFrame:
+    """Number the records of each shard from 1 in sequence order.
+
+    Without ``digits`` they are chosen by ``stretch_digits``, a job over the keys.
+    """
+    if digits is None:
+        digits = stretch_digits(records, target_records)
     return running_total(
         records,
         keys=SHARD_KEYS,

@@ -363,6 +363,9 @@ _BODIES = {
         SELECT shard_id, seq AS sequence_number,
                row_number() OVER (PARTITION BY shard_id ORDER BY seq) AS position,
                n AS n_bytes FROM r""",
+    "shard_positions": """
+        SELECT shard_id, seq AS sequence_number,
+               row_number() OVER (PARTITION BY shard_id ORDER BY seq) AS position FROM r""",
     "stream_totals": """
         SELECT shard_id, count(*) AS n_records, CAST(sum(n) AS BIGINT) AS n_bytes
         FROM r GROUP BY 1""",

@@ -301,6 +301,13 @@ def activity_sessions(spark, sf_dir):
     return activity.activity_sessions(log.records(spark, sf_dir), GAP_SECONDS).drop("stream")
 
 
+def shard_positions(spark, sf_dir):
+    """Numbered records; short stretches, so that small tables have several too."""
+    return running.shard_positions(log.records(spark, sf_dir), digits=3).select(
+        "shard_id", "sequence_number", "position"
+    )
+
+
 # --- hand-off and streams -------------------------------------------------------
 
 
@@ -335,7 +342,6 @@ def handoff_ordered(spark, sf_dir):
         log.records(spark, sf_dir),
         SizeOf,
         "shard_id string, sequence_number string, position bigint, n_bytes bigint",
-        digits=4,
         columns=["sequence_number", "position", "data"],
     )
 
@@ -452,6 +458,7 @@ QUERIES: dict[str, Query] = {
         duration_stats,
         duration_histogram,
         running_gauge,
+        shard_positions,
         event_counter,
         metrics_windowed,
         metrics_hourly,

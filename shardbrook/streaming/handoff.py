@@ -111,28 +111,29 @@ def handoff_ordered(
     records: DataFrame,
     make_processor: Callable[[], ShardProcessor],
     schema: T.StructType | str | None = None,
-    digits: int | None = 6,
+    whole_shards: bool = False,
+    digits: int | None = None,
     partitions: int | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Hand every shard's records to a ``ShardProcessor`` in sequence order.
 
-    With ``digits`` a shard is cut into stretches of at most ``10 ** digits``
-    sequence numbers, handled by different tasks; each record then carries its
-    1-based ``position`` in the whole shard, and ``init`` is called per stretch.
-    That keeps a hot shard from becoming one task.
+    A shard is cut into stretches of sequence numbers, handled by different
+    tasks; each record carries its 1-based ``position`` in the whole shard, and
+    ``init`` is called per stretch.  That keeps a hot shard from becoming one
+    task.  ``digits`` sets the length of a stretch as in ``shard_positions``.
 
-    With ``digits=None`` a whole shard goes to one task, in ``partitions`` tasks
-    at most.  Use it on micro-batches, whose size the trigger bounds, when the
-    processor must see a shard unbroken.
+    With ``whole_shards`` a shard goes to one task and is not numbered, in
+    ``partitions`` tasks at most.  Use it on micro-batches, whose size the
+    trigger bounds, when the processor must see a shard unbroken.
 
     ``columns`` limits what is sent to Python; all columns by default.
 
     ``schema`` describes what ``process`` returns.  Without it the result is one
     SAMPLE row per call: the time ``process`` took, in whole milliseconds.
     """
-    wanted = list(columns or [*records.columns, *([] if digits is None else ["position"])])
-    if digits is None:
+    wanted = list(columns or [*records.columns, *([] if whole_shards else ["position"])])
+    if whole_shards:
         by = list(SHARD_KEYS)
         spread = records.repartition(*([partitions] if partitions else []), *by)
     else:

@@ -178,3 +178,15 @@ def test_publish_chooses_by_service_name(make):
     assert publish.publish("cloudwatch", long=long) is long
     with pytest.raises(ValueError, match="unknown monitoring service"):
         publish.publish("statsd", long=long)
+
+
+@pytest.mark.parametrize("gap", [1, 10**30])
+def test_stretches_suit_sparse_and_dense_numbers(make, gap):
+    first = 49590338271490256608559692538361571095921575989136588898
+    recs = make.records([("a", str(first + i * gap), i, b"") for i in range(200)])
+    digits = running.stretch_digits(recs, target_records=20)
+    numbered = running.shard_positions(recs, target_records=20)
+    sizes = [r["count"] for r in numbered.groupBy("_stretch").count().collect()]
+    assert digits == len(str(20 * gap)) - 1
+    assert max(sizes) <= 20 and len(sizes) <= 25
+    assert [r.position for r in numbered.orderBy("seq_key").collect()] == list(range(1, 201))

@@ -199,7 +199,7 @@ def _by_shard(n=300):
 
 
 def test_ordered_handoff_of_whole_shards(make):
-    result = handoff.handoff_ordered(_mixed(make), Recorder, SCHEMA, digits=None, partitions=2)
+    result = handoff.handoff_ordered(_mixed(make), Recorder, SCHEMA, whole_shards=True, partitions=2)
     for shard, numbers in _by_shard().items():
         got = sorted((r.nth, int(r.seq)) for r in result.collect() if r.shard_id == shard)
         assert got == list(enumerate(numbers))
@@ -253,7 +253,7 @@ def test_ordered_handoff_inside_a_stream(spark, make, consumer):
     consumer.push(_mixed(make))
 
     def process(batch, batch_id):
-        ordered = handoff.handoff_ordered(batch, Recorder, SCHEMA, digits=None)
+        ordered = handoff.handoff_ordered(batch, Recorder, SCHEMA, whole_shards=True)
         ordered.write.mode("append").parquet(consumer.out)
 
     consumer.run(process)
