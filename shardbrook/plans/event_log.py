@@ -32,15 +32,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_stream(
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """The same table as a stream; watermarks need a timestamp with zone.
 
-    A stream refuses the path of a single file, but takes a pattern for it.
+    Files carry no order in time.  Without a limit all of them come in one
+    micro-batch, so that no event is late; a limit suits stateless use.  A
+    stream refuses the path of a single file, but takes a pattern for it.
     """
-    return (
-        spark.readStream.schema(_SCHEMA)
-        .parquet(f"{sf_dir}/events.parque[t]")
-        .withColumn("ts", F.col("ts").cast("timestamp"))
+    reader = spark.readStream.schema(_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{sf_dir}/events.parque[t]").withColumn(
+        "ts", F.col("ts").cast("timestamp")
     )
 
 

@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR = "1 hour"
 GAP_SECONDS = 1800
+FILES_PER_BATCH = 1000
 MILLIS_EDGES = (5, 10, 25, 50, 100, 250, 500)
 
 
@@ -353,7 +354,7 @@ def handoff_batch(spark, sf_dir):
     def write(batch: DataFrame, batch_id: int) -> None:
         _payload_as_text(batch).write.mode("overwrite").parquet(f"{place}/out/batch={batch_id}")
 
-    stream = log.records_of(log.events_stream(spark, sf_dir))
+    stream = log.records_of(log.events_stream(spark, sf_dir, FILES_PER_BATCH))
     runner.run_to_end(
         handoff.start_handoff(
             stream, write, checkpoint=f"{place}/checkpoint", progress_path=f"{place}/progress"
@@ -365,7 +366,7 @@ def handoff_batch(spark, sf_dir):
 def handoff_progress(spark, sf_dir):
     """The progress table a streamed hand-off leaves behind."""
     place = shared_dir(spark, "handoff")
-    stream = log.records_of(log.events_stream(spark, sf_dir))
+    stream = log.records_of(log.events_stream(spark, sf_dir, FILES_PER_BATCH))
     runner.run_to_end(
         handoff.start_handoff(
             stream,

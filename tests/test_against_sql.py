@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")
@@ -70,4 +70,4 @@ def test_ordered_handoff_needs_nothing_on_the_workers(tmp_path):
         text=True,
         timeout=300,
     )
-    assert "rows 1000" in done.stdout, done.stderr[-2000:]
+    assert "rows 10000" in done.stdout, done.stderr[-2000:]
