@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardbrook.functions.measures import payload_bytes, statistic_set, window_bounds
+from shardbrook.functions.measures import payload_bytes, window_bounds
+from shardbrook.operators.counters import throughput
 from shardbrook.operators.running import lease_changes
+from shardbrook.operators.samples import sample_stats
 from shardbrook.schema import SHARD_KEYS
 
 DEFAULT_INTERVAL = "60 seconds"
 
 # Sample metrics, as found in SAMPLE.metric.
 LAG, FETCH, PROCESS = "lag", "fetch", "process"
+_RECORD = "record"
 
 
 def throughput_by_interval(records: DataFrame, interval: str = DEFAULT_INTERVAL) -> DataFrame:
@@ -25,46 +28,45 @@ def throughput_by_interval(records: DataFrame, interval: str = DEFAULT_INTERVAL)
     )
 
 
-def observe(records: DataFrame, samples: DataFrame | None = None) -> DataFrame:
-    """Records and samples as one table of observations, for ``shard_metrics``."""
-    seen = records.select(
-        *SHARD_KEYS,
-        F.col("arrival_ts").alias("ts"),
-        F.lit("record").alias("metric"),
-        payload_bytes().cast("double").alias("value"),
-    )
-    if samples is None:
-        return seen
-    return seen.unionByName(samples.select(*SHARD_KEYS, "ts", "metric", "value"))
-
-
-def shard_metrics(observations: DataFrame, interval: str | None = DEFAULT_INTERVAL) -> DataFrame:
+def shard_metrics(
+    records: DataFrame, samples: DataFrame, interval: str | None = DEFAULT_INTERVAL
+) -> DataFrame:
     """All per-shard metrics of each interval side by side.
 
     With ``interval=None`` one row per shard over everything (cumulative form).
-    Observations are first reduced to four numbers per shard, interval and
-    metric; only those few rows are spread into columns.
+    Records and samples are each reduced to one row per shard, interval and
+    metric; only those few rows are brought together and spread into columns.
     """
-    keys: list[Column | str] = [*SHARD_KEYS]
+    keys = [*(["window_start", "window_end"] if interval else []), *SHARD_KEYS]
     if interval:
-        keys.insert(0, F.window("ts", interval).alias("w"))
-    per_metric = observations.groupBy(*keys, "metric").agg(
-        *statistic_set("value"), F.max("ts").alias("last_ts")
+        counts = throughput_by_interval(records, interval)
+    else:
+        counts = throughput(records)
+    stats = ("sample_count", "sum", "maximum", "minimum")
+    counted = counts.select(
+        *keys,
+        F.lit(_RECORD).alias("metric"),
+        F.col("n_records").alias("sample_count"),
+        F.col("n_bytes").cast("double").alias("sum"),
+        F.lit(0.0).alias("maximum"),
+        F.lit(0.0).alias("minimum"),
     )
+    measured = sample_stats(samples, interval).select(*keys, "metric", *stats)
 
     def of(metric: str, column: str) -> Column:
         return F.coalesce(
             F.max(F.when(F.col("metric") == metric, F.col(column))), F.lit(0)
         )
 
-    stats = ("sample_count", "sum", "maximum", "minimum")
-    wide = per_metric.groupBy(*(["w"] if interval else []), *SHARD_KEYS).agg(
-        of("record", "sample_count").cast("bigint").alias("n_records"),
-        of("record", "sum").cast("bigint").alias("n_bytes"),
-        *[of(m, s).alias(f"{m}_{s}") for m in (LAG, FETCH, PROCESS) for s in stats],
-        F.max("last_ts").alias("last_ts"),
+    return (
+        counted.unionByName(measured)
+        .groupBy(*keys)
+        .agg(
+            of(_RECORD, "sample_count").cast("bigint").alias("n_records"),
+            of(_RECORD, "sum").cast("bigint").alias("n_bytes"),
+            *[of(m, s).alias(f"{m}_{s}") for m in (LAG, FETCH, PROCESS) for s in stats],
+        )
     )
-    return window_bounds(wide) if interval else wide
 
 
 def lease_metrics(lease_events: DataFrame, interval: str | None = DEFAULT_INTERVAL) -> DataFrame:

@@ -239,11 +239,9 @@ def stats_with_empty(spark, sf_dir):
 
 def metrics_long(spark, sf_dir):
     ev = log.events(spark, sf_dir)
-    seen = intervals.observe(log.records_of(ev), log.samples_of(ev))
+    per_shard = intervals.shard_metrics(log.records_of(ev), log.samples_of(ev), HOUR)
     leases = intervals.lease_metrics(log.lease_events_of(ev), HOUR)
-    return publish.flat_metrics(
-        publish.metrics_long(intervals.shard_metrics(seen, HOUR), leases, "window_end")
-    )
+    return publish.flat_metrics(publish.metrics_long(per_shard, leases, "window_end"))
 
 
 def metrics_text(spark, sf_dir):

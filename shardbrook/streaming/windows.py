@@ -49,6 +49,21 @@ def stream_sessions(records: DataFrame, gap_seconds: int, delay: str) -> DataFra
     )
 
 
-def stream_drop_duplicates(records: DataFrame, delay: str) -> DataFrame:
-    """Drop repeated deliveries that arrive within ``delay`` of each other."""
-    return records.withWatermark("arrival_ts", delay).dropDuplicatesWithinWatermark(IDENTITY)
+def stream_drop_duplicates(
+    records: DataFrame, delay: str, hot_copies: bool = True
+) -> DataFrame:
+    """Drop repeated deliveries that arrive within ``delay`` of each other.
+
+    All copies of a record must meet in one task.  So that a record with very
+    many copies does not flood it, copies read by the same task are dropped
+    first, wherever they are.  That is a second shuffle and more state; turn it
+    off where records come at most a few times.
+    """
+    rows = records.withWatermark("arrival_ts", delay)
+    if hot_copies:
+        rows = (
+            rows.withColumn("_task", F.spark_partition_id())
+            .dropDuplicatesWithinWatermark([*IDENTITY, "_task"])
+            .drop("_task")
+        )
+    return rows.dropDuplicatesWithinWatermark(IDENTITY)

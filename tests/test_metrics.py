@@ -118,7 +118,7 @@ def _long(make):
     recs = make.records([("00001", str(i), i, b"abcd") for i in range(10)] + [("00002", "1", 1, b"")])
     data = make.samples([("00001", 1, "fetch", 4), ("00001", 2, "fetch", 6)])
     leases = make.leases([(1, "00001", "abc123", 1, "gained")])
-    per_shard = intervals.shard_metrics(intervals.observe(recs, data))
+    per_shard = intervals.shard_metrics(recs, data)
     return publish.metrics_long(per_shard, intervals.lease_metrics(leases), "window_end")
 
 
@@ -190,3 +190,11 @@ def test_stretches_suit_sparse_and_dense_numbers(make, gap):
     assert digits == len(str(20 * gap)) - 1
     assert max(sizes) <= 20 and len(sizes) <= 25
     assert [r.position for r in numbered.orderBy("seq_key").collect()] == list(range(1, 201))
+
+
+def test_shard_metrics_in_total(make):
+    recs = make.records([("a", "1", 1, b"abcd"), ("a", "2", 100, b"ab")])
+    data = make.samples([("a", 1, "lag", 4), ("b", 200, "process", 6)])
+    total = intervals.shard_metrics(recs, data, None)
+    columns = ("shard_id", "n_records", "n_bytes", "lag_sum", "fetch_sample_count", "process_maximum")
+    assert rows(total, *columns) == [("a", 2, 6, 4.0, 0, 0.0), ("b", 0, 0, 0.0, 0, 6.0)]

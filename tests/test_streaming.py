@@ -309,9 +309,10 @@ def test_stream_totals_go_on_over_restarts(spark, make, consumer):
     assert rows(newest) == rows(counters.throughput(read_log(spark, consumer.log)))
 
 
-def test_stream_drops_repeats_across_batches(spark, make, consumer):
-    consumer.push(make.records([("a", "1", 1, b"x")]))
+@pytest.mark.parametrize("hot", [True, False])
+def test_stream_drops_repeats_across_batches(spark, make, consumer, hot):
+    consumer.push(make.records([("a", "1", 1, b"x")] * 50))
     consumer.push(make.records([("a", "1", 1, b"x"), ("a", "2", 2, b"x")]))
     stream = stream_log(spark, consumer.log, max_files_per_trigger=1)
-    found = _run(spark, consumer, windows.stream_drop_duplicates(stream, "1 hour"))
+    found = _run(spark, consumer, windows.stream_drop_duplicates(stream, "1 hour", hot))
     assert rows(found, "sequence_number") == [("1",), ("2",)]
