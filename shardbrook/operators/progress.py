@@ -118,7 +118,8 @@ def drained_shards(ended: DataFrame, records: DataFrame) -> DataFrame:
 def closing_updates(updates: DataFrame, ended: DataFrame, records: DataFrame) -> DataFrame:
     """Add ``closed`` to updates: the shard has ended and is drained.
 
-    Any other checkpoint writes ``closed = false`` again.
+    Any other checkpoint writes ``closed = false`` again.  ``records`` must hold
+    the ended shards whole; leaving the others out saves reading their folders.
     """
     ends = ended.select("shard_id", F.lit(True).alias("_ended"))
     marked = drained_shards(updates.join(ends, "shard_id", "left"), records)

@@ -37,9 +37,8 @@ def sample_stats_dense(shards: DataFrame, samples: DataFrame, interval_seconds:
     )
     first = per_window.agg(F.min("window_start")).scalar()
     last = per_window.agg(F.max("window_start")).scalar()
-    grid = shards.select(
-        *SHARD_KEYS, F.explode(F.sequence(first, last, seconds(interval_seconds))).alias("window_start")
-    )
+    starts = F.sequence(first, last, seconds(interval_seconds))
+    grid = shards.select(*SHARD_KEYS, F.explode(starts).alias("window_start"))
     names = ["sum", "maximum", "minimum"]
     return grid.join(per_window, [*SHARD_KEYS, "window_start"], "left").select(
         *SHARD_KEYS,

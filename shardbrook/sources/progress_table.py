@@ -9,7 +9,7 @@ predecessor and rewrites the same slot, so nothing is applied twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,48 +19,44 @@ from shardbrook.storage import read_if_present
 SLOTS = 8
 
 _ROWS = T.StructType([*PROGRESS.fields, T.StructField("version", T.LongType())])
-_COMMIT = "version bigint"
-
-
-def _slot(path: str, kind: str, version: int, slots: int) -> str:
-    return f"{path.rstrip('/')}/{kind}/slot={version % slots}"
 
 
 def empty_progress(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PROGRESS)
 
 
-def write_version(
-    progress: DataFrame, path: str, version: int, slots: int = SLOTS
-) -> None:
-    """Write one whole version of the table, then make it visible."""
-    spark = progress.sparkSession
-    rows = progress.select(*PROGRESS.fieldNames(), F.lit(version).cast("bigint").alias("version"))
-    rows.write.mode("overwrite").parquet(_slot(path, "rows", version, slots))
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(
-        1
-    ).write.mode("overwrite").parquet(_slot(path, "commits", version, slots))
-
-
-def read_version(
-    spark: SparkSession, path: str, version: int, slots: int = SLOTS
-) -> DataFrame | None:
-    """One version, or None if its slot is empty or holds another version."""
-    commit = read_if_present(spark, _slot(path, "commits", version, slots), _COMMIT)
-    if commit is None or commit.filter(F.col("version") == version).isEmpty():
+def newest_commit(spark: SparkSession, path: str, below: int | None = None) -> Row | None:
+    """The newest visible version (below a given one) and its slot.
+
+    Reads at most one row per slot.
+    """
+    commits = read_if_present(spark, f"{path.rstrip('/')}/commits", "version bigint, slot int")
+    if commits is None:
         return None
-    rows = spark.read.schema(_ROWS).parquet(_slot(path, "rows", version, slots))
-    return rows.filter(F.col("version") == version).select(*PROGRESS.fieldNames())
+    if below is not None:
+        commits = commits.filter(F.col("version") < below)
+    return commits.orderBy(F.desc("version")).first()
+
+
+def write_version(progress: DataFrame, path: str, version: int) -> None:
+    """Write one whole version of the table, then make it visible."""
+    spark, root = progress.sparkSession, path.rstrip("/")
+    before = newest_commit(spark, path, below=version)
+    slot = (before.slot + 1) % SLOTS if before else 0
+    number = F.lit(version).cast("bigint").alias("version")
+    rows = progress.select(*PROGRESS.fieldNames(), number)
+    rows.write.mode("overwrite").parquet(f"{root}/rows/slot={slot}")
+    spark.range(1).select(number).write.mode("overwrite").parquet(f"{root}/commits/slot={slot}")
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """The newest visible version; reads at most one row per slot."""
-    commits = read_if_present(spark, f"{path.rstrip('/')}/commits", _COMMIT)
-    return None if commits is None else commits.agg(F.max("version")).first()[0]
+def read_commit(spark: SparkSession, path: str, commit: Row | None) -> DataFrame:
+    """The rows of a commit; no rows without one."""
+    if commit is None:
+        return empty_progress(spark)
+    rows = spark.read.schema(_ROWS).parquet(f"{path.rstrip('/')}/rows/slot={commit.slot}")
+    return rows.filter(F.col("version") == commit.version).select(*PROGRESS.fieldNames())
 
 
-def read_progress(spark: SparkSession, path: str, slots: int = SLOTS) -> DataFrame:
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """The newest visible version; no rows before the first commit."""
-    version = latest_version(spark, path)
-    found = None if version is None else read_version(spark, path, version, slots)
-    return empty_progress(spark) if found is None else found
+    return read_commit(spark, path, newest_commit(spark, path))

@@ -15,12 +15,7 @@ from shardbrook.operators.intervals import FETCH, PROCESS
 from shardbrook.operators.progress import latest_checkpoints, upsert_checkpoints
 from shardbrook.operators.running import shard_positions
 from shardbrook.schema import SAMPLE, SHARD_KEYS
-from shardbrook.sources.progress_table import (
-    empty_progress,
-    latest_version,
-    read_version,
-    write_version,
-)
+from shardbrook.sources.progress_table import newest_commit, read_commit, write_version
 from shardbrook.storage import write_once
 from shardbrook.streaming.runner import start
 
@@ -56,8 +51,8 @@ def start_handoff(
         # A new stream goes on from the versions already in the table, and a
         # restarted one must find the number it began with.
         def next_version() -> DataFrame:
-            newest = latest_version(spark, progress_path)
-            following = 0 if newest is None else newest + 1
+            newest = newest_commit(spark, progress_path)
+            following = newest.version + 1 if newest else 0
             return spark.sql(f"SELECT {following}L AS first")
 
         base = write_once(
@@ -78,23 +73,22 @@ def start_handoff(
 def commit_progress(
     updates: DataFrame, path: str, version: int, writer: str | None = None
 ) -> None:
-    """Write version ``version``: the one before it with ``updates`` applied."""
+    """Write version ``version``: the newest one before it with ``updates`` applied."""
     spark = updates.sparkSession
-    if read_version(spark, path, version) is not None:
+    newest = newest_commit(spark, path)
+    if newest and newest.version >= version:
         return  # a replay, already applied
-    before = read_version(spark, path, version - 1) if version else None
-    if before is None:
-        before = empty_progress(spark)
+    before = read_commit(spark, path, newest)
     write_version(upsert_checkpoints(before, updates, writer), path, version)
 
 
 class ShardProcessor:
     """User code for ordered hand-off; subclass, or write the same three methods.
 
-    As with all Python code on Spark, a class from a module needs that module on
-    the executors.  One object serves one task.  ``init`` is called when a shard (or the next
+    One object serves one task.  ``init`` is called when a shard (or the next
     stretch of one) begins, ``process`` with records of that shard in sequence
-    order, ``shutdown`` once at the end.
+    order, ``shutdown`` once at the end.  As with all Python code on Spark, a
+    class from a module needs that module on the executors.
     """
 
     def init(self, shard_id: str) -> None:

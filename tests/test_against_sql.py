@@ -40,6 +40,8 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query(name, spark, duck):
     result = entry_points.queries()[name](spark, SF_DIR)
+    plan = result._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     expected = duck.sql(entry_points.oracle_sql()[name])
     assert sorted(result.columns) == sorted(expected.columns)
     found = _normal(result.collect(), result.columns)

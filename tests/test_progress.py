@@ -105,15 +105,27 @@ def test_progress_table_versions(spark, make, tmp_path):
     assert rows(table.read_progress(spark, path)) == []
     for version in range(2 * table.SLOTS + 1):
         table.write_version(make.progress([("a", str(version), "w", False, None)]), path, version)
-    assert table.latest_version(spark, path) == 2 * table.SLOTS
+    assert table.newest_commit(spark, path).version == 2 * table.SLOTS
     assert rows(table.read_progress(spark, path), "sequence_id") == [(str(2 * table.SLOTS),)]
-    # The slot of an old version holds a newer one by now.
-    assert table.read_version(spark, path, 0) is None
-    assert rows(table.read_version(spark, path, table.SLOTS + 1), "sequence_id") == [
-        (str(table.SLOTS + 1),)
+    before = table.newest_commit(spark, path, below=2 * table.SLOTS)
+    assert rows(table.read_commit(spark, path, before), "sequence_id") == [
+        (str(2 * table.SLOTS - 1),)
     ]
 
 
+def test_progress_versions_may_have_gaps(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    for version in (0, table.SLOTS, 2 * table.SLOTS, 5 * table.SLOTS):
+        table.write_version(
+            table.read_progress(spark, path).unionByName(
+                make.progress([(str(version), "1", "w", False, None)])
+            ),
+            path,
+            version,
+        )
+    assert table.read_progress(spark, path).count() == 4
+
+
 def test_a_version_without_its_commit_is_not_read(spark, make, tmp_path):
     path = str(tmp_path / "progress")
     table.write_version(make.progress([("a", "1", "w", False, None)]), path, 0)

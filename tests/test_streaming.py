@@ -110,6 +110,9 @@ def test_manual_and_disabled_checkpoints(make, consumer):
     consumer.push(make.records([("a", "3", 3, b"end")]))
     consumer.run(checkpoints_of=None)
     assert consumer.stored() == [("a", "1")]
+    consumer.push(make.records([("b", "4", 4, b"")]))
+    consumer.run()
+    assert consumer.stored() == [("a", "1"), ("b", "4")]
 
 
 def test_ended_shards_are_closed(spark, make, consumer):
