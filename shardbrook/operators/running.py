@@ -88,19 +88,16 @@ def stretch_digits(records: DataFrame, target_records: int = 1_000_000) -> int:
     shard's records and span.  Any answer gives right positions; a good one
     keeps both the stretches and their number small.
     """
-    busiest = (
-        records.groupBy(*SHARD_KEYS)
-        .agg(
-            F.count("*").alias("n"),
-            number_of(F.min("seq_key")).alias("first"),
-            number_of(F.max("seq_key")).alias("last"),
-        )
-        .orderBy(F.desc("n"))
-        .first()
-    )
+    busiest = records.groupBy(*SHARD_KEYS).agg(F.count("*").alias("n")).orderBy(F.desc("n")).first()
     if busiest is None:
         return 0
-    span = int(busiest.last) - int(busiest.first) + 1
+    one = records.filter(
+        F.col("stream").eqNullSafe(busiest.stream) & F.col("shard_id").eqNullSafe(busiest.shard_id)
+    )
+    ends = one.agg(
+        number_of(F.min("seq_key")).alias("first"), number_of(F.max("seq_key")).alias("last")
+    ).first()
+    span = int(ends.last) - int(ends.first) + 1
     return len(str(max(1, span * target_records // busiest.n))) - 1
 
 
@@ -109,7 +106,7 @@ def shard_positions(
 ) -> DataFrame:
     """Number the records of each shard from 1 in sequence order.
 
-    Without ``digits`` they are chosen by ``stretch_digits``, a job over the keys.
+    Without ``digits`` they are chosen by ``stretch_digits``: two small jobs.
     """
     if digits is None:
         digits = stretch_digits(records, target_records)
