@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardbrook.llm import bpe, packing, rules, simhash, topk
+from shardbrook.llm import bpe, langid, packing, quality, rules, simhash, topk
 from shardbrook.llm.common import table
 
 
@@ -25,10 +25,21 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ranking = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, ranking)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
 def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_products(vectors, vectors.where("id % 50 = 0"))
@@ -44,7 +55,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_ranking": op4_quality_ranking,
     "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op8_top_products": op8_top_products,
     "op9_simhash": op9_simhash,
 }
