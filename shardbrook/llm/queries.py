@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardbrook.llm import bpe, langid, packing, quality, rules, simhash, topk
+from shardbrook.llm import bpe, langid, packing, quality, rules, secrets, simhash, topk
 from shardbrook.llm.common import table
 
 
@@ -52,6 +52,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+        "n_live",
+        "n_copied",
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -60,4 +74,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_top_products": op8_top_products,
     "op9_simhash": op9_simhash,
+    "op10_secret_scan": op10_secret_scan,
 }
