@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardbrook.llm import bpe, langid, packing, quality, rules, secrets, simhash, topk
+from shardbrook.llm import (
+    bpe,
+    langid,
+    licenses,
+    packing,
+    quality,
+    rules,
+    secrets,
+    simhash,
+    topk,
+)
 from shardbrook.llm.common import table
 
 
@@ -21,6 +31,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -68,6 +82,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_license_scan": op2_license_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_ranking": op4_quality_ranking,
     "op6_quality_rules": op6_quality_rules,
