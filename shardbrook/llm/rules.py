@@ -25,7 +25,7 @@ MAX_REPEAT_PERCENT = 20
 BUCKETS = 1 << 16
 # A document whose n-grams are, on average, this much rarer in trusted text than in
 # the corpus is rejected.
-THRESHOLD = -0.15
+THRESHOLD = -0.1
 
 
 def _hashes(df: DataFrame, id_col: str, text_col: str, own: list[str]) -> DataFrame:
@@ -111,26 +111,30 @@ def _measured(df: DataFrame) -> DataFrame:
 
 
 def _bucket(hashed: Column, buckets: int) -> Column:
-    return F.pmod(hashed, F.lit(buckets)).cast("int")
+    """``buckets`` is a power of two."""
+    return hashed.bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
-def log_ratios(measured: DataFrame, trusted: Column, buckets: int) -> DataFrame:
+def log_ratios(hashed: DataFrame, trusted: Column, buckets: int) -> DataFrame:
     """One row, ``ratios``: per bucket the log of its trusted over its corpus probability.
 
     Counts of both multinomials are smoothed by one half.
     """
-    pairs = _windows(F.col("_n"), F.col("_hash"), 2)
-    grams = F.transform(F.concat("_hash", pairs), lambda h: _bucket(h, buckets))
     counts = (
-        measured.select(F.coalesce(trusted, F.lit(False)).cast("long").alias("t"), grams.alias("g"))
+        hashed.withColumn("_pairs", _windows(F.col("_n"), F.col("_hash"), 2))
+        .select(
+            F.coalesce(trusted, F.lit(False)).cast("long").alias("t"),
+            F.concat("_hash", "_pairs").alias("g"),
+        )
         # The outer form: the plain one adds a filter on "g", which the planner moves down
         # and which would then compute the hashes anew for every window.
-        .select("t", F.explode_outer("g").alias("bucket"))
+        .select("t", F.explode_outer("g").alias("h"))
+        .select("t", _bucket(F.col("h"), buckets).alias("bucket"))
         .groupBy("bucket")
         .agg(F.sum("t").alias("t"), F.count("*").alias("a"))
     )
     # One row per bucket from here on, whatever the corpus.
-    every = measured.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    every = hashed.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(counts, "bucket", "left").select(
         "bucket", F.coalesce("t", F.lit(0)).alias("t"), F.coalesce("a", F.lit(0)).alias("a")
     )
@@ -148,11 +152,12 @@ def log_ratios(measured: DataFrame, trusted: Column, buckets: int) -> DataFrame:
 
 
 def default_trust() -> Column:
-    """Documents that pass the base rules with few symbols and few repeats."""
+    """Texts with enough words, hardly a symbol, and mostly distinct pairs of words."""
+    symbols = F.length(F.regexp_replace("_text", SYMBOLS, ""))
     return (
-        ~F.col("base_failed")
-        & (100 * F.col("n_symbols") <= F.col("n_words"))
-        & (100 * F.col("n_repeat_words") <= 5 * F.col("n_words"))
+        (F.col("_n") >= MIN_WORDS)
+        & (100 * symbols <= F.col("_n"))
+        & (2 * F.size(F.array_distinct("_pairs")) >= F.size("_pairs"))
     )
 
 
@@ -170,7 +175,7 @@ def judge(
 
     Returns ``id_col``, the ``keep`` columns and ``n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, score, kept``.  ``trusted`` is a
-    condition on these counts.  A null or empty text has no words and fails the base
+    condition on ``_text``, its words ``_words`` (``_n`` of them) and ``keep`` columns.  A null or empty text has no words and fails the base
     rules; its score is 0.  Null and repeated ids are taken like any other row;
     columns not named are not read, and a ``keep`` column may have any name but
     those of the result.
@@ -180,8 +185,9 @@ def judge(
     ``buckets`` numbers.
     """
     own = list(keep)
-    measured = _measured(_hashes(docs, id_col, text_col, own))
-    model = log_ratios(measured, default_trust() if trusted is None else trusted, buckets)
+    hashed = _hashes(docs, id_col, text_col, own)
+    measured = _measured(hashed)
+    model = log_ratios(hashed, default_trust() if trusted is None else trusted, buckets)
     # One number per bucket, in thousandths; folded to a constant array by the planner.
     listed = model.select(
         F.to_json(F.transform("ratios", lambda r: F.round(r * 1000).cast("int"))).alias("r")
