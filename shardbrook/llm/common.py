@@ -29,6 +29,17 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(remainder == 2, F.lit(True))
 
 
+def where_settled(df: DataFrame, condition: str) -> DataFrame:
+    """The rows where a boolean column that is costly to compute is true.
+
+    A plain filter is moved down to the scan, with all that its column is made of
+    written out anew inside it, once for each place that uses it.  A column whose
+    value depends on the row's place keeps the filter where it stands.
+    """
+    marked = df.withColumn("_settled", F.monotonically_increasing_id())
+    return marked.where(F.col(condition) & (F.col("_settled") >= 0)).drop("_settled")
+
+
 def map_rows(
     df: DataFrame,
     setup: Callable[[], Callable[[list], Iterator[tuple[tuple, int]] | list]],

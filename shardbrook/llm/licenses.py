@@ -108,8 +108,6 @@ GRAM = 4
 DRIFT = 8  # diagonals of one span lie no further apart
 LEAST_SCORE = 0.6
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def template_words(text: str) -> list[str]:
     return [w for w in re.split(SEPARATOR, text.lower()) if w]
@@ -205,7 +203,8 @@ def scan(
         docs.select(
             F.monotonically_increasing_id().alias("_row"),
             F.col(id_col).alias("_id"),
-            F.translate(whole_text(text_col), UPPER, LOWER).alias("_lower"),
+            # Other letters change too, but none into a separator or a letter of a phrase.
+            F.lower(whole_text(text_col)).alias("_lower"),
         )
         .withColumn("_words", F.array_remove(F.split("_lower", SEPARATOR), ""))
         .withColumn("_joined", F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" ")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shardbrook.llm import (
     bpe,
+    html_extract,
     langid,
     licenses,
     packing,
@@ -45,6 +46,11 @@ def op4_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, ranking)
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
@@ -85,6 +91,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_ranking": op4_quality_ranking,
+    "op5_html_extract": op5_html_extract,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_top_products": op8_top_products,
