@@ -203,13 +203,16 @@ def learn(
         whole_text(text_col).alias("_text"),
         (~held_out(id_col)).alias("_seen"),
     ).where("_seen AND _lang IS NOT NULL")
-    counts = labelled.groupBy("_lang").agg(F.count("*").alias("_n"))
+    # As many rows as the network has outputs.
+    counts = {r["_lang"]: r["count"] for r in labelled.groupBy("_lang").count().collect()}
+    if not counts:
+        return None
+    rates = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, per_language / n)))
     share = F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1_000_000)) / 1e6
     room = F.greatest(F.length("_text") - SAMPLE_CHARS, F.lit(0)) + 1
     place = (F.pmod(F.xxhash64("_id", F.lit(4)), room) + 1).cast("int")
     chosen = (
-        labelled.join(counts, "_lang")
-        .where(share < F.lit(float(per_language)) / F.col("_n"))
+        labelled.where(share < F.element_at(rates, F.col("_lang")))
         .select("_lang", "_id", F.substring("_text", place, F.lit(SAMPLE_CHARS)).alias("_text"))
         .where(F.col("_text").rlike(r"\p{L}"))
         # A repeated id may stand for many rows of one rate.
