@@ -29,15 +29,16 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(remainder == 2, F.lit(True))
 
 
-def where_settled(df: DataFrame, condition: str) -> DataFrame:
-    """The rows where a boolean column that is costly to compute is true.
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, with columns that are computed once whatever is done to them.
 
-    A plain filter is moved down to the scan, with all that its column is made of
-    written out anew inside it, once for each place that uses it.  A column whose
-    value depends on the row's place keeps the filter where it stands.
+    A filter on a column is moved down to the scan, with all that the column is made
+    of written out anew inside it, once for each place that uses it; with functions
+    over arrays that multiplies.  Columns whose value depends on the row's place keep
+    the filter above them.
     """
-    marked = df.withColumn("_settled", F.monotonically_increasing_id())
-    return marked.where(F.col(condition) & (F.col("_settled") >= 0)).drop("_settled")
+    row = F.when(F.monotonically_increasing_id() >= 0, F.struct(*df.columns))
+    return df.select(row.alias("_settled")).select("_settled.*")
 
 
 def map_rows(

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardbrook.llm.common import whole_text
+from shardbrook.llm.common import settled, whole_text
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[^#*$%&|<>]+"  # what is not a symbol
@@ -203,7 +203,7 @@ def judge(
         _windows(F.col("_n"), F.col("_hash"), 2), zero, lambda total, h: total + ratio(h)
     )
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    return (
+    return settled(
         measured.withColumn("score", (ones + pairs) / (1000.0 * grams))
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
         .select(
