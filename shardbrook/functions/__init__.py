@@ -1,22 +0,0 @@
-from shardbrook.functions.measures import (
-    micros_between,
-    payload_bytes,
-    seconds,
-    statistic_set,
-    whole_millis,
-    window_bounds,
-)
-from shardbrook.functions.sequence import MAX_DIGITS, number_of, run_of, seq_key
-
-__all__ = [
-    "MAX_DIGITS",
-    "micros_between",
-    "number_of",
-    "payload_bytes",
-    "run_of",
-    "seconds",
-    "seq_key",
-    "statistic_set",
-    "whole_millis",
-    "window_bounds",
-]

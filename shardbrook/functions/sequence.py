@@ -2,42 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Most digits a sequence number may have.
-MAX_DIGITS = 128
+# Digits of the length that starts a key: enough for any string that Spark can hold
+# in a row next to others (99,999,999 digits).
+_PREFIX = 8
 
-# Digits of the length that starts a key.
-_PREFIX = 3
+# Digits that fit a bigint whatever they are.
+_TAIL = 18
 
 
 def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def seq_key(sequence_number: Column | str, width: int | None = None) -> Column:
+def seq_key(sequence_number: Column | str) -> Column:
     """A text key that sorts sequence numbers: their length, then the number.
 
     Plain text order is wrong ('9' > '10') and no number type holds 56 digits or
     more.  Length first gives numeric order for numbers without leading zeros,
-    and for numbers padded to one width.  The key is only three bytes longer
-    than the number, which matters because it is sorted and shuffled.  More than
-    ``MAX_DIGITS`` digits fail the job.
-
-    Where every number has the same ``width``, pass it: the key then costs no
-    more than a constant prefix.
+    and for numbers padded to one width.  The key is only eight bytes longer than
+    the number, which matters because it is sorted and shuffled.
     """
     number = _col(sequence_number)
-    if width is not None:
-        return F.concat(F.lit(f"{width:0{_PREFIX}d}"), number)
-    count = F.octet_length(number)
-    too_long = F.concat(
-        F.lit(f"sequence number with more than {MAX_DIGITS} digits: "), number
-    )
-    return F.when(
-        count > MAX_DIGITS, F.raise_error(too_long).cast("string")
-    ).otherwise(F.concat(F.lpad(count.cast("string"), _PREFIX, "0"), number))
+    return F.concat(F.lpad(F.octet_length(number).cast("string"), _PREFIX, "0"), number)
 
 
 def number_of(key: Column | str) -> Column:
@@ -53,3 +44,32 @@ def run_of(key: Column | str, digits: int) -> Column:
     """
     key = _col(key)
     return F.substring(key, F.lit(1), F.greatest(F.octet_length(key) - digits, F.lit(0)))
+
+
+def key_bounds(records: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by, first_key, last_key, n_records``: the ends of each group of records.
+
+    Spark has no hash aggregate for the largest text; it would sort the whole log.
+    So keys are cut into a head and their last digits as a number: the numbers are
+    reduced by hash, in each task first, and only what is left (a few heads per
+    group) is compared as text.  A null key is counted and else left out; one whose
+    last digits are not digits fails the job.
+    """
+    key = F.col("seq_key")
+    heads = records.groupBy(
+        *by, run_of(key, _TAIL).alias("_head"), F.octet_length(key).alias("_size")
+    ).agg(
+        F.min(F.substring(key, -_TAIL, _TAIL).cast("bigint")).alias("_low"),
+        F.max(F.substring(key, -_TAIL, _TAIL).cast("bigint")).alias("_high"),
+        F.count("*").alias("_n"),
+    )
+    width = F.least(F.col("_size"), F.lit(_TAIL))
+
+    def whole(tail: str) -> Column:
+        return F.concat("_head", F.lpad(F.col(tail).cast("string"), width, F.lit("0")))
+
+    return heads.groupBy(*by).agg(
+        F.min(whole("_low")).alias("first_key"),
+        F.max(whole("_high")).alias("last_key"),
+        F.sum("_n").alias("n_records"),
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardbrook.functions.measures import micros_between, seconds
+from shardbrook.operators.counters import with_lag
 from shardbrook.schema import SHARD_KEYS
 
 DEFAULT_LEASE_SECONDS = 30
@@ -22,15 +23,14 @@ def stalled_shards(
 ) -> DataFrame:
     """Shards silent for longer than the lease at ``as_of``.
 
-    Without ``as_of`` the newest record of the whole input is taken.
+    Without ``as_of`` the newest record of the shard's own stream is taken.
     """
     newest = records.groupBy(*SHARD_KEYS).agg(F.max("arrival_ts").alias("last_arrival"))
     if as_of is None:
-        as_of = newest.agg(F.max("last_arrival")).scalar()
-    return (
-        newest.withColumn("silent_us", micros_between(F.col("last_arrival"), as_of))
-        .filter(F.col("silent_us") > lease_seconds * 1_000_000)
-    )
+        silent = with_lag(newest).withColumnRenamed("lag_us", "silent_us")
+    else:
+        silent = newest.withColumn("silent_us", micros_between(F.col("last_arrival"), as_of))
+    return silent.filter(F.col("silent_us") > lease_seconds * 1_000_000)
 
 
 def _buckets(records: DataFrame, gap_seconds: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import number_of
+from shardbrook.functions.sequence import key_bounds, number_of
 from shardbrook.schema import SHARD_KEYS
 
 
@@ -15,10 +15,11 @@ def shard_catalog(records: DataFrame, parents: DataFrame | None = None) -> DataF
     ``parents`` (``shard_id, parent_shard_id``) adds the shard each one was
     split or merged from; shards without a row keep NULL.
     """
-    catalog = records.groupBy(*SHARD_KEYS).agg(
-        number_of(F.min("seq_key")).alias("first_sequence"),
-        number_of(F.max("seq_key")).alias("last_sequence"),
-        F.count("*").alias("n_records"),
+    catalog = key_bounds(records, SHARD_KEYS).select(
+        *SHARD_KEYS,
+        number_of("first_key").alias("first_sequence"),
+        number_of("last_key").alias("last_sequence"),
+        "n_records",
     )
     if parents is None:
         return catalog.withColumn("parent_shard_id", F.lit(None).cast("string"))

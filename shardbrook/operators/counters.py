@@ -26,28 +26,28 @@ def throughput(records: DataFrame) -> DataFrame:
     )
 
 
-def with_lag(per_shard: DataFrame, by_stream: bool = False) -> DataFrame:
-    """Add how far each shard's newest record is behind the newest of all.
+def with_lag(per_shard: DataFrame) -> DataFrame:
+    """Add how far each shard's newest record is behind the newest of its stream.
 
-    Works on one row per shard.  The tip is a second aggregate over those same
-    rows, so the log is scanned and shuffled once (the exchange is reused).  A
-    consumer reads one stream; where the table holds several, ``by_stream``
-    compares each shard with the tip of its own.
+    Works on one row per shard.  The tips are a second aggregate over those same
+    rows, so the log is scanned and shuffled once (the exchange is reused); they
+    come as one map with an entry per stream.
     """
-    if by_stream:
-        tips = per_shard.groupBy("stream").agg(F.max("last_arrival").alias("_tip"))
-        known = per_shard.join(tips, "stream")
-    else:
-        known = per_shard.withColumn("_tip", per_shard.agg(F.max("last_arrival")).scalar())
-    return known.withColumn(
+    tips = per_shard.where("stream IS NOT NULL").groupBy("stream").agg(
+        F.max("last_arrival").alias("tip")
+    )
+    by_stream = tips.agg(
+        F.map_from_entries(F.collect_list(F.struct("stream", "tip")))
+    ).scalar()
+    return per_shard.withColumn("_tip", by_stream[F.col("stream")]).withColumn(
         "lag_us", micros_between(F.col("last_arrival"), F.col("_tip"))
     ).drop("_tip")
 
 
-def lag_latest(records: DataFrame, by_stream: bool = False) -> DataFrame:
-    """The lag gauge: microseconds behind the tip, per shard."""
+def lag_latest(records: DataFrame) -> DataFrame:
+    """The lag gauge: microseconds behind the stream's tip, per shard."""
     newest = records.groupBy(*SHARD_KEYS).agg(F.max("arrival_ts").alias("last_arrival"))
-    return with_lag(newest, by_stream)
+    return with_lag(newest)
 
 
 def event_counts(lease_events: DataFrame, kind: str = "renewed") -> DataFrame:

@@ -20,5 +20,18 @@ def duplicate_deliveries(deliveries: DataFrame) -> DataFrame:
 
 
 def drop_duplicate_deliveries(deliveries: DataFrame) -> DataFrame:
-    """Keep one copy of each record (batch input)."""
-    return deliveries.dropDuplicates(IDENTITY)
+    """Keep one copy of each record (batch input).
+
+    Repeats are found on the identity columns alone; payloads are only brought
+    together where a record came more than once.
+    """
+    repeated = duplicate_deliveries(deliveries).select(
+        *(F.col(c).alias(f"_{c}") for c in IDENTITY)
+    )
+    same = F.lit(True)
+    for c in IDENTITY:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    once = deliveries.join(repeated, same, "left_anti")
+    return once.unionByName(
+        deliveries.join(repeated, same, "left_semi").dropDuplicates(IDENTITY)
+    )

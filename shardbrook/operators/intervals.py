@@ -47,11 +47,14 @@ def shard_metrics(
         *keys,
         F.lit(_RECORD).alias("metric"),
         F.col("n_records").alias("sample_count"),
-        F.col("n_bytes").cast("double").alias("sum"),
+        "n_bytes",
+        F.lit(0.0).alias("sum"),
         F.lit(0.0).alias("maximum"),
         F.lit(0.0).alias("minimum"),
     )
-    measured = sample_stats(samples, interval).select(*keys, "metric", *stats)
+    measured = sample_stats(samples, interval).select(
+        *keys, "metric", *stats, F.lit(0).cast("bigint").alias("n_bytes")
+    )
 
     def of(metric: str, column: str) -> Column:
         return F.coalesce(
@@ -63,7 +66,7 @@ def shard_metrics(
         .groupBy(*keys)
         .agg(
             of(_RECORD, "sample_count").cast("bigint").alias("n_records"),
-            of(_RECORD, "sum").cast("bigint").alias("n_bytes"),
+            F.max("n_bytes").alias("n_bytes"),
             *[of(m, s).alias(f"{m}_{s}") for m in (LAG, FETCH, PROCESS) for s in stats],
         )
     )

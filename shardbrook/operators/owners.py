@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardbrook.schema import SHARD_KEYS
+
 
 def _invalid() -> Column:
     return F.col("owner").isNull() | F.col("shard_id").isNull()
@@ -36,14 +38,14 @@ def owner_loads(
 ) -> DataFrame:
     """Load of each owner: its number of shards, and their weight.
 
-    ``weights`` (``shard_id, weight``) can hold records or bytes per shard;
+    ``weights`` (``stream, shard_id, weight``) can hold records or bytes per shard;
     without it a shard weighs 1.
     """
-    rows = valid_rows(progress, strict).select("owner", "shard_id")
+    rows = valid_rows(progress, strict).select("owner", *SHARD_KEYS)
     if weights is None:
         weighed = rows.withColumn("weight", F.lit(1).cast("bigint"))
     else:
-        weighed = rows.join(weights.select("shard_id", "weight"), "shard_id", "left").withColumn(
+        weighed = rows.join(weights.select(*SHARD_KEYS, "weight"), SHARD_KEYS, "left").withColumn(
             "weight", F.coalesce("weight", F.lit(0))
         )
     return weighed.groupBy("owner").agg(
@@ -53,7 +55,7 @@ def owner_loads(
 
 def active_owners(progress: DataFrame, strict: bool = False) -> DataFrame:
     """The shards of each owner, one row per shard, with the owner's total."""
-    rows = valid_rows(progress, strict).select("owner", "shard_id")
+    rows = valid_rows(progress, strict).select("owner", *SHARD_KEYS)
     return rows.join(rows.groupBy("owner").agg(F.count("*").alias("n_shards")), "owner")
 
 

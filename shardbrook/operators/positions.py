@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import number_of, seq_key
+from shardbrook.functions.sequence import key_bounds, number_of, seq_key
 from shardbrook.schema import SHARD_KEYS
 from shardbrook.storage import store, write_once
 
@@ -18,7 +18,7 @@ TIPS_SCHEMA = "stream string, shard_id string, sequence_number string, tip_key s
 
 def shard_tips(records: DataFrame) -> DataFrame:
     """The last sequence number of every shard; reads the keys only."""
-    tips = records.groupBy(*SHARD_KEYS).agg(F.max("seq_key").alias("tip_key"))
+    tips = key_bounds(records, SHARD_KEYS).withColumnRenamed("last_key", "tip_key")
     return tips.select(*SHARD_KEYS, number_of("tip_key").alias("sequence_number"), "tip_key")
 
 
@@ -85,11 +85,11 @@ def resume(records: DataFrame, progress: DataFrame, complete: bool = False) -> D
     the log has a checkpoint: then no record at or below the smallest one can
     qualify, and that bound goes to the scan of a stored log ahead of the join.
     """
-    bounds = progress.select("shard_id", _checkpoint_key().alias("ckpt_key"))
+    bounds = progress.select(*SHARD_KEYS, _checkpoint_key().alias("ckpt_key"))
     if complete:
         records = records.filter(F.col("seq_key") > bounds.agg(F.min("ckpt_key")).scalar())
     return (
-        records.join(bounds, "shard_id", "left")
+        records.join(bounds, SHARD_KEYS, "left")
         .filter(F.col("ckpt_key").isNull() | (F.col("seq_key") > F.col("ckpt_key")))
         .drop("ckpt_key")
     )
@@ -108,11 +108,11 @@ def resume_or_start(
         raise ValueError(f"a first start can be {TRIM_HORIZON} or {LATEST}, not {position}")
     if tips is None:
         raise ValueError("LATEST needs the tips taken at the first start")
-    stored = progress.select("shard_id", _checkpoint_key().alias("_key"))
+    stored = progress.select(*SHARD_KEYS, _checkpoint_key().alias("_key"))
     # A checkpoint replaces the tip of its shard.
     return (
         records.join(tips.select(*SHARD_KEYS, "tip_key"), SHARD_KEYS, "left")
-        .join(stored, "shard_id", "left")
+        .join(stored, SHARD_KEYS, "left")
         .withColumn("_from", F.coalesce("_key", "tip_key"))
         .filter(F.col("_from").isNull() | (F.col("seq_key") > F.col("_from")))
         .drop("tip_key", "_key", "_from")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import number_of, seq_key
-from shardbrook.schema import PROGRESS
+from shardbrook.functions.sequence import key_bounds, number_of, seq_key
+from shardbrook.schema import PROGRESS, SHARD_KEYS
 
 
 def latest_checkpoints(records: DataFrame) -> DataFrame:
@@ -14,7 +14,8 @@ def latest_checkpoints(records: DataFrame) -> DataFrame:
 
     No record means no row, so an empty batch moves nothing.
     """
-    return records.groupBy("shard_id").agg(number_of(F.max("seq_key")).alias("sequence_id"))
+    newest = key_bounds(records, SHARD_KEYS)
+    return newest.select(*SHARD_KEYS, number_of("last_key").alias("sequence_id"))
 
 
 def manual_checkpoints(records: DataFrame, where: Column) -> DataFrame:
@@ -25,14 +26,14 @@ def manual_checkpoints(records: DataFrame, where: Column) -> DataFrame:
 def lookup_checkpoints(shards: DataFrame, progress: DataFrame) -> DataFrame:
     """The stored progress of each shard; a shard without any gets ''."""
     stored = progress.select(
-        "shard_id",
+        *SHARD_KEYS,
         "sequence_id",
         "owner",
         "lease_timeout",
         "claim_request",
         F.col("parent_shard_id").alias("_parent"),
     )
-    found = shards.join(stored, "shard_id", "left").withColumn(
+    found = shards.join(stored, SHARD_KEYS, "left").withColumn(
         "sequence_id", F.coalesce("sequence_id", F.lit(""))
     )
     # A stored parent wins over the one in the shard list.
@@ -50,8 +51,8 @@ def upsert_checkpoints(
 ) -> DataFrame:
     """Apply new checkpoints to the progress table and return all of it.
 
-    ``updates`` has ``shard_id, sequence_id`` and optionally ``closed`` (false if
-    absent) and ``owner`` (who writes; ``writer`` if absent), one row per shard.
+    ``updates`` has ``stream, shard_id, sequence_id`` and optionally ``closed`` (false if
+    absent) and ``owner`` (who writes; ``writer`` if absent); of several rows for a shard the furthest counts.
     A row changes only when no claim on it is pending and its owner is the
     writer.  With no writer at all the last write wins.  A shard without a row
     is added.  A checkpoint may move backwards: nothing compares it with the
@@ -59,8 +60,9 @@ def upsert_checkpoints(
 
     Both sides hold one row per shard, so the join has no hot key.
     """
-    new = updates.select(
-        F.col("shard_id"),
+    furthest = F.max_by(F.struct(*updates.columns), seq_key("sequence_id")).alias("u")
+    new = updates.groupBy(*SHARD_KEYS).agg(furthest).select("u.*").select(
+        *SHARD_KEYS,
         F.lit(True).alias("_has_new"),
         F.col("sequence_id").alias("_sequence_id"),
         (F.coalesce("closed", F.lit(False)) if "closed" in updates.columns else F.lit(False))
@@ -85,14 +87,14 @@ def upsert_checkpoints(
         "closed": F.when(write, F.col("_closed")).otherwise(F.col("closed")),
         "owner": F.when(has_old, F.col("owner")).otherwise(F.col("_writer")),
     }
-    joined = old.join(new, "shard_id", "full_outer")
+    joined = old.join(new, SHARD_KEYS, "full_outer")
     return joined.select(*[changed.get(n, F.col(n)).alias(n) for n in PROGRESS.fieldNames()])
 
 
 def refused_checkpoints(progress: DataFrame, updates: DataFrame, writer: str) -> DataFrame:
     """Updates the guard turns away: a pending claim or another owner."""
-    stored = progress.select("shard_id", "owner", "claim_request")
-    return updates.join(stored, "shard_id").filter(
+    stored = progress.select(*SHARD_KEYS, "owner", "claim_request")
+    return updates.join(stored, SHARD_KEYS).filter(
         F.col("claim_request").isNotNull()
         | F.col("owner").isNull()
         | (F.col("owner") != writer)
@@ -102,14 +104,14 @@ def refused_checkpoints(progress: DataFrame, updates: DataFrame, writer: str) ->
 def drained_shards(ended: DataFrame, records: DataFrame) -> DataFrame:
     """Ended shards with no record after their checkpoint, with ``drained``.
 
-    ``ended`` has ``shard_id, sequence_id``.  The log is first reduced to one tip
+    ``ended`` has ``stream, shard_id, sequence_id``.  The log is first reduced to one tip
     per shard on the map side; joining it record by record would send a whole
     hot shard to one task.
     """
-    tips = records.groupBy("shard_id").agg(F.max("seq_key").alias("_tip"))
+    tips = key_bounds(records, SHARD_KEYS).select(*SHARD_KEYS, F.col("last_key").alias("_tip"))
     at = seq_key(F.coalesce("sequence_id", F.lit("")))
     return (
-        ended.join(tips, "shard_id", "left")
+        ended.join(tips, SHARD_KEYS, "left")
         .withColumn("drained", F.col("_tip").isNull() | (F.col("_tip") <= at))
         .drop("_tip")
     )
@@ -121,8 +123,8 @@ def closing_updates(updates: DataFrame, ended: DataFrame, records: DataFrame) ->
     Any other checkpoint writes ``closed = false`` again.  ``records`` must hold
     the ended shards whole; leaving the others out saves reading their folders.
     """
-    ends = ended.select("shard_id", F.lit(True).alias("_ended"))
-    marked = drained_shards(updates.join(ends, "shard_id", "left"), records)
+    ends = ended.select(*SHARD_KEYS, F.lit(True).alias("_ended"))
+    marked = drained_shards(updates.join(ends, SHARD_KEYS, "left"), records)
     return marked.withColumn(
         "closed", F.coalesce(F.col("_ended") & F.col("drained"), F.lit(False))
     ).drop("_ended", "drained")

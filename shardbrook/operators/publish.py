@@ -107,13 +107,18 @@ _ORDER = {name: i for i, name in enumerate(FAMILIES)}
 
 
 def _number(value: Column) -> Column:
-    """Whole numbers without a fraction, infinity as +Inf."""
-    value = value.cast("double")
-    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
+    """Whole numbers without a fraction, infinity as +Inf; counters keep every digit.
+
+    Doubles of 2^63 and more have no bigint and print in scientific notation.
+    """
+    text = value.cast("string")
+    double = value.cast("double")
+    whole = (double == F.floor(double)) & (F.abs(double) < 2.0**63)
     return (
-        F.when(value == float("inf"), F.lit("+Inf"))
+        F.when(double == float("inf"), F.lit("+Inf"))
+        .when(~text.rlike("[.E]"), text)
         .when(whole, value.cast("bigint").cast("string"))
-        .otherwise(value.cast("string"))
+        .otherwise(text)
     )
 
 

@@ -26,7 +26,7 @@ def running_total(
     Here only the stretch totals (one row each, summed before the shuffle) are
     windowed per key; each total enters its stretch as an opening row, and the
     rows themselves are windowed per key *and* stretch.  The data is shuffled
-    once and never joined.
+    once and never joined.  A row without an order value stands before all others.
 
     The result is spread by (keys, ``_stretch``) and sorted by ``order`` in each
     stretch; ``_stretch`` is kept so that callers can build on that.
@@ -43,15 +43,14 @@ def running_total(
         F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_value"),
         F.lit(True).alias("_opening"),
     )
-    # The opening row has no order values, and NULL sorts first.
+    # The opening row comes first, then rows without an order value.
     within = (
         Window.partitionBy(*keys, "_stretch")
-        .orderBy(*[F.asc_nulls_first(o) for o in order])
+        .orderBy(F.asc_nulls_last("_opening"), *[F.asc_nulls_first(o) for o in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        rows.filter(" AND ".join(f"{o} IS NOT NULL" for o in order))
-        .unionByName(opening, allowMissingColumns=True)
+        rows.unionByName(opening, allowMissingColumns=True)
         .withColumn(name, F.sum("_value").over(within))
         .filter("_opening IS NULL")
         .drop("_opening", "_value")

@@ -15,8 +15,9 @@ WITH r AS (
 u AS (SELECT * REPLACE (CAST(user_id AS VARCHAR) AS shard_id) FROM r),
 p AS (
   SELECT CAST(user_id AS VARCHAR) AS shard_id,
-         max(seq) FILTER (WHERE event_id < (SELECT max(event_id) / 2.0 FROM events))
-           AS sequence_id,
+         CASE WHEN user_id % 3 = 0 THEN max(seq)
+              ELSE max(seq) FILTER (WHERE event_id < (SELECT max(event_id) / 2.0 FROM events))
+         END AS sequence_id,
          nullif(arg_max(event_type, event_id), 'error') AS owner,
          arg_max(value, event_id) > 60 AS closed,
          CASE WHEN user_id % 10 = 0 THEN 'claimant' END AS claim_request
@@ -227,23 +228,21 @@ _BODIES = {
     "checkpoint_lookup": """
         SELECT shard_id, coalesce(sequence_id, '') AS sequence_id, owner
         FROM (SELECT DISTINCT shard_id FROM u)
-        LEFT JOIN (SELECT * FROM p WHERE NOT closed) USING (shard_id)""",
+        LEFT JOIN p USING (shard_id)""",
     "checkpoint_latest": "SELECT shard_id, max(seq) AS sequence_id FROM r GROUP BY 1",
     "checkpoint_manual": """
         SELECT shard_id, max(seq) AS sequence_id FROM r
         WHERE event_type = 'purchase' GROUP BY 1""",
     "checkpoint_upsert": """
-        , old AS (SELECT * FROM p WHERE NOT closed),
-        new AS (SELECT shard_id, max(seq) AS seq FROM u GROUP BY 1)
-        SELECT shard_id,
-               CASE WHEN old.shard_id IS NULL OR (claim_request IS NULL AND owner = 'view')
-                    THEN seq ELSE sequence_id END AS sequence_id,
-               CASE WHEN old.shard_id IS NULL THEN 'view' ELSE owner END AS owner,
-               false AS closed, claim_request
-        FROM old FULL JOIN new USING (shard_id)""",
+        , new AS (SELECT shard_id, max(seq) AS seq FROM u GROUP BY 1)
+        SELECT shard_id, CASE WHEN writes THEN seq ELSE sequence_id END AS sequence_id, owner,
+               CASE WHEN writes THEN false ELSE closed END AS closed, claim_request
+        FROM (SELECT *, coalesce(claim_request IS NULL AND owner = 'view', false) AS writes FROM p)
+        JOIN new USING (shard_id)""",
     "checkpoint_closing": """
-        SELECT shard_id, max(seq) AS sequence_id, bool_or(closed) AS closed
-        FROM u JOIN p USING (shard_id) GROUP BY 1""",
+        SELECT shard_id, sequence_id,
+               bool_or(closed) AND coalesce(max(seq) <= sequence_id, false) AS closed
+        FROM u JOIN p USING (shard_id) GROUP BY 1, 2""",
     "shard_drained": """
         SELECT shard_id, sequence_id,
                NOT EXISTS (SELECT 1 FROM u
@@ -359,6 +358,20 @@ _BODIES = {
     "handoff_progress": """
         SELECT shard_id, max(seq) AS sequence_id, 'reader' AS owner, false AS closed
         FROM r GROUP BY 1""",
+    "handoff_resumed": """
+        SELECT shard_id, seq AS sequence_number FROM u LEFT JOIN p USING (shard_id)
+        WHERE sequence_id IS NULL OR seq > sequence_id""",
+    "resume_two_streams": """
+        , x AS (SELECT 'east' AS stream, 0 AS part UNION ALL SELECT 'west', 1),
+        two AS (SELECT x.stream, u.shard_id, u.seq, u.event_id FROM u JOIN x
+                ON u.event_id % 2 = part),
+        bounds AS (SELECT shard_id, max(seq) AS tip FROM two WHERE stream = 'east' GROUP BY 1)
+        SELECT stream, shard_id, seq AS sequence_number FROM two LEFT JOIN bounds
+        USING (shard_id) WHERE stream = 'west' OR seq > tip""",
+    "progress_two_writers": """
+        SELECT stream, shard_id, max(seq) AS sequence_id,
+               CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS owner, false AS closed
+        FROM u GROUP BY ALL""",
     "handoff_ordered": """
         SELECT shard_id, seq AS sequence_number,
                row_number() OVER (PARTITION BY shard_id ORDER BY seq) AS position,

@@ -22,7 +22,7 @@ from shardbrook.operators import (
 )
 from shardbrook.operators import progress as checkpoints
 from shardbrook.plans import event_log as log
-from shardbrook.sources.progress_table import read_progress
+from shardbrook.sources.progress_table import empty_progress, read_progress, write_base
 from shardbrook.storage import shared_dir
 from shardbrook.streaming import handoff, runner, windows
 
@@ -101,45 +101,49 @@ def resume_after_checkpoint(spark, sf_dir):
 
 
 def checkpoint_lookup(spark, sf_dir):
-    """The checkpoint of every shard, where only open shards have a row."""
+    """The checkpoint of every shard."""
     shards = catalog.list_shards(log.records(spark, sf_dir, log.USER_SHARDS))
-    stored = log.progress(spark, sf_dir).filter(~F.col("closed"))
-    return checkpoints.lookup_checkpoints(shards, stored).select(
+    return checkpoints.lookup_checkpoints(shards, log.progress(spark, sf_dir)).select(
         "shard_id", "sequence_id", "owner"
     )
 
 
 def checkpoint_latest(spark, sf_dir):
-    return checkpoints.latest_checkpoints(log.records(spark, sf_dir))
+    return checkpoints.latest_checkpoints(log.records(spark, sf_dir)).drop("stream")
 
 
 def checkpoint_manual(spark, sf_dir):
     """Checkpoint only at purchases."""
-    ev = log.events(spark, sf_dir).filter("event_type = 'purchase'")
-    return checkpoints.latest_checkpoints(log.records_of(ev))
+    # What marks the ends is taken along as the partition key.
+    recs = log.records_of(log.events(spark, sf_dir), key="event_type")
+    ends = F.col("partition_key") == "purchase"
+    return checkpoints.manual_checkpoints(recs, ends).drop("stream")
 
 
 def checkpoint_upsert(spark, sf_dir):
     """Every user's newest record, written by the owner named 'view'."""
     recs = log.records(spark, sf_dir, log.USER_SHARDS)
-    stored = log.progress(spark, sf_dir).filter(~F.col("closed"))
     return checkpoints.upsert_checkpoints(
-        stored, checkpoints.latest_checkpoints(recs), writer="view"
+        log.progress(spark, sf_dir), checkpoints.latest_checkpoints(recs), writer="view"
     ).select("shard_id", "sequence_id", "owner", "closed", "claim_request")
 
 
 def shard_drained(spark, sf_dir):
     """Closed shards, and whether nothing is left after their checkpoint."""
     recs = log.records(spark, sf_dir, log.USER_SHARDS)
-    ended = log.progress(spark, sf_dir).filter("closed").select("shard_id", "sequence_id")
+    ended = log.progress(spark, sf_dir).filter("closed").select(
+        "stream", "shard_id", "sequence_id"
+    )
     return checkpoints.drained_shards(ended, recs).select("shard_id", "sequence_id", "drained")
 
 
 def checkpoint_closing(spark, sf_dir):
-    """Newest checkpoints with the closed mark; shards marked closed have ended."""
+    """Stored checkpoints written again: closed where the shard has ended and is drained."""
     recs = log.records(spark, sf_dir, log.USER_SHARDS)
-    ended = log.progress(spark, sf_dir).filter("closed").select("shard_id")
-    return checkpoints.closing_updates(checkpoints.latest_checkpoints(recs), ended, recs)
+    stored = log.progress(spark, sf_dir)
+    updates = stored.select("stream", "shard_id", "sequence_id")
+    marked = checkpoints.closing_updates(updates, stored.filter("closed"), recs)
+    return marked.drop("stream")
 
 
 def _replayed(spark, sf_dir):
@@ -259,7 +263,7 @@ def metrics_text(spark, sf_dir):
 
 
 def active_owners(spark, sf_dir):
-    return owners.active_owners(log.progress(spark, sf_dir))
+    return owners.active_owners(log.progress(spark, sf_dir)).drop("stream")
 
 
 def owner_shard_lists(spark, sf_dir):
@@ -361,6 +365,56 @@ def handoff_batch(spark, sf_dir):
     return spark.read.parquet(f"{place}/out").drop("batch")
 
 
+def handoff_resumed(spark, sf_dir):
+    """A new stream over a stored progress table: only what comes after it."""
+    place = shared_dir(spark, "handoff")
+    write_base(log.progress(spark, sf_dir), f"{place}/progress")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _identity(batch).write.mode("overwrite").parquet(f"{place}/out/batch={batch_id}")
+
+    stream = log.records_of(log.events_stream(spark, sf_dir, FILES_PER_BATCH), log.USER_SHARDS)
+    runner.run_to_end(
+        handoff.start_handoff(
+            stream,
+            write,
+            checkpoint=f"{place}/checkpoint",
+            progress_path=f"{place}/progress",
+            resume=True,
+        )
+    )
+    return spark.read.parquet(f"{place}/out").drop("batch")
+
+
+def resume_two_streams(spark, sf_dir):
+    """Two streams with the same shard ids; only one of them has progress."""
+    ev = log.events(spark, sf_dir)
+    name = F.when(F.col("sequence_number").cast("bigint") % 2 == 0, "east").otherwise("west")
+    recs = log.records_of(ev, log.USER_SHARDS).withColumn("stream", name)
+    east = checkpoints.latest_checkpoints(recs.filter("stream = 'east'"))
+    stored = checkpoints.upsert_checkpoints(empty_progress(spark), east, "reader")
+    return positions.resume(recs, stored).select("stream", "shard_id", "sequence_number")
+
+
+def progress_two_writers(spark, sf_dir):
+    """Two hand-offs that share one progress table, each with half of the shards."""
+    place = shared_dir(spark, "handoff")
+    for part, writer in enumerate(("even", "odd")):
+        events = log.events_stream(spark, sf_dir, FILES_PER_BATCH).filter(f"user_id % 2 = {part}")
+        runner.run_to_end(
+            handoff.start_handoff(
+                log.records_of(events, log.USER_SHARDS),
+                lambda batch, batch_id: None,
+                checkpoint=f"{place}/checkpoint-{writer}",
+                progress_path=f"{place}/progress",
+                writer=writer,
+            )
+        )
+    return read_progress(spark, f"{place}/progress").select(
+        "stream", "shard_id", "sequence_id", "owner", "closed"
+    )
+
+
 def handoff_progress(spark, sf_dir):
     """The progress table a streamed hand-off leaves behind."""
     place = shared_dir(spark, "handoff")
@@ -476,6 +530,9 @@ QUERIES: dict[str, Query] = {
         activity_sessions,
         handoff_batch,
         handoff_progress,
+        handoff_resumed,
+        resume_two_streams,
+        progress_two_writers,
         handoff_ordered,
         stream_totals,
         stream_windows,

@@ -1,62 +1,131 @@
-"""The stored progress table.
+"""The stored progress table: rows to begin with, and updates that are only added.
 
-Parquet cannot update rows and a path must not be overwritten while it is read,
-so each version of the table is written whole to one of a few slots in turn.  A
-one-row commit file, written after the rows, makes the version visible.  The
-version is the micro-batch number: replaying a batch starts from the same
-predecessor and rewrites the same slot, so nothing is applied twice.
+Each writer adds the checkpoints of a micro-batch as one folder, named by the writer
+and the batch's number, so writers never touch each other's files and a replayed
+batch finds its own folder.  Reading folds the updates: per shard the newest one that
+the guard lets through.  A folder is visible when Spark has committed it; nothing is
+overwritten that a reader may hold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardbrook.schema import PROGRESS
+from shardbrook.functions.sequence import seq_key
+from shardbrook.schema import PROGRESS, SHARD_KEYS
 from shardbrook.storage import read_if_present
 
-SLOTS = 8
-
-_ROWS = T.StructType([*PROGRESS.fields, T.StructField("version", T.LongType())])
+UPDATE = T.StructType(
+    [
+        T.StructField("stream", T.StringType()),
+        T.StructField("shard_id", T.StringType()),
+        T.StructField("sequence_id", T.StringType()),
+        T.StructField("closed", T.BooleanType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("number", T.LongType()),
+        T.StructField("written_at", T.TimestampType()),
+    ]
+)
 
 
 def empty_progress(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PROGRESS)
 
 
-def newest_commit(spark: SparkSession, path: str, below: int | None = None) -> Row | None:
-    """The newest visible version (below a given one) and its slot.
+def write_base(progress: DataFrame, path: str) -> None:
+    """Rows a table begins with: owners, claims and checkpoints set up elsewhere."""
+    rows = progress.select(*PROGRESS.fieldNames())
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/base")
 
-    Reads at most one row per slot.
-    """
-    commits = read_if_present(spark, f"{path.rstrip('/')}/commits", "version bigint, slot int")
-    if commits is None:
+
+def read_updates(spark: SparkSession, path: str) -> DataFrame | None:
+    """All updates; None before the first."""
+    folder = f"{path.rstrip('/')}/updates"
+    if read_if_present(spark, folder, UPDATE) is None:
         return None
-    if below is not None:
-        commits = commits.filter(F.col("version") < below)
-    return commits.orderBy(F.desc("version")).first()
+    return spark.read.schema(UPDATE).option("recursiveFileLookup", "true").parquet(folder)
 
 
-def write_version(progress: DataFrame, path: str, version: int) -> None:
-    """Write one whole version of the table, then make it visible."""
-    spark, root = progress.sparkSession, path.rstrip("/")
-    before = newest_commit(spark, path, below=version)
-    slot = (before.slot + 1) % SLOTS if before else 0
-    number = F.lit(version).cast("bigint").alias("version")
-    rows = progress.select(*PROGRESS.fieldNames(), number)
-    rows.write.mode("overwrite").parquet(f"{root}/rows/slot={slot}")
-    spark.range(1).select(number).write.mode("overwrite").parquet(f"{root}/commits/slot={slot}")
+def next_number(spark: SparkSession, path: str, writer: str | None) -> int:
+    """The number after a writer's last one."""
+    updates = read_updates(spark, path)
+    if updates is None:
+        return 0
+    own = updates.filter(F.col("writer").eqNullSafe(F.lit(writer).cast("string")))
+    last = own.agg(F.max("number").alias("n")).first()["n"]
+    return 0 if last is None else last + 1
 
 
-def read_commit(spark: SparkSession, path: str, commit: Row | None) -> DataFrame:
-    """The rows of a commit; no rows without one."""
-    if commit is None:
-        return empty_progress(spark)
-    rows = spark.read.schema(_ROWS).parquet(f"{path.rstrip('/')}/rows/slot={commit.slot}")
-    return rows.filter(F.col("version") == commit.version).select(*PROGRESS.fieldNames())
+def add_updates(
+    updates: DataFrame, path: str, number: int, writer: str | None = None
+) -> None:
+    """Add checkpoints (``stream, shard_id, sequence_id``, perhaps ``closed``) once.
+
+    Of several rows for a shard the furthest counts.  A number that is there already
+    is a replay and is left as it is.
+    """
+    spark = updates.sparkSession
+    who = hashlib.md5((writer or "").encode()).hexdigest() if writer is not None else "anyone"
+    folder = f"{path.rstrip('/')}/updates/{who}-{number:012d}"
+    there = read_if_present(spark, folder, UPDATE)
+    if there is not None and not there.isEmpty():
+        return
+    closed = F.coalesce("closed", F.lit(False)) if "closed" in updates.columns else F.lit(False)
+    named = updates.select(*SHARD_KEYS, "sequence_id", closed.alias("closed"))
+    furthest = F.max_by(F.struct("sequence_id", "closed"), seq_key("sequence_id"))
+    named.groupBy(*SHARD_KEYS).agg(furthest.alias("u")).select(
+        *SHARD_KEYS,
+        "u.*",
+        F.lit(writer).cast("string").alias("writer"),
+        F.lit(number).cast("bigint").alias("number"),
+        F.current_timestamp().alias("written_at"),
+    ).write.mode("overwrite").parquet(folder)
+
+
+def fold(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """Progress after all updates.
+
+    A row of the base takes the updates of its owner while no claim on it is pending.
+    A shard without a row belongs to the writer of its first update.  Updates
+    without a writer are always taken.  A writer's numbers order its updates.
+    """
+    first = updates.groupBy(*SHARD_KEYS).agg(
+        F.min_by("writer", F.struct("written_at", "number")).alias("_first")
+    )
+    old = base.withColumn("_old", F.lit(True))
+    owned = old.join(first, SHARD_KEYS, "full_outer").withColumn(
+        "owner", F.when(F.col("_old"), F.col("owner")).otherwise(F.col("_first"))
+    )
+    let_through = F.col("writer").isNull() | (
+        F.col("claim_request").isNull() & (F.col("writer") == F.col("owner"))
+    )
+    newest = (
+        updates.join(owned.select(*SHARD_KEYS, "owner", "claim_request"), SHARD_KEYS)
+        .filter(let_through)
+        .groupBy(*SHARD_KEYS)
+        .agg(
+            F.max_by(
+                F.struct("sequence_id", "closed"), F.struct("number", "written_at")
+            ).alias("_new")
+        )
+    )
+    new = F.col("_new").isNotNull()
+    changed = {
+        "sequence_id": F.when(new, F.col("_new.sequence_id")).otherwise(F.col("sequence_id")),
+        "closed": F.when(new, F.col("_new.closed")).otherwise(F.col("closed")),
+    }
+    return owned.join(newest, SHARD_KEYS, "left").select(
+        *[changed.get(n, F.col(n)).alias(n) for n in PROGRESS.fieldNames()]
+    )
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """The newest visible version; no rows before the first commit."""
-    return read_commit(spark, path, newest_commit(spark, path))
+    """The table as it is now; no rows before anything was written."""
+    base = read_if_present(spark, f"{path.rstrip('/')}/base", PROGRESS)
+    base = empty_progress(spark) if base is None else base
+    updates = read_updates(spark, path)
+    return base if updates is None else fold(base, updates)

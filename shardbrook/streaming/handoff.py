@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shardbrook.operators.intervals import FETCH, PROCESS
-from shardbrook.operators.progress import latest_checkpoints, upsert_checkpoints
+from shardbrook.operators.positions import resume as after_progress
+from shardbrook.operators.progress import latest_checkpoints
 from shardbrook.operators.running import shard_positions
-from shardbrook.schema import SAMPLE, SHARD_KEYS
-from shardbrook.sources.progress_table import newest_commit, read_commit, write_version
+from shardbrook.schema import PROGRESS, SAMPLE, SHARD_KEYS
+from shardbrook.sources.progress_table import add_updates, next_number, read_progress
 from shardbrook.storage import write_once
 from shardbrook.streaming.runner import start
 
@@ -31,14 +32,20 @@ def start_handoff(
     progress_path: str | None = None,
     writer: str | None = None,
     checkpoints_of: CheckpointFunction | None = latest_checkpoints,
+    resume: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Call ``process(batch, batch_id)`` for every micro-batch of a stream.
 
     ``process`` must accept an empty batch.  After it returns, progress is
     written to ``progress_path``: by default the last record of each shard in
-    the batch.  ``checkpoints_of`` replaces that (return ``shard_id,
-    sequence_id`` and optionally ``closed``); None turns it off.
+    the batch; for that the batch's keys are read a second time.  ``checkpoints_of``
+    replaces that (return ``stream, shard_id, sequence_id`` and optionally
+    ``closed``); None turns it off.
+
+    With ``resume`` a new stream hands over only records after the progress stored
+    at its first start; that is kept beside ``checkpoint``, so a restart skips the
+    same ones.
 
     Delivery is at least once: a batch whose run was cut short is handed over
     again under the same number, and leaves the same progress.  Recovery follows
@@ -48,18 +55,27 @@ def start_handoff(
     spark = records.sparkSession
     first = 0
     if progress_path and checkpoints_of:
-        # A new stream goes on from the versions already in the table, and a
+        # A new stream goes on from the writer's numbers in the table, and a
         # restarted one must find the number it began with.
-        def next_version() -> DataFrame:
-            newest = newest_commit(spark, progress_path)
-            following = newest.version + 1 if newest else 0
-            return spark.sql(f"SELECT {following}L AS first")
+        def following() -> DataFrame:
+            return spark.sql(f"SELECT {next_number(spark, progress_path, writer)}L AS first")
 
         base = write_once(
-            spark, f"{checkpoint.rstrip('/')}.progress_base", "first bigint", next_version
+            spark, f"{checkpoint.rstrip('/')}.progress_base", "first bigint", following
         )
         first = base.first()[0]
 
+    if resume:
+        if not progress_path:
+            raise ValueError("resume needs the path of a progress table")
+        bounds = write_once(
+            spark,
+            f"{checkpoint.rstrip('/')}.resumed_from",
+            PROGRESS,
+            lambda: read_progress(spark, progress_path),
+        )
+        records = after_progress(records, bounds)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         process(batch, batch_id)
         if progress_path and checkpoints_of:
@@ -71,15 +87,10 @@ def start_handoff(
 
 
 def commit_progress(
-    updates: DataFrame, path: str, version: int, writer: str | None = None
+    updates: DataFrame, path: str, number: int, writer: str | None = None
 ) -> None:
-    """Write version ``version``: the newest one before it with ``updates`` applied."""
-    spark = updates.sparkSession
-    newest = newest_commit(spark, path)
-    if newest and newest.version >= version:
-        return  # a replay, already applied
-    before = read_commit(spark, path, newest)
-    write_version(upsert_checkpoints(before, updates, writer), path, version)
+    """Add a batch's checkpoints under its number; a replay changes nothing."""
+    add_updates(updates, path, number, writer)
 
 
 class ShardProcessor:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +23,13 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
 
 
 def stop(query: StreamingQuery) -> None:
-    """Let the batch in progress finish, then stop."""
-    query.processAllAvailable()
+    """Let the batch in progress finish, then stop, whether or not data keeps coming."""
+    before = query.lastProgress
+    while query.isActive and query.status["isTriggerActive"]:
+        now = query.lastProgress
+        if now is not None and (before is None or now["batchId"] != before["batchId"]):
+            break
+        time.sleep(0.05)
     query.stop()
 
 

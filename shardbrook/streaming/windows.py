@@ -10,8 +10,6 @@ from shardbrook.operators.delivery import IDENTITY
 from shardbrook.operators.intervals import DEFAULT_INTERVAL, throughput_by_interval
 from shardbrook.schema import SHARD_KEYS
 
-MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
 
 def stream_throughput_by_interval(
     records: DataFrame, interval: str = DEFAULT_INTERVAL, delay: str = "1 minute"
@@ -31,10 +29,9 @@ def stream_totals(records: DataFrame) -> DataFrame:
 def stream_sessions(records: DataFrame, gap_seconds: int, delay: str) -> DataFrame:
     """Activity sessions.
 
-    Turns on, for the session, merging inside each task before the shuffle: it
+    ``session.SETTINGS`` turns on merging inside each task before the shuffle: it
     changes no result, and without it every event of a hot shard is shuffled.
     """
-    records.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     session = F.session_window("arrival_ts", f"{gap_seconds} seconds")
     return (
         records.withWatermark("arrival_ts", delay)

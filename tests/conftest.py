@@ -56,7 +56,7 @@ def make(spark):
         def progress(rows):
             """Rows of (shard, checkpoint, owner, closed, claim)."""
             return spark.createDataFrame(
-                [(s, q, o, None, None, c, r) for s, q, o, c, r in rows], PROGRESS
+                [("s", s, q, o, None, None, c, r) for s, q, o, c, r in rows], PROGRESS
             )
 
         @staticmethod

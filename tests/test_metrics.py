@@ -33,7 +33,7 @@ def test_lag_within_each_stream(make):
     recs = make.records([("a", "1", 1, b"")], "x").unionByName(
         make.records([("a", "1", 5, b""), ("b", "1", 9, b"")], "y")
     )
-    found = rows(counters.lag_latest(recs, by_stream=True), "stream", "shard_id", "lag_us")
+    found = rows(counters.lag_latest(recs), "stream", "shard_id", "lag_us")
     assert found == [("x", "a", 0), ("y", "a", 4_000_000), ("y", "b", 0)]
 
 
@@ -198,3 +198,21 @@ def test_shard_metrics_in_total(make):
     total = intervals.shard_metrics(recs, data, None)
     columns = ("shard_id", "n_records", "n_bytes", "lag_sum", "fetch_sample_count", "process_maximum")
     assert rows(total, *columns) == [("a", 2, 6, 4.0, 0, 0.0), ("b", 0, 0, 0.0, 0, 6.0)]
+
+
+def test_positions_with_a_missing_key(spark, make):
+    from shardbrook.operators.running import shard_positions
+
+    recs = make.records([("a", None, 1, b""), ("a", "1", 2, b""), ("a", "2", 3, b"")])
+    found = shard_positions(recs, digits=1)
+    assert rows(found, "sequence_number", "position") == [("1", 2), ("2", 3), (None, 1)]
+
+
+def test_large_counters_keep_every_digit(spark):
+    from pyspark.sql import functions as F
+
+    from shardbrook.operators.publish import _number
+
+    df = spark.sql("SELECT 9007199254740993L AS big, 1234567890123457D AS whole, 0.5D AS part")
+    found = df.select(*(_number(F.col(c)).alias(c) for c in df.columns)).first()
+    assert tuple(found) == ("9007199254740993", "1234567890123457", "0.5")

@@ -8,12 +8,14 @@ from shardbrook.sources import progress_table as table
 
 
 def updates(spark, *values):
-    return spark.createDataFrame(list(values), "shard_id string, sequence_id string")
+    return spark.createDataFrame(
+        [("s", *v) for v in values], "stream string, shard_id string, sequence_id string"
+    )
 
 
 def test_latest_checkpoint_is_numeric(make):
     recs = make.records([("a", "9", 1, b""), ("a", "10", 0, b"")])
-    assert rows(p.latest_checkpoints(recs)) == [("a", "10")]
+    assert rows(p.latest_checkpoints(recs)) == [("s", "a", "10")]
 
 
 def test_no_records_no_checkpoint(make):
@@ -22,16 +24,19 @@ def test_no_records_no_checkpoint(make):
 
 def test_manual_checkpoint(make):
     recs = make.records([("a", "1", 1, b"end"), ("a", "2", 2, b"more")])
-    assert rows(p.manual_checkpoints(recs, recs.data == b"end")) == [("a", "1")]
+    assert rows(p.manual_checkpoints(recs, recs.data == b"end")) == [("s", "a", "1")]
 
 
 def test_lookup_gives_empty_for_a_missing_shard(spark, make):
     shards = spark.createDataFrame(
-        [("a", None), ("b", "a")], "shard_id string, parent_shard_id string"
+        [("s", "a", None), ("s", "b", "a"), ("t", "a", None)],
+        "stream string, shard_id string, parent_shard_id string",
     )
     progress = make.progress([("a", "7", "w", False, None)])
-    found = rows(p.lookup_checkpoints(shards, progress), "shard_id", "sequence_id", "parent_shard_id")
-    assert found == [("a", "7", None), ("b", "", "a")]
+    found = rows(
+        p.lookup_checkpoints(shards, progress), "stream", "shard_id", "sequence_id", "parent_shard_id"
+    )
+    assert found == [("s", "a", "7", None), ("s", "b", "", "a"), ("t", "a", "", None)]
 
 
 def test_guarded_upsert(spark, make):
@@ -86,7 +91,7 @@ def test_drained(spark, make):
 
 def test_closing(spark, make):
     recs = make.records([("a", "1", 1, b""), ("b", "1", 2, b""), ("b", "2", 3, b""), ("c", "1", 4, b"")])
-    ended = spark.createDataFrame([("a",), ("b",)], "shard_id string")
+    ended = spark.createDataFrame([("s", "a"), ("s", "b")], "stream string, shard_id string")
     marked = p.closing_updates(updates(spark, ("a", "1"), ("b", "1"), ("c", "1")), ended, recs)
     assert rows(marked, "shard_id", "closed") == [("a", True), ("b", False), ("c", False)]
     old = make.progress([("a", "", "me", False, None)])
@@ -100,40 +105,70 @@ def test_duplicates(make):
     assert drop_duplicate_deliveries(recs).count() == 3
 
 
-def test_progress_table_versions(spark, make, tmp_path):
+def test_two_rows_for_a_shard_count_once(spark, make):
+    old = make.progress([("a", "1", "me", False, None)])
+    found = p.upsert_checkpoints(old, updates(spark, ("a", "9"), ("a", "10"), ("a", "2")), "me")
+    assert rows(found, "shard_id", "sequence_id") == [("a", "10")]
+
+
+def test_streams_with_the_same_shards_do_not_mix(spark, make):
+    recs = make.records([("0", "1", 1, b""), ("0", "5", 2, b"")], "x").unionByName(
+        make.records([("0", "3", 1, b"")], "y")
+    )
+    assert rows(p.latest_checkpoints(recs)) == [("x", "0", "5"), ("y", "0", "3")]
+    only_y = p.upsert_checkpoints(
+        table.empty_progress(spark), p.latest_checkpoints(recs).filter("stream = 'y'"), "w"
+    )
+    from shardbrook.operators.positions import resume
+
+    left = rows(resume(recs, only_y), "stream", "sequence_number")
+    assert left == [("x", "1"), ("x", "5")]
+
+
+def test_an_old_reader_outlives_many_commits(spark, tmp_path):
     path = str(tmp_path / "progress")
     assert rows(table.read_progress(spark, path)) == []
-    for version in range(2 * table.SLOTS + 1):
-        table.write_version(make.progress([("a", str(version), "w", False, None)]), path, version)
-    assert table.newest_commit(spark, path).version == 2 * table.SLOTS
-    assert rows(table.read_progress(spark, path), "sequence_id") == [(str(2 * table.SLOTS),)]
-    before = table.newest_commit(spark, path, below=2 * table.SLOTS)
-    assert rows(table.read_commit(spark, path, before), "sequence_id") == [
-        (str(2 * table.SLOTS - 1),)
-    ]
+    table.add_updates(updates(spark, ("a", "0")), path, 0, "w")
+    old = table.read_progress(spark, path)
+    for number in range(1, 21):
+        table.add_updates(updates(spark, ("a", str(number))), path, number, "w")
+    assert rows(old, "sequence_id") == [("0",)]
+    assert rows(table.read_progress(spark, path), "sequence_id") == [("20",)]
+    assert table.next_number(spark, path, "w") == 21
+    assert table.next_number(spark, path, "other") == 0
 
 
-def test_progress_versions_may_have_gaps(spark, make, tmp_path):
+def test_two_writers_share_a_table(spark, make, tmp_path):
     path = str(tmp_path / "progress")
-    for version in (0, table.SLOTS, 2 * table.SLOTS, 5 * table.SLOTS):
-        table.write_version(
-            table.read_progress(spark, path).unionByName(
-                make.progress([(str(version), "1", "w", False, None)])
-            ),
-            path,
-            version,
-        )
-    assert table.read_progress(spark, path).count() == 4
-
-
-def test_a_version_without_its_commit_is_not_read(spark, make, tmp_path):
+    table.write_base(
+        make.progress([("mine", "1", "w", True, None), ("claimed", "1", "w", False, "x")]), path
+    )
+    table.add_updates(updates(spark, ("mine", "5"), ("claimed", "5"), ("new", "5")), path, 0, "w")
+    table.add_updates(updates(spark, ("mine", "9"), ("new", "9"), ("far", "2")), path, 0, "v")
+    table.add_updates(updates(spark, ("new", "4")), path, 1, "w")  # backwards is allowed
+    found = rows(table.read_progress(spark, path), "shard_id", "sequence_id", "owner", "closed")
+    assert found == [
+        ("claimed", "1", "w", False),
+        ("far", "2", "v", False),
+        ("mine", "5", "w", False),
+        ("new", "4", "w", False),
+    ]
+
+
+def test_a_replay_is_left_as_it_is(spark, tmp_path):
     path = str(tmp_path / "progress")
-    table.write_version(make.progress([("a", "1", "w", False, None)]), path, 0)
-    cut_short = make.progress([("a", "2", "w", False, None)])
-    cut_short.selectExpr("*", "1L AS version").write.parquet(f"{path}/rows/slot=1")
+    for value in ("1", "7"):
+        table.add_updates(updates(spark, ("a", value)), path, 0, "w")
     assert rows(table.read_progress(spark, path), "sequence_id") == [("1",)]
 
 
+def test_updates_without_a_writer_are_always_taken(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    table.write_base(make.progress([("a", "1", "x", False, "claim")]), path)
+    table.add_updates(updates(spark, ("a", "2")), path, 0)
+    assert rows(table.read_progress(spark, path), "sequence_id", "owner") == [("2", "x")]
+
+
 def test_write_once_starts_over_after_a_cut(spark, tmp_path):
     from shardbrook.storage import write_once
 

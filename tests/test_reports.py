@@ -56,7 +56,9 @@ def test_skew_and_heaviest(spark, make):
         ("z", 1, 1, False),
     ]
     assert rows(owners.heaviest_owner(progress), "owner") == [("x",)]
-    weights = spark.createDataFrame([("d", 9), ("e", 9)], "shard_id string, weight bigint")
+    weights = spark.createDataFrame(
+        [("s", "d", 9), ("s", "e", 9)], "stream string, shard_id string, weight bigint"
+    )
     assert rows(owners.heaviest_owner(progress, weights), "owner", "load") == [("y", 9)]
     assert rows(owners.owner_skew(progress, weights), "owner", "optimal", "over") == [
         ("x", 6, False),

@@ -1,8 +1,7 @@
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from shardbrook.functions.sequence import MAX_DIGITS, number_of, run_of, seq_key
+from shardbrook.functions.sequence import key_bounds, number_of, run_of, seq_key
 
 canonical = st.integers(0, 10**120).map(str)
 
@@ -26,16 +25,48 @@ def test_unequal_lengths(spark):
     assert [r.n for r in df.orderBy(seq_key("n")).collect()] == ["9", "10"]
 
 
-def test_too_long_fails(spark):
-    df = spark.createDataFrame([("1" * (MAX_DIGITS + 1),)], "n string")
-    with pytest.raises(Exception, match="more than 128 digits"):
-        df.select(seq_key("n")).collect()
+def test_any_number_of_digits(spark):
+    numbers = ["9", "8" * 128, "1" * 129, "2" * 129, "3" * 500, "1" * 2000]
+    df = spark.createDataFrame([(n,) for n in reversed(numbers)], "n string")
+    assert [r.n for r in df.orderBy(seq_key("n")).collect()] == numbers
 
 
-def test_fixed_width_key_is_the_same_key(spark):
-    df = spark.createDataFrame([("00042",), ("99999",)], "n string")
-    for row in df.select(seq_key("n").alias("a"), seq_key("n", 5).alias("b")).collect():
-        assert row.a == row.b
+@settings(
+    max_examples=5,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(st.lists(st.one_of(canonical, st.integers(0, 3000).map(str)), min_size=1, max_size=40))
+def test_ends_without_sorting(spark, numbers):
+    rows = [(n[-1:], n) for n in numbers] + [("none", None)]
+    keyed = spark.createDataFrame(rows, "g string, n string").select("g", seq_key("n").alias("seq_key"))
+    found = {r.g: r for r in key_bounds(keyed, ["g"]).select(
+        "g", number_of("first_key").alias("low"), number_of("last_key").alias("high"), "n_records"
+    ).collect()}
+    for group in {n[-1:] for n in numbers}:
+        mine = sorted((n for n in numbers if n[-1:] == group), key=int)
+        assert (found[group].low, found[group].high) == (mine[0], mine[-1])
+        assert found[group].n_records == len(mine)
+    assert found["none"].high is None and found["none"].n_records == 1
+
+
+def test_the_log_is_not_sorted_for_its_ends(spark):
+    keyed = spark.range(10).selectExpr("'a' AS g", "cast(id AS string) AS n").select(
+        "g", seq_key("n").alias("seq_key")
+    )
+    plan = key_bounds(keyed, ["g"])._jdf.queryExecution().executedPlan().toString()
+    below_first_exchange = plan.rsplit("Exchange", 1)[1]
+    assert "HashAggregate" in below_first_exchange and "Sort" not in below_first_exchange
+
+
+def test_a_number_that_is_none_fails(spark):
+    keyed = spark.sql("SELECT 'a' AS g, '000000031x2' AS seq_key")
+    try:
+        key_bounds(keyed, ["g"]).collect()
+    except Exception as error:
+        assert "CAST_INVALID_INPUT" in str(error)
+    else:
+        raise AssertionError("no error")
 
 
 def test_runs_never_decrease(spark):

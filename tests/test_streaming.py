@@ -117,7 +117,7 @@ def test_manual_and_disabled_checkpoints(make, consumer):
 
 def test_ended_shards_are_closed(spark, make, consumer):
     consumer.push(make.records([("a", "1", 1, b""), ("b", "1", 1, b"")]))
-    ended = spark.createDataFrame([("a",)], "shard_id string")
+    ended = spark.createDataFrame([("s", "a")], "stream string, shard_id string")
     consumer.run(
         checkpoints_of=lambda batch: closing_updates(
             latest_checkpoints(batch), ended, read_log(spark, consumer.log)
@@ -127,11 +127,25 @@ def test_ended_shards_are_closed(spark, make, consumer):
     assert rows(stored, "shard_id", "closed") == [("a", True), ("b", False)]
 
 
+def test_resume_begins_after_the_stored_progress(spark, make, consumer, tmp_path):
+    consumer.push(make.records([("a", "1", 1, b""), ("b", "1", 1, b"")]))
+    consumer.run()
+    consumer.push(make.records([("a", "2", 2, b""), ("c", "1", 2, b"")]))
+    other = Consumer(spark, str(tmp_path / "other"))
+    other.progress, other.log = consumer.progress, consumer.log
+    other.run(resume=True)
+    fresh = rows(spark.read.parquet(other.out), "shard_id", "sequence_number")
+    assert fresh == [("a", "2"), ("c", "1")]
+    consumer.push(make.records([("b", "2", 3, b"")]))
+    other.run(resume=True)  # a restart skips the same ones
+    again = rows(spark.read.parquet(other.out), "shard_id", "sequence_number")
+    assert again == [("a", "2"), ("b", "2"), ("c", "1")]
+
+
 def test_progress_respects_the_guard(spark, make, consumer):
-    table.write_version(
+    table.write_base(
         make.progress([("a", "1", "w", False, "claim"), ("b", "1", "x", False, None)]),
         consumer.progress,
-        0,
     )
     consumer.push(make.records([("a", "9", 1, b""), ("b", "9", 1, b""), ("c", "9", 1, b"")]))
     consumer.run()
@@ -224,7 +238,7 @@ def test_ordered_handoff_of_stretches(make, digits):
         got = sorted((r.position, int(r.seq)) for r in result if r.shard_id == shard)
         assert got == list(enumerate(numbers, start=1))
         # Inside a stretch the records came in order, from the first one on.
-        stretch = {n: f"{len(str(n)):03d}{n}"[:-digits] for n in numbers}
+        stretch = {n: f"{len(str(n)):08d}{n}"[:-digits] for n in numbers}
         for r in (r for r in result if r.shard_id == shard):
             mine = int(r.seq)
             assert r.nth == sum(stretch[n] == stretch[mine] and n < mine for n in numbers)
