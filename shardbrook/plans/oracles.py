@@ -385,13 +385,8 @@ _BODIES = {
     "stream_windows": """
         SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, shard_id,
                count(*) AS n_records, CAST(sum(n) AS BIGINT) AS n_bytes
-        FROM r GROUP BY 1, 2
-        HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
-               <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
-    "stream_sessions": _SESSIONS
-    + """
-        SELECT * FROM sessions WHERE session_end
-               <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
+        FROM r GROUP BY 1, 2""",
+    "stream_sessions": _SESSIONS + "SELECT * FROM sessions",
     "stream_deduplicated": _RECORDS + "r",
 }
 

@@ -433,10 +433,13 @@ def handoff_progress(spark, sf_dir):
     )
 
 
-def _appended(spark, name: str, result: DataFrame) -> DataFrame:
+def _appended(spark, name: str, result: DataFrame):
+    """What a stream appended, and the query that did."""
     place = shared_dir(spark, name)
-    runner.run_to_end(runner.append_to_table(result, f"{place}/out", f"{place}/checkpoint"))
-    return spark.read.schema(result.schema).parquet(f"{place}/out")
+    query = runner.run_to_end(
+        runner.append_to_table(result, f"{place}/out", f"{place}/checkpoint")
+    )
+    return spark.read.schema(result.schema).parquet(f"{place}/out"), query
 
 
 def stream_totals(spark, sf_dir):
@@ -450,30 +453,33 @@ def stream_totals(spark, sf_dir):
 
 
 def stream_windows(spark, sf_dir):
-    """Hourly windows the watermark (one hour behind) has closed."""
+    """Hourly windows: those the watermark has closed, then the rest of the log's end."""
     stream = log.records_of(log.events_stream(spark, sf_dir))
-    closed = _appended(
+    closed, query = _appended(
         spark, "windows", windows.stream_throughput_by_interval(stream, HOUR, HOUR)
     )
-    return closed.select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        "shard_id",
-        "n_records",
-        "n_bytes",
-    )
+    tail = windows.open_windows(log.records(spark, sf_dir), HOUR, windows.final_watermark(query))
+    columns = ["window_start", "shard_id", "n_records", "n_bytes"]
+    return _with_tail(closed, tail, columns, ["window_start"])
 
 
 def stream_sessions(spark, sf_dir):
-    """Sessions the watermark (one hour behind) has closed."""
+    """Sessions: those the watermark has closed, then the rest of the log's end."""
     stream = log.records_of(log.events_stream(spark, sf_dir))
-    closed = _appended(
+    closed, query = _appended(
         spark, "sessions", windows.stream_sessions(stream, GAP_SECONDS, HOUR)
     )
-    return closed.select(
-        "shard_id",
-        F.col("session_start").cast("timestamp_ntz").alias("session_start"),
-        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
-        "n_records",
+    tail = windows.open_sessions(
+        log.records(spark, sf_dir), GAP_SECONDS, windows.final_watermark(query)
+    )
+    columns = ["shard_id", "session_start", "session_end", "n_records"]
+    return _with_tail(closed, tail, columns, ["session_start", "session_end"])
+
+
+def _with_tail(closed: DataFrame, tail: DataFrame, columns: list, times: list) -> DataFrame:
+    """Both parts, with times as the events table has them."""
+    return closed.select(columns).union(tail.select(columns)).select(
+        *(F.col(c).cast("timestamp_ntz").alias(c) if c in times else F.col(c) for c in columns)
     )
 
 
@@ -481,7 +487,7 @@ def stream_deduplicated(spark, sf_dir):
     """Every record delivered twice, and kept once."""
     stream = log.records_of(log.events_stream(spark, sf_dir))
     twice = stream.unionByName(log.records_of(log.events_stream(spark, sf_dir)))
-    kept = _appended(spark, "dedup", windows.stream_drop_duplicates(twice, HOUR))
+    kept, _ = _appended(spark, "dedup", windows.stream_drop_duplicates(twice, HOUR))
     return _payload_as_text(kept)
 
 

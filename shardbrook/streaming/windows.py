@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from shardbrook.operators.activity import activity_sessions
 from shardbrook.operators.counters import throughput
 from shardbrook.operators.delivery import IDENTITY
 from shardbrook.operators.intervals import DEFAULT_INTERVAL, throughput_by_interval
@@ -46,6 +48,30 @@ def stream_sessions(records: DataFrame, gap_seconds: int, delay: str) -> DataFra
     )
 
 
+def final_watermark(query: StreamingQuery) -> Column | None:
+    """The watermark an ended query stopped at; None if it never saw a record."""
+    progress = query.lastProgress
+    value = (progress or {}).get("eventTime", {}).get("watermark")
+    return None if value is None else F.lit(value).cast("timestamp")
+
+
+def open_windows(records: DataFrame, interval: str, watermark: Column | None) -> DataFrame:
+    """The end-of-log step of ``stream_throughput_by_interval``.
+
+    A stream gives a window out when its watermark has passed it; the last ones never
+    leave when the log ends.  These are the windows that ended after ``watermark``,
+    from a batch read of the same log; together with the stream's they are all.
+    """
+    found = throughput_by_interval(records, interval)
+    return found if watermark is None else found.filter(F.col("window_end") > watermark)
+
+
+def open_sessions(records: DataFrame, gap_seconds: int, watermark: Column | None) -> DataFrame:
+    """The end-of-log step of ``stream_sessions``: sessions that end after ``watermark``."""
+    found = activity_sessions(records, gap_seconds)
+    return found if watermark is None else found.filter(F.col("session_end") > watermark)
+
+
 def stream_drop_duplicates(
     records: DataFrame, delay: str, hot_copies: bool = True
 ) -> DataFrame:
