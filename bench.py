@@ -32,6 +32,12 @@ HEADLINE = [
     "handoff_ordered",
     "handoff_batch",
     "stream_windows",
+    "shard_positions",
+    "deduplicated_deliveries",
+    "checkpoint_closing",
+    "stats_with_empty",
+    "stream_deduplicated",
+    "handoff_resumed",
 ]
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from shardbrook.schema import SHARD_KEYS
 
+PAGES_IN_GROUP = 64
+
 
 def _invalid() -> Column:
     return F.col("owner").isNull() | F.col("shard_id").isNull()
@@ -64,13 +66,17 @@ def owner_shard_lists(
 ) -> DataFrame:
     """The shards of each owner as sorted lists of at most ``page_size``.
 
-    An owner's shards are first spread over 256 groups by a digest of the id, so
-    that one owner with most of the shards is neither one task nor one huge
-    array.  All pages of an owner together are its whole list.
+    So that one owner with most of the shards is neither one task nor one huge array,
+    its shards are first spread by the leading digits of a digest of the id: as many
+    digits as keep a group of the largest owner at about ``PAGES_IN_GROUP`` pages
+    (none where it has fewer).  All pages of an owner together are its whole list.
     """
-    group = F.substring(F.md5(F.col("shard_id").cast("binary")), 1, 2)
-    rows = (
-        valid_rows(progress, strict).select("owner", "shard_id").withColumn("page_group", group)
+    owned = valid_rows(progress, strict).select("owner", "shard_id")
+    most = owned.groupBy("owner").count().agg(F.max("count")).scalar()
+    digits = F.greatest(F.ceil(F.ln(most / (PAGES_IN_GROUP * page_size)) / F.ln(F.lit(16.0))), F.lit(0))
+    rows = owned.withColumn(
+        "page_group",
+        F.substring(F.md5(F.col("shard_id").cast("binary")), F.lit(1), digits.cast("int")),
     )
     nth = F.row_number().over(Window.partitionBy("owner", "page_group").orderBy("shard_id"))
     page = F.floor((nth - 1) / F.lit(page_size)).cast("bigint")

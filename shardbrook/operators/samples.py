@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardbrook.functions.measures import seconds, statistic_set, window_bounds
+from shardbrook.functions.measures import statistic_set, window_bounds
 from shardbrook.schema import SHARD_KEYS
 
 # The default histogram boundaries of the Prometheus clients.
@@ -26,25 +26,48 @@ def sample_stats(samples: DataFrame, interval: str | None = None) -> DataFrame:
 def sample_stats_dense(shards: DataFrame, samples: DataFrame, interval_seconds: int) -> DataFrame:
     """``sample_stats`` of one metric, with zeros where a shard was silent.
 
-    Every shard gets a row for every interval between the first and the last
-    sample of the whole input, which is what a periodic flush reports.
+    Every shard covers all intervals between the first and the last sample of the
+    whole input.  Silent intervals that follow one another are one row, from the
+    start of the first to the end of the last, so a quiet shard costs one row and
+    not one for each interval.  Where there is no sample at all each shard has one
+    row of zeros without bounds.
     """
     width = f"{interval_seconds} seconds"
-    per_window = (
-        samples.withColumn("window_start", F.window("ts", width).start)
-        .groupBy(*SHARD_KEYS, "window_start")
-        .agg(*statistic_set("value"))
+    names = ["sample_count", "sum", "maximum", "minimum"]
+    keys = shards.select(*SHARD_KEYS).distinct()
+    per_window = window_bounds(
+        samples.groupBy(F.window("ts", width).alias("w"), *SHARD_KEYS).agg(*statistic_set("value"))
     )
     first = per_window.agg(F.min("window_start")).scalar()
-    last = per_window.agg(F.max("window_start")).scalar()
-    starts = F.sequence(first, last, seconds(interval_seconds))
-    grid = shards.select(*SHARD_KEYS, F.explode(starts).alias("window_start"))
-    names = ["sum", "maximum", "minimum"]
-    return grid.join(per_window, [*SHARD_KEYS, "window_start"], "left").select(
-        *SHARD_KEYS,
-        "window_start",
-        F.coalesce("sample_count", F.lit(0)).cast("bigint").alias("sample_count"),
-        *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names],
+    last = per_window.agg(F.max("window_end")).scalar()
+    known = per_window.join(keys, SHARD_KEYS, "left_semi")
+    zeros = [F.lit(0).cast("bigint").alias(names[0]), *(F.lit(0.0).alias(n) for n in names[1:])]
+    in_time = Window.partitionBy(*SHARD_KEYS).orderBy("window_start")
+    silent_before = (
+        known.withColumn("_from", F.coalesce(F.lag("window_end").over(in_time), first))
+        .filter(F.col("_from") < F.col("window_start"))
+        .select(
+            F.col("_from").alias("window_start"),
+            F.col("window_start").alias("window_end"),
+            *SHARD_KEYS,
+            *zeros,
+        )
+    )
+    ends = known.groupBy(*SHARD_KEYS).agg(F.max("window_end").alias("_till"))
+    silent_after = (
+        keys.join(ends, SHARD_KEYS, "left")
+        .select(
+            F.coalesce("_till", first).alias("window_start"),
+            last.alias("window_end"),
+            *SHARD_KEYS,
+            *zeros,
+        )
+        .filter(F.col("window_end").isNull() | (F.col("window_start") < F.col("window_end")))
+    )
+    return (
+        known.select("window_start", "window_end", *SHARD_KEYS, *names)
+        .unionByName(silent_before)
+        .unionByName(silent_after)
     )
 
 

@@ -304,25 +304,38 @@ _BODIES = {
                  AS BIGINT) AS leases_held
         FROM hours""",
     "stats_with_empty": """
-        , bought AS (SELECT shard_id, date_trunc('day', ts) AS day, floor(value) AS value
-                     FROM u WHERE event_type = 'purchase'),
-        days AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))
-                 AS window_start FROM bought)
-        SELECT g.shard_id, CAST(window_start AS TIMESTAMP) AS window_start,
-               count(value) AS sample_count, coalesce(sum(value), 0.0) AS sum,
-               coalesce(max(value), 0.0) AS maximum, coalesce(min(value), 0.0) AS minimum
-        FROM (SELECT DISTINCT shard_id FROM u) g CROSS JOIN days
-        LEFT JOIN bought ON bought.shard_id = g.shard_id AND day = window_start
-        GROUP BY 1, 2""",
+        , w AS (SELECT shard_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ws, count(*) AS n,
+                       sum(floor(value)) AS t, max(floor(value)) AS a, min(floor(value)) AS i
+                FROM u WHERE event_type = 'purchase' GROUP BY 1, 2),
+        ends AS (SELECT min(ws) AS f, max(ws) + INTERVAL 1 DAY AS l FROM w),
+        following AS (SELECT w.*, coalesce(lag(ws + INTERVAL 1 DAY) OVER (
+                               PARTITION BY shard_id ORDER BY ws), f) AS prev FROM w, ends),
+        till AS (SELECT shard_id, max(ws) + INTERVAL 1 DAY AS til FROM w GROUP BY 1)
+        SELECT shard_id, ws AS window_start, ws + INTERVAL 1 DAY AS window_end,
+               n AS sample_count, t AS sum, a AS maximum, i AS minimum FROM w
+        UNION ALL SELECT shard_id, prev, ws, 0, 0.0, 0.0, 0.0 FROM following WHERE prev < ws
+        UNION ALL SELECT shard_id, coalesce(til, f), l, 0, 0.0, 0.0, 0.0
+        FROM (SELECT DISTINCT shard_id FROM u) LEFT JOIN till USING (shard_id), ends
+        WHERE coalesce(til, f) < l""",
     "metrics_long": _LONG,
     "metrics_text": _EXPOSITION,
+    "metrics_stored": _LONG,
+    "metrics_text_stored": _EXPOSITION,
+    "log_roundtrip": _RECORDS + "r",
     "active_owners": f"""
         SELECT owner, shard_id, count(*) OVER (PARTITION BY owner) AS n_shards
         FROM ({_OWNED})""",
     "owner_shard_lists": f"""
-        SELECT owner, substr(md5(shard_id), 1, 2) AS page_group, CAST(0 AS BIGINT) AS page,
-               string_agg(shard_id, ',' ORDER BY shard_id) AS shards, count(*) AS n_shards
-        FROM ({_OWNED}) GROUP BY 1, 2""",
+        , owned AS ({_OWNED}),
+        most AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM owned GROUP BY owner)),
+        grouped AS (
+          SELECT owner, shard_id, substr(md5(shard_id), 1, CAST(greatest(0, ceil(
+                   ln(n / (64.0 * 5)) / ln(16))) AS INTEGER)) AS page_group FROM owned, most),
+        numbered AS (
+          SELECT *, (row_number() OVER (PARTITION BY owner, page_group ORDER BY shard_id) - 1)
+                    // 5 AS page FROM grouped)
+        SELECT owner, page_group, page, string_agg(shard_id, ',' ORDER BY shard_id) AS shards,
+               count(*) AS n_shards FROM numbered GROUP BY 1, 2, 3""",
     "invalid_progress": """
         SELECT count(*) FILTER (WHERE owner IS NULL OR shard_id IS NULL) AS n_invalid,
                count(*) AS n_rows FROM p WHERE NOT closed""",

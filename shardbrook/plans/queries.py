@@ -22,6 +22,8 @@ from shardbrook.operators import (
 )
 from shardbrook.operators import progress as checkpoints
 from shardbrook.plans import event_log as log
+from shardbrook.sources import sinks
+from shardbrook.sources.log import append_records, stream_log
 from shardbrook.sources.progress_table import empty_progress, read_progress, write_base
 from shardbrook.storage import shared_dir
 from shardbrook.streaming import handoff, runner, windows
@@ -55,6 +57,14 @@ def records_scan(spark, sf_dir):
     return _payload_as_text(log.records(spark, sf_dir))
 
 
+def log_roundtrip(spark, sf_dir):
+    """The records appended to a stored log, and read from it as a stream."""
+    place = shared_dir(spark, "log")
+    append_records(log.records(spark, sf_dir), f"{place}/log")
+    rows, _ = _appended(spark, "roundtrip", stream_log(spark, f"{place}/log"))
+    return _payload_as_text(rows)
+
+
 def shard_catalog(spark, sf_dir):
     return catalog.shard_catalog(log.records(spark, sf_dir)).drop("parent_shard_id")
 
@@ -229,7 +239,7 @@ def leases_windowed(spark, sf_dir):
 
 
 def stats_with_empty(spark, sf_dir):
-    """Purchase values per user and day; silent users show zeros."""
+    """Purchase values per user and day; silent users show zeros, one row for each silence."""
     ev = log.events(spark, sf_dir)
     shards = catalog.list_shards(log.records_of(ev, log.USER_SHARDS))
     bought = ev.filter("event_type = 'purchase'").select(
@@ -249,6 +259,10 @@ def metrics_long(spark, sf_dir):
 
 
 def metrics_text(spark, sf_dir):
+    return _exposition(spark, sf_dir).select("line")
+
+
+def _exposition(spark, sf_dir):
     ev = log.events(spark, sf_dir)
     totals = counters.with_lag(counters.throughput(log.records_of(ev))).withColumn(
         "lag_ms", F.floor(F.col("lag_us") / 1000)
@@ -256,7 +270,21 @@ def metrics_text(spark, sf_dir):
     leases = intervals.lease_metrics(log.lease_events_of(ev), None)
     timings = log.samples_of(ev).filter(F.col("metric") != intervals.LAG)
     histograms = samples.sample_histogram(timings, MILLIS_EDGES)
-    return publish.exposition(totals, leases, histograms).select("line")
+    return publish.exposition(totals, leases, histograms)
+
+
+def metrics_stored(spark, sf_dir):
+    """The long table as the metric sink stores it."""
+    path = f"{shared_dir(spark, 'metrics')}/long"
+    sinks.write_metrics(metrics_long(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def metrics_text_stored(spark, sf_dir):
+    """Exposition lines as the text sink stores them."""
+    path = f"{shared_dir(spark, 'metrics')}/text"
+    sinks.write_exposition(_exposition(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 # --- reports ------------------------------------------------------------------
@@ -267,7 +295,7 @@ def active_owners(spark, sf_dir):
 
 
 def owner_shard_lists(spark, sf_dir):
-    lists = owners.owner_shard_lists(log.progress(spark, sf_dir))
+    lists = owners.owner_shard_lists(log.progress(spark, sf_dir), page_size=5)
     return lists.withColumn("shards", F.array_join("shards", ","))
 
 
@@ -495,6 +523,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         records_scan,
+        log_roundtrip,
         shard_catalog,
         new_shards,
         start_trim_horizon,
@@ -525,6 +554,8 @@ QUERIES: dict[str, Query] = {
         stats_with_empty,
         metrics_long,
         metrics_text,
+        metrics_stored,
+        metrics_text_stored,
         active_owners,
         owner_shard_lists,
         invalid_progress,

@@ -49,16 +49,16 @@ def test_shards_without_samples_show_zeros(spark, make):
     shards = spark.createDataFrame([("s", "a"), ("s", "idle")], "stream string, shard_id string")
     data = make.samples([("a", 1, "lag", -3), ("a", 130, "lag", 5)])
     dense = samples.sample_stats_dense(shards, data, 60)
-    columns = ("shard_id", "window_start", "sample_count", "sum", "maximum", "minimum")
+    columns = ("shard_id", "window_start", "window_end", "sample_count", "sum", "maximum", "minimum")
     zero = (0, 0.0, 0.0, 0.0)
     assert rows(dense, *columns) == [
-        ("a", at(0), 1, -3.0, -3.0, -3.0),
-        ("a", at(60), *zero),
-        ("a", at(120), 1, 5.0, 5.0, 5.0),
-        ("idle", at(0), *zero),
-        ("idle", at(60), *zero),
-        ("idle", at(120), *zero),
+        ("a", at(0), at(60), 1, -3.0, -3.0, -3.0),
+        ("a", at(60), at(120), *zero),
+        ("a", at(120), at(180), 1, 5.0, 5.0, 5.0),
+        ("idle", at(0), at(180), *zero),
     ]
+    none = samples.sample_stats_dense(shards, data.limit(0), 60)
+    assert rows(none, *columns) == [("a", None, None, *zero), ("idle", None, None, *zero)]
 
 
 def test_histogram_is_cumulative_and_inclusive(make):
