@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
+from __future__ import annotations
+
+from shardbrook.llm.licenses import DRIFT, GRAM, LEAST_SCORE, PHRASES, SEPARATOR, TEMPLATES
+
 TOP_PRODUCTS = """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -18,4 +22,77 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-LLM_ORACLES: dict[str, str] = {"op8_top_products": TOP_PRODUCTS}
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _words(text: str) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    lowered = f"translate(coalesce({text}, ''), '{upper}', '{lower}')"
+    parts = f"regexp_split_to_array({lowered}, {_text(SEPARATOR)})"
+    return f"list_filter({parts}, lambda w: w <> '')"
+
+
+def _starts(size: int, wanted: str = "") -> str:
+    """Where windows of ``size`` words start, or only those with a wording."""
+    every = f"range(0, greatest(len(w) - {size - 1}, 0))"
+    if not wanted:
+        return every
+    return f"list_filter({every}, lambda i: array_to_string(w[i + 1 : i + {size}], ' ') = {_text(wanted)})"
+
+
+def _grams(source: str, keep: str) -> str:
+    return (
+        f"SELECT {keep}, unnest({_starts(GRAM)}) AS place, unnest(list_transform({_starts(GRAM)}, "
+        f"lambda i: array_to_string(w[i + 1 : i + {GRAM}], ' '))) AS gram FROM {source}"
+    )
+
+
+_PHRASE_STARTS = ", ".join(
+    f"{_starts(len(phrase.split()), phrase)} AS p{i}" for i, (phrase, _) in enumerate(PHRASES)
+)
+_ALL_STARTS = " || ".join(f"p{i}" for i in range(len(PHRASES)))
+_BASE_LABELS = ", ".join(
+    f"CASE WHEN len(p{i}) > 0 THEN {_text(label)} END" for i, (_, label) in enumerate(PHRASES)
+)
+_TEMPLATE_ROWS = ", ".join(
+    f"({i}, {_text(label)}, {_text(text)})" for i, (label, text) in enumerate(TEMPLATES)
+)
+
+LICENSES = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS w FROM documents),
+based AS (
+    SELECT rid, doc_id, len(w) AS n_words, p, list_filter([{_BASE_LABELS}], lambda l: l IS NOT NULL) AS base
+    FROM (SELECT *, {_ALL_STARTS} AS p FROM (SELECT *, {_PHRASE_STARTS} FROM docs))
+), templates AS (
+    SELECT t AS template, label, {_words("body")} AS w FROM (VALUES {_TEMPLATE_ROWS}) v(t, label, body)
+), places AS (
+    {_grams("templates", f"template, label, len(w) - {GRAM - 1} AS grams")}
+), found AS (
+    {_grams("docs", "rid")}
+), votes AS (
+    SELECT rid, template, label, grams, found.place - places.place AS diagonal, count(*) AS votes
+    FROM found JOIN places USING (gram) GROUP BY ALL
+), marked AS (
+    SELECT *, coalesce(diagonal - lag(diagonal) OVER along > {DRIFT}, true) AS opens FROM votes
+    WINDOW along AS (PARTITION BY rid, template ORDER BY diagonal)
+), numbered AS (
+    SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY rid, template ORDER BY diagonal) AS span
+    FROM marked
+), spans AS (
+    SELECT rid, label, least(sum(votes) / any_value(grams), 1.0) AS share
+    FROM numbered GROUP BY rid, template, label, span
+), told AS (
+    SELECT rid, max(share) AS share,
+           coalesce(list(label) FILTER (WHERE share >= {LEAST_SCORE}), []) AS more
+    FROM spans GROUP BY rid
+)
+SELECT doc_id, n_words, CAST(len(p) AS BIGINT) AS n_base, list_min(p) AS first_word, list_max(p) AS last_word,
+       array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') AS labels,
+       CAST(CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS DOUBLE) AS score
+FROM based LEFT JOIN told USING (rid)
+"""
+
+LLM_ORACLES: dict[str, str] = {"op2_license_scan": LICENSES, "op8_top_products": TOP_PRODUCTS}

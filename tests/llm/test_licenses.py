@@ -92,3 +92,15 @@ def test_query(spark):
     assert all(tuple(row[1:6]) == _base(texts[row.doc_id]) for row in rows)
     gpl = {k for k, text in texts.items() if "GNU General Public License, version 3" in text}
     assert {r.doc_id for r in rows if "gpl-3" in r.labels} == gpl
+
+
+def test_query_against_sql(spark, duck):
+    from shardbrook.llm.oracles import LLM_ORACLES
+    from shardbrook.llm.queries import LLM_QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    wanted = duck.execute(LLM_ORACLES["op2_license_scan"])
+    names = [c[0] for c in wanted.description]
+    found = LLM_QUERIES["op2_license_scan"](spark, sf_dir).select(*names).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, wanted.fetchall()))
