@@ -1,4 +1,7 @@
 import importlib
+import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -77,3 +80,26 @@ def test_registered():
     assert names >= set(LLM_QUERIES) | {"pipeline"}
     assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 11))
     assert set(entry.oracle_sql()) <= names
+
+
+def test_nothing_of_the_package_is_needed_on_the_workers(tmp_path):
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "import __spark_entry__ as e\n"
+        "from shardbrook.session import build_session\n"
+        "spark = build_session('x', 'local[4]', spark_ui_enabled='false')\n"
+        "for n in ('op1_byte_bpe', 'op3_best_fit_packing', 'op5_html_extract', 'op7_language_id',\n"
+        "          'op8_top_products', 'op9_simhash'):\n"
+        "    print('rows', n, e.queries()[n](spark, '/root/testdata/sf0.001').count() > 0)\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code],
+        cwd=tmp_path,
+        env=environment,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.stdout.count("True") == 6, done.stderr[-2000:]
