@@ -36,7 +36,7 @@ def number_of(key: Column | str) -> Column:
     return F.substr(_col(key), F.lit(_PREFIX + 1))
 
 
-def run_of(key: Column | str, digits: int) -> Column:
+def run_of(key: Column | str, digits: Column | int) -> Column:
     """The stretch of a shard a record lies in: its key without the last digits.
 
     It never decreases along a shard, and holds at most ``10 ** digits`` records

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import number_of, run_of
+from shardbrook.functions.sequence import key_bounds, run_of
 from shardbrook.schema import SHARD_KEYS
+from shardbrook.storage import store
 
 
 def running_total(
@@ -80,24 +81,43 @@ def lease_changes() -> Column:
     )
 
 
-def stretch_digits(records: DataFrame, target_records: int = 1_000_000) -> int:
-    """How many last digits to drop so that stretches hold about that many records.
+def in_stretches(records: DataFrame, target_records: int = 1_000_000) -> DataFrame:
+    """Add ``_stretch``: consecutive pieces of each shard of at most twice the target.
 
-    Sequence numbers may lie far apart, so the count follows from the busiest
-    shard's records and span.  Any answer gives right positions; a good one
-    keeps both the stretches and their number small.
+    A shard begins as one stretch.  Stretches with more records are cut: their span
+    and count give the digits to drop where numbers lie evenly.  What is still too
+    large (a burst) is cut again by its own density, and at last by so few digits
+    that a stretch cannot hold more than the target, since numbers are unique.
+
+    Each round passes over the keys and joins a table with a row per crowded stretch;
+    where no shard is crowded there is one pass and no join.
     """
-    busiest = records.groupBy(*SHARD_KEYS).agg(F.count("*").alias("n")).orderBy(F.desc("n")).first()
-    if busiest is None:
-        return 0
-    one = records.filter(
-        F.col("stream").eqNullSafe(busiest.stream) & F.col("shard_id").eqNullSafe(busiest.shard_id)
+    by = [*SHARD_KEYS, "_stretch"]
+    fine = len(str(max(1, target_records))) - 1
+    # How many leading characters the first and the last key share.
+    same = (
+        "size(filter(sequence(1, octet_length(last_key)), "
+        "i -> substring(first_key, 1, i) = substring(last_key, 1, i)))"
     )
-    ends = one.agg(
-        number_of(F.min("seq_key")).alias("first"), number_of(F.max("seq_key")).alias("last")
-    ).first()
-    span = int(ends.last) - int(ends.first) + 1
-    return len(str(max(1, span * target_records // busiest.n))) - 1
+    pieces = F.ceil(F.log10(F.col("n_records") / target_records)).cast("int")
+    even = F.greatest(F.octet_length("last_key") - F.expr(same) - pieces, F.lit(0))
+    dealt = records.withColumn("_stretch", F.lit(""))
+    for digits in (even, even, F.lit(fine)):
+        crowded = store(
+            key_bounds(dealt, by)
+            .filter((F.col("n_records") > 2 * target_records) & F.col("last_key").isNotNull())
+            .select(*by, digits.alias("_digits")),
+            "crowded",
+        )
+        if crowded.isEmpty():
+            break
+        run = F.when(F.col("_digits").isNotNull(), run_of("seq_key", F.col("_digits")))
+        dealt = (
+            dealt.join(crowded, by, "left")
+            .withColumn("_stretch", F.coalesce(run, "_stretch"))
+            .drop("_digits")
+        )
+    return dealt
 
 
 def shard_positions(
@@ -105,15 +125,15 @@ def shard_positions(
 ) -> DataFrame:
     """Number the records of each shard from 1 in sequence order.
 
-    Without ``digits`` they are chosen by ``stretch_digits``: two small jobs.
+    Stretches follow from the rows (``in_stretches``); ``digits`` sets them by the
+    number of last digits instead, where that is known to suit.
     """
-    if digits is None:
-        digits = stretch_digits(records, target_records)
+    rows = in_stretches(records, target_records) if digits is None else records
     return running_total(
-        records,
+        rows,
         keys=SHARD_KEYS,
         order=["seq_key"],
         value=F.lit(1),
-        stretch=run_of("seq_key", digits),
+        stretch=F.col("_stretch") if digits is None else run_of("seq_key", digits),
         name="position",
     )

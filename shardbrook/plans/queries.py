@@ -333,8 +333,7 @@ def activity_sessions(spark, sf_dir):
 
 
 def shard_positions(spark, sf_dir):
-    """Numbered records; short stretches, so that small tables have several too."""
-    return running.shard_positions(log.records(spark, sf_dir), digits=3).select(
+    return running.shard_positions(log.records(spark, sf_dir)).select(
         "shard_id", "sequence_number", "position"
     )
 

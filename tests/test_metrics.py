@@ -180,16 +180,38 @@ def test_publish_chooses_by_service_name(make):
         publish.publish("statsd", long=long)
 
 
+FIRST = 49590338271490256608559692538361571095921575989136588898
+
+
+def _stretches(recs, target):
+    """Sizes of the stretches, with positions checked against plain order."""
+    numbered = running.shard_positions(recs, target_records=target).collect()
+    by_shard = {}
+    for r in numbered:
+        by_shard.setdefault(r.shard_id, []).append((int(r.sequence_number), r.position))
+    for found in by_shard.values():
+        assert [p for _, p in sorted(found)] == list(range(1, len(found) + 1))
+    sizes = {}
+    for r in numbered:
+        sizes[r.shard_id, r._stretch] = sizes.get((r.shard_id, r._stretch), 0) + 1
+    return list(sizes.values())
+
+
 @pytest.mark.parametrize("gap", [1, 10**30])
 def test_stretches_suit_sparse_and_dense_numbers(make, gap):
-    first = 49590338271490256608559692538361571095921575989136588898
-    recs = make.records([("a", str(first + i * gap), i, b"") for i in range(200)])
-    digits = running.stretch_digits(recs, target_records=20)
-    numbered = running.shard_positions(recs, target_records=20)
-    sizes = [r["count"] for r in numbered.groupBy("_stretch").count().collect()]
-    assert digits == len(str(20 * gap)) - 1
-    assert max(sizes) <= 20 and len(sizes) <= 25
-    assert [r.position for r in numbered.orderBy("seq_key").collect()] == list(range(1, 201))
+    recs = make.records([("a", str(FIRST + i * gap), i, b"") for i in range(200)])
+    sizes = _stretches(recs, 20)
+    assert max(sizes) <= 40 and len(sizes) <= 210
+
+
+def test_stretches_of_a_burst_and_of_shards_with_other_spacing(make):
+    """A burst of neighbours far from the rest, and a sparse shard beside a dense one."""
+    burst = [("a", str(FIRST + i), i, b"") for i in range(150)]
+    burst += [("a", str(FIRST + 10**40 + i * 10**38), i, b"") for i in range(30)]
+    sparse = [("b", str(i * 10**9), i, b"") for i in range(100)]
+    short = [("c", str(i), i, b"") for i in range(5)]
+    sizes = _stretches(make.records(burst + sparse + short), 20)
+    assert max(sizes) <= 40 and len(sizes) <= 80
 
 
 def test_shard_metrics_in_total(make):
