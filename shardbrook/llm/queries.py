@@ -73,7 +73,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), repository_col=None)
     return found.select(
         "doc_id",
         "n_assign",
