@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardbrook.llm import packing, quality, rules, secrets, similar
+from shardbrook.llm import packing, quality, rules, secrets, simhash
 from shardbrook.llm.common import table, whole_text
 from shardbrook.storage import shared_dir
 
@@ -16,7 +16,10 @@ def _boxed(docs: DataFrame, *needed: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or are unlike trusted text."""
+    """Drops documents that fail the base rules or are unlike trusted text.
+
+    Null and empty texts fail.  Every row is judged by its own text, repeated or not.
+    """
     judged = rules.judge(_boxed(docs, "doc_id", "text"), keep=("_row_kept",))
     return judged.where("kept").select("_row_kept.*")
 
@@ -24,7 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the pairwise ranking puts below its threshold.
 
-    The ranking is learned from the labelled documents of the raw table.
+    The ranking is learned from the labelled documents of the raw table.  Null and
+    empty texts get a score like any other; equal texts get equal ones.
     """
     ranking = quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     scored = quality.score_documents(
@@ -36,14 +40,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group; one row if it is repeated.
 
-    Groups hang together by pairs of a five-word Jaccard index of at least 0.8.
+    Groups hang together by SimHash fingerprints of three-word shingles at three or
+    fewer differing bits.  Null and empty texts have one fingerprint and are one group.
+    Rows with a null id come after all others; rows alike in id and text are one row.
     """
+    # Sixteen digits that sort like the id, negative ones first.
+    ordered = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
     name = F.concat(
-        F.lpad(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), 20, "0"),
-        F.lit(":"),
-        F.md5(whole_text().cast("binary")),
+        F.coalesce(ordered, F.lit("~")), F.lit(":"), F.md5(whole_text().cast("binary"))
     )
-    found = similar.similar_groups(docs.select(name.alias("_name"), "text"), id_col="_name")
+    found = simhash.near_duplicates(docs.select(name.alias("_name"), "text"), id_col="_name")
     first = found.where("_name = component_id").select("_name").distinct()
     return (
         docs.withColumn("_name", name)
@@ -54,7 +60,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets; ``n_chars`` follows the text."""
+    """Masks secrets; ``n_chars`` follows the text.
+
+    All rows stay, in any number of copies; a null or empty text holds no secret.
+    """
     found = secrets.find_secrets(
         _boxed(docs, "doc_id", "text", "source"), repository_col=None, keep=("_row_kept",)
     )
@@ -72,7 +81,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all documents in sequences of at most 2048 tokens."""
+    """Places of all documents in sequences of at most 2048 tokens.
+
+    A null or empty text is one piece of one token; repeated rows each get a place.
+    """
     return packing.pack_documents(docs)
 
 
