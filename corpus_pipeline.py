@@ -52,10 +52,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = simhash.near_duplicates(docs.select(name.alias("_name"), "text"), id_col="_name")
     first = found.where("_name = component_id").select("_name").distinct()
     return (
-        docs.withColumn("_name", name)
+        docs.select(name.alias("_name"), F.struct(*docs.columns).alias("_row_kept"))
         .join(first, "_name", "left_semi")
         .dropDuplicates(["_name"])
-        .select(*docs.columns)
+        .select("_row_kept.*")
     )
 
 
