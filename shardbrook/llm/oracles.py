@@ -95,4 +95,112 @@ SELECT doc_id, n_words, CAST(len(p) AS BIGINT) AS n_base, list_min(p) AS first_w
 FROM based LEFT JOIN told USING (rid)
 """
 
-LLM_ORACLES: dict[str, str] = {"op2_license_scan": LICENSES, "op8_top_products": TOP_PRODUCTS}
+
+def _assigned(turn: int) -> str:
+    """Nearest centroid of every vector, then the centroids that follow."""
+    return f"""
+a{turn} AS (
+    SELECT rid, min({{'d': CAST(list_sum(list_transform(list_zip(u.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
+                           AS BIGINT), 'c': c.c}}) AS best
+    FROM usable u CROSS JOIN c{turn} c GROUP BY rid
+)"""
+
+
+def _moved(turn: int) -> str:
+    return f"""
+m{turn} AS (
+    SELECT c, list(mean ORDER BY place) AS v FROM (
+        SELECT a.best.c AS c, place, CAST(floor(sum(u.v[place]) / count(*)) AS BIGINT) AS mean
+        FROM a{turn} a JOIN usable u USING (rid) CROSS JOIN range(1, 65) t(place) GROUP BY 1, 2)
+    GROUP BY c
+), c{turn + 1} AS (SELECT c, coalesce(m.v, old.v) AS v FROM c{turn} old LEFT JOIN m{turn} m USING (c))"""
+
+
+CENTROIDS = f"""
+WITH usable AS (
+    SELECT row_number() OVER () AS rid, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS c, v
+    FROM usable QUALIFY c < 16
+), {", ".join(_assigned(turn) + "," + _moved(turn) for turn in range(3))}, {_assigned(3)}
+SELECT vec_id, CAST(a.best.c AS INTEGER) AS cluster, a.best.d AS distance,
+       CAST(sum(a.best.d) OVER (PARTITION BY a.best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a3 a JOIN usable USING (rid) JOIN c3 c ON c.c = a.best.c
+"""
+
+
+def _value(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_value, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _tree(name: str, group: str, nodes: str) -> str:
+    """All levels of the trees over ``nodes`` (group, pos, h, n): n nodes on a level."""
+    return f"""
+{name} AS (
+    SELECT {group}, 0 AS lvl, pos, h, n FROM {nodes}
+    UNION ALL
+    SELECT {group}, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+    FROM {name} WHERE n > 1 GROUP BY {group}, lvl, pos // 2, n
+)"""
+
+
+# CRC-32 of a decimal number, by its bytes and their bits.
+_CRC_TURN = (
+    "list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]), "
+    "lambda x, bit: xor(x >> 1, (x & 1) * 3988292384))"
+)
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    f"lambda c: CAST(ascii(c) AS BIGINT))), lambda crc, byte: {_CRC_TURN}), 4294967295)"
+)
+
+
+def _beside(tree: str, group: str, low: str, height: int) -> str:
+    """Digests beside the way up from the nodes of ``low`` (id, group, pos)."""
+    return f"""
+    SELECT x.id, {height} + t.lvl AS step, t.pos & 1 AS odd, coalesce(s.h, '') AS h
+    FROM {low} x JOIN {tree} t ON t.{group} = x.{group} AND t.pos = x.pos >> t.lvl AND t.n > 1
+    LEFT JOIN {tree} s ON s.{group} = t.{group} AND s.lvl = t.lvl AND s.pos = xor(t.pos, 1)"""
+
+
+MANIFEST = f"""
+WITH RECURSIVE leaves AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS grp, {_leaf("n_chars")} AS h,
+           CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS found
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h, id) - 1 AS pos,
+           count(*) OVER (PARTITION BY grp) AS n FROM leaves
+), {_tree("tree", "grp", "placed")}, subroots AS (
+    SELECT 0 AS one, grp, h, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), {_tree("upper", "one", "subroots")}, tops AS (
+    SELECT placed.id, one, subroots.pos FROM placed JOIN subroots USING (grp)
+), paths AS (
+    SELECT id, list({{'odd': odd, 'h': h}} ORDER BY step) AS path
+    FROM ({_beside("tree", "grp", "placed", 0)} UNION ALL {_beside("upper", "one", "tops", 1000)})
+    GROUP BY id
+), found AS (
+    SELECT doc_id, placed.h AS leaf, subroots.h AS subroot, (SELECT h FROM upper WHERE n = 1) AS root,
+           sha256(array_to_string(list_transform(coalesce(path, []), lambda s: s.h), '')) AS proof_sha256,
+           list_reduce(list_prepend({{'odd': 0, 'h': found}}, coalesce(path, [])), lambda low, s: {{'odd': 0,
+               'h': sha256(CASE WHEN s.odd = 1 THEN s.h || low.h ELSE low.h || s.h END)}}).h AS folded_root
+    FROM placed JOIN subroots USING (grp) LEFT JOIN paths USING (id)
+)
+SELECT *, folded_root = root AS verified FROM found
+"""
+
+LLM_ORACLES: dict[str, str] = {
+    "op2_license_scan": LICENSES,
+    "op8_top_products": TOP_PRODUCTS,
+    "op12_centroids": CENTROIDS,
+    "op13_merkle_manifest": MANIFEST,
+}

@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from shardbrook.llm import (
     bpe,
+    clusters,
     html_extract,
     langid,
     licenses,
+    manifest,
     packing,
     quality,
     rules,
     secrets,
+    sharding,
     simhash,
     topk,
 )
-from shardbrook.llm.common import table
+from shardbrook.llm.common import table, whole_text
+from shardbrook.storage import store
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +90,58 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(whole_text().cast("binary")).alias("text_crc32")
+    )
+    return sharding.shard_documents(docs, keep=("text_crc32",)).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = clusters.whole_vectors(table(spark, sf_dir, "embeddings"))
+    found, centroids = clusters.cluster(vectors)
+    found = store(found, "clusters")
+    told = spark.createDataFrame(
+        [(i, clusters.digest(c)) for i, c in enumerate(centroids)],
+        "cluster int, centroid_sha256 string",
+    )
+    # A row for each centroid.
+    sums = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    sums = sums.join(told, "cluster").withColumn(
+        "inertia", found.agg(F.sum("distance")).scalar()
+    )
+    return found.join(F.broadcast(sums), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found_chars = F.col("n_chars") + F.when(tampered, 1).otherwise(0)
+    found = manifest.leaf(
+        F.col("doc_id"), F.col("source"), F.col("lang"), found_chars, F.col("text")
+    )
+    listed = manifest.manifest(docs.withColumn("found", found), keep=("found",))
+    folded = manifest.folded(F.col("found"), F.col("path"))
+    return listed.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.digest(manifest.siblings(F.col("path"))).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_license_scan": op2_license_scan,
@@ -97,4 +153,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_products": op8_top_products,
     "op9_simhash": op9_simhash,
     "op10_secret_scan": op10_secret_scan,
+    "op11_sharding": op11_sharding,
+    "op12_centroids": op12_centroids,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -78,7 +78,7 @@ def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
     assert names >= set(LLM_QUERIES) | {"pipeline"}
-    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 14))
     assert set(entry.oracle_sql()) <= names
 
 
