@@ -82,3 +82,24 @@ def activity_sessions(records: DataFrame, gap_seconds: int = DEFAULT_LEASE_SECON
         )
         .drop("_session")
     )
+
+
+def stalls(records: DataFrame, lease_seconds: int = DEFAULT_LEASE_SECONDS) -> DataFrame:
+    """Every time a shard was silent for longer than the lease: ``kind, last_arrival, at``.
+
+    ``stalled`` at the end of the lease, up to the newest record of the shard's stream;
+    ``back`` at the first record after it.
+    """
+    opened = activity_sessions(records, lease_seconds)
+    by_time = Window.partitionBy(*SHARD_KEYS).orderBy("session_start")
+    tips = opened.groupBy("stream").agg(F.max("session_end").alias("_tip"))
+    ended = (
+        opened.withColumn("_back", F.lead("session_start").over(by_time))
+        .join(tips, "stream")
+        .withColumn("last_arrival", F.col("session_end") - seconds(lease_seconds))
+        .filter(F.col("session_end") < F.col("_tip") - seconds(lease_seconds))
+    )
+    told = F.struct(F.lit("stalled").alias("kind"), F.col("session_end").alias("at"))
+    back = F.struct(F.lit("back").alias("kind"), F.col("_back").alias("at"))
+    kinds = F.when(F.col("_back").isNull(), F.array(told)).otherwise(F.array(told, back))
+    return ended.select(*SHARD_KEYS, "last_arrival", F.inline(kinds))

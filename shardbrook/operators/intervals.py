@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +44,18 @@ def shard_metrics(
         counts = throughput_by_interval(records, interval)
     else:
         counts = throughput(records)
-    stats = ("sample_count", "sum", "maximum", "minimum")
-    counted = counts.select(
+    together = record_columns(counts, keys).unionByName(
+        sample_columns(sample_stats(samples, interval), keys)
+    )
+    return together.groupBy(*keys).agg(*metric_columns())
+
+
+_STATS = ("sample_count", "sum", "maximum", "minimum")
+
+
+def record_columns(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of records in the columns that they share with statistics of samples."""
+    return counts.select(
         *keys,
         F.lit(_RECORD).alias("metric"),
         F.col("n_records").alias("sample_count"),
@@ -52,33 +64,39 @@ def shard_metrics(
         F.lit(0.0).alias("maximum"),
         F.lit(0.0).alias("minimum"),
     )
-    measured = sample_stats(samples, interval).select(
-        *keys, "metric", *stats, F.lit(0).cast("bigint").alias("n_bytes")
-    )
+
+
+def sample_columns(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return stats.select(*keys, "metric", *_STATS, F.lit(0).cast("bigint").alias("n_bytes"))
+
+
+def metric_columns() -> list[Column]:
+    """Aggregates that spread rows per metric into columns."""
 
     def of(metric: str, column: str) -> Column:
         return F.coalesce(
             F.max(F.when(F.col("metric") == metric, F.col(column))), F.lit(0)
         )
 
-    return (
-        counted.unionByName(measured)
-        .groupBy(*keys)
-        .agg(
-            of(_RECORD, "sample_count").cast("bigint").alias("n_records"),
-            F.max("n_bytes").alias("n_bytes"),
-            *[of(m, s).alias(f"{m}_{s}") for m in (LAG, FETCH, PROCESS) for s in stats],
-        )
-    )
+    return [
+        of(_RECORD, "sample_count").cast("bigint").alias("n_records"),
+        F.max("n_bytes").alias("n_bytes"),
+        *[of(m, s).alias(f"{m}_{s}") for m in (LAG, FETCH, PROCESS) for s in _STATS],
+    ]
+
+
+def lease_sums(net: str) -> list[Column]:
+    """Renewals, and gains less losses under the name ``net``."""
+    return [
+        F.count_if(F.col("kind") == "renewed").alias("n_renewals"),
+        F.sum(lease_changes()).alias(net),
+    ]
 
 
 def lease_metrics(lease_events: DataFrame, interval: str | None = DEFAULT_INTERVAL) -> DataFrame:
     """Renewals per interval, and leases held at its end (never reset)."""
     keys = [*SHARD_KEYS, "worker"]
-    sums = [
-        F.count_if(F.col("kind") == "renewed").alias("n_renewals"),
-        F.sum(lease_changes()).alias("_net"),
-    ]
+    sums = lease_sums("_net")
     if not interval:
         return (
             lease_events.groupBy(*keys).agg(*sums).withColumnRenamed("_net", "leases_held")

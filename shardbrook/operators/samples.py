@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardbrook.functions.measures import statistic_set, window_bounds
+from shardbrook.functions.measures import seconds, statistic_set, window_bounds
 from shardbrook.schema import SHARD_KEYS
 
 # The default histogram boundaries of the Prometheus clients.
@@ -71,6 +71,35 @@ def sample_stats_dense(shards: DataFrame, samples: DataFrame, interval_seconds:
     )
 
 
+def sample_stats_every(samples: DataFrame, interval_seconds: int) -> DataFrame:
+    """``sample_stats`` of one metric, a row for every interval since a shard's first row.
+
+    Rows without a value make a shard known and count as no sample.  Silent intervals have
+    zeros; all shards go up to the last interval of the whole input.
+    """
+    width = f"{interval_seconds} seconds"
+    names = ["sample_count", "sum", "maximum", "minimum"]
+    per_window = window_bounds(
+        samples.groupBy(F.window("ts", width).alias("w"), *SHARD_KEYS).agg(*statistic_set("value"))
+    )
+    last = per_window.agg(F.max("window_end")).scalar()
+    in_time = Window.partitionBy(*SHARD_KEYS).orderBy("window_start")
+    step = seconds(interval_seconds)
+    silent = (
+        per_window.withColumn("_next", F.coalesce(F.lead("window_start").over(in_time), last))
+        .filter(F.col("window_end") < F.col("_next"))
+        .select(
+            F.explode(F.sequence("window_end", F.col("_next") - step, step)).alias("window_start"),
+            *SHARD_KEYS,
+        )
+    )
+    zeros = [F.lit(0).cast("bigint").alias(names[0]), *(F.lit(0.0).alias(n) for n in names[1:])]
+    silent = silent.select(
+        "window_start", (F.col("window_start") + step).alias("window_end"), *SHARD_KEYS, *zeros
+    )
+    return per_window.select("window_start", "window_end", *SHARD_KEYS, *names).unionByName(silent)
+
+
 def sample_histogram(
     samples: DataFrame, boundaries: Sequence[float] = DEFAULT_BUCKETS
 ) -> DataFrame:

@@ -205,6 +205,16 @@ ends AS (SELECT shard_id, metric, count(*) AS c, sum(value) AS t
 
 _RECORDS = "SELECT stream, shard_id, seq AS sequence_number, partition_key, payload FROM "
 
+_LEASE_HOURS = """
+        , hours AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, shard_id, worker,
+                           CAST(sum(renewal) AS BIGINT) AS n_renewals, sum(delta) AS net
+                    FROM l GROUP BY ALL)
+        SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end,
+               'events' AS stream, shard_id, worker, n_renewals,
+               CAST(sum(net) OVER (PARTITION BY shard_id, worker ORDER BY window_start)
+                 AS BIGINT) AS leases_held
+        FROM hours"""
+
 _BODIES = {
     "records_scan": _RECORDS + "r",
     "shard_catalog": """
@@ -294,15 +304,7 @@ _BODIES = {
                time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
                stream, shard_id, count(*) AS n_records, CAST(sum(n) AS BIGINT) AS n_bytes
         FROM r GROUP BY ALL""",
-    "leases_windowed": """
-        , hours AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, shard_id, worker,
-                           CAST(sum(renewal) AS BIGINT) AS n_renewals, sum(delta) AS net
-                    FROM l GROUP BY ALL)
-        SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end,
-               'events' AS stream, shard_id, worker, n_renewals,
-               CAST(sum(net) OVER (PARTITION BY shard_id, worker ORDER BY window_start)
-                 AS BIGINT) AS leases_held
-        FROM hours""",
+    "leases_windowed": _LEASE_HOURS,
     "stats_with_empty": """
         , w AS (SELECT shard_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ws, count(*) AS n,
                        sum(floor(value)) AS t, max(floor(value)) AS a, min(floor(value)) AS i
@@ -401,6 +403,24 @@ _BODIES = {
         FROM r GROUP BY 1, 2""",
     "stream_sessions": _SESSIONS + "SELECT * FROM sessions",
     "stream_deduplicated": _RECORDS + "r",
+    "stream_leases": _LEASE_HOURS,
+    "stream_stats_with_empty": """
+        , d AS (SELECT shard_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ws,
+                       CASE WHEN event_type = 'purchase' THEN floor(value) END AS v FROM u),
+        days AS (SELECT shard_id, unnest(generate_series(min(ws), (SELECT max(ws) FROM d),
+                                                         INTERVAL 1 DAY)) AS ws
+                 FROM d GROUP BY 1)
+        SELECT days.ws AS window_start, days.ws + INTERVAL 1 DAY AS window_end, days.shard_id,
+               count(v) AS sample_count, coalesce(sum(v), 0.0) AS sum,
+               coalesce(max(v), 0.0) AS maximum, coalesce(min(v), 0.0) AS minimum
+        FROM days LEFT JOIN d ON d.shard_id = days.shard_id AND d.ws = days.ws GROUP BY ALL""",
+    "stream_stalled": """
+        , next AS (SELECT shard_id, ts, lead(ts) OVER (PARTITION BY shard_id ORDER BY ts) AS nxt,
+                          (SELECT max(ts) FROM u) AS tip FROM u),
+        silent AS (SELECT * FROM next WHERE coalesce(nxt, tip) > ts + INTERVAL 1 DAY)
+        SELECT 'stalled' AS kind, shard_id, ts AS last_arrival, ts + INTERVAL 1 DAY AS at FROM silent
+        UNION ALL SELECT 'back', shard_id, ts, nxt FROM silent WHERE nxt IS NOT NULL""",
+    "stream_metrics_long": _LONG,
 }
 
 ORACLES = {name: f"{_PRELUDE}{body}" for name, body in _BODIES.items()}

@@ -26,12 +26,14 @@ from shardbrook.sources import sinks
 from shardbrook.sources.log import append_records, stream_log
 from shardbrook.sources.progress_table import empty_progress, read_progress, write_base
 from shardbrook.storage import shared_dir
-from shardbrook.streaming import handoff, runner, windows
+from shardbrook.streaming import handoff, metrics, runner, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR = "1 hour"
+DAY_SECONDS = 86_400
 GAP_SECONDS = 1800
+BUCKET_SECONDS = 3600
 FILES_PER_BATCH = 1000
 MILLIS_EDGES = (5, 10, 25, 50, 100, 250, 500)
 
@@ -518,6 +520,66 @@ def stream_deduplicated(spark, sf_dir):
     return _payload_as_text(kept)
 
 
+def _rest(found: DataFrame, time: str, query) -> DataFrame:
+    """Rows of a batch read whose time the watermark of an ended stream has not passed."""
+    watermark = windows.final_watermark(query)
+    return found if watermark is None else found.filter(F.col(time) > watermark)
+
+
+def stream_leases(spark, sf_dir):
+    """Hourly renewals and leases held: what the stream gave out, then the log's end."""
+    stream = log.lease_events_of(log.events_stream(spark, sf_dir))
+    closed, query = _appended(spark, "leases", metrics.stream_leases(stream, HOUR, HOUR))
+    whole = intervals.lease_metrics(log.lease_events_of(log.events(spark, sf_dir)), HOUR)
+    times = ["window_start", "window_end"]
+    return _with_tail(closed, _rest(whole, "window_end", query), whole.columns, times)
+
+
+def _bought(events: DataFrame) -> DataFrame:
+    """Purchase values of each user; other events make the user known."""
+    bought = F.when(F.col("event_type") == "purchase", F.floor("value").cast("double"))
+    return events.select(
+        F.lit(log.STREAM).alias("stream"),
+        F.expr(log.USER_SHARDS).alias("shard_id"),
+        "ts",
+        bought.alias("value"),
+    )
+
+
+def stream_stats_with_empty(spark, sf_dir):
+    """Purchase values per user and day since the user's first event, silent days as zeros."""
+    stream = _bought(log.events_stream(spark, sf_dir))
+    closed, query = _appended(spark, "dense", metrics.stream_stats_dense(stream, DAY_SECONDS, HOUR))
+    whole = samples.sample_stats_every(_bought(log.events(spark, sf_dir)), DAY_SECONDS)
+    times = ["window_start", "window_end"]
+    found = _with_tail(closed, _rest(whole, "window_end", query), whole.columns, times)
+    return found.drop("stream")
+
+
+def stream_stalled(spark, sf_dir):
+    """When users fell silent for a day, and when they were back."""
+    stream = log.records_of(log.events_stream(spark, sf_dir), log.USER_SHARDS)
+    told, query = _appended(
+        spark, "stalled", metrics.stream_stalled(stream, DAY_SECONDS, BUCKET_SECONDS, HOUR)
+    )
+    whole = activity.stalls(log.records(spark, sf_dir, log.USER_SHARDS), DAY_SECONDS)
+    known = F.window("at", f"{BUCKET_SECONDS} seconds").end
+    tail = _rest(whole.withColumn("_known", known), "_known", query)
+    columns = ["kind", "shard_id", "last_arrival", "at"]
+    return _with_tail(told, tail, columns, ["last_arrival", "at"])
+
+
+def stream_metrics_long(spark, sf_dir):
+    """The hourly long table: what the stream gave out, then the log's end."""
+    ev = log.events_stream(spark, sf_dir)
+    long = metrics.stream_metrics_long(
+        log.records_of(ev), log.samples_of(ev), log.lease_events_of(ev), HOUR, HOUR
+    )
+    closed, query = _appended(spark, "long", publish.flat_metrics(long))
+    whole = metrics_long(spark, sf_dir)
+    return _with_tail(closed, _rest(whole, "ts", query), whole.columns, ["ts"])
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -574,5 +636,9 @@ QUERIES: dict[str, Query] = {
         stream_windows,
         stream_sessions,
         stream_deduplicated,
+        stream_leases,
+        stream_stats_with_empty,
+        stream_stalled,
+        stream_metrics_long,
     )
 }

@@ -1,0 +1,147 @@
+"""Metrics as streams: every step is a new start of the query from its checkpoint."""
+
+import random
+
+import pytest
+from conftest import at, rows
+from pyspark.sql import functions as F
+
+from shardbrook.operators import activity, intervals, publish, samples
+from shardbrook.streaming import metrics, runner, windows
+
+
+class Live:
+    """A table that grows, read by a query that is started anew for each addition."""
+
+    def __init__(self, spark, root, schema, live):
+        self.spark, self.root, self.schema, self.live = spark, root, schema, live
+        self.query = None
+
+    def whole(self):
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/in")
+
+    def push(self, rows):
+        self.spark.createDataFrame(rows, self.schema).write.mode("append").parquet(f"{self.root}/in")
+        source = self.spark.readStream.schema(self.schema).parquet(f"{self.root}/in")
+        result = self.live(source)
+        self.columns = result.columns
+        self.query = runner.run_to_end(
+            runner.append_to_table(result, f"{self.root}/out", f"{self.root}/checkpoint")
+        )
+        return self.out()
+
+    def out(self):
+        return self.spark.read.parquet(f"{self.root}/out").select(*self.columns)
+
+    def passed(self, found, time):
+        return found.filter(F.col(time) <= windows.final_watermark(self.query))
+
+
+LEASES = "stream string, shard_id string, worker string, ts timestamp, kind string"
+SAMPLES = "stream string, shard_id string, ts timestamp, value double"
+RECORDS = "stream string, shard_id string, data binary, arrival_ts timestamp"
+
+
+def test_leases_survive_the_interval_and_a_restart(spark, tmp_path):
+    rng = random.Random(1)
+    live = Live(spark, str(tmp_path), LEASES, lambda s: metrics.stream_leases(s, "10 seconds", "5 seconds"))
+    for step in range(4):
+        pushed = [
+            ("s", rng.choice("ab"), rng.choice("vw"), at(step * 60 + rng.randrange(60)), kind)
+            for kind in rng.choices(["gained", "lost", "renewed"], k=30)
+        ]
+        found = live.push(pushed + [("s", "z", "v", at(step * 60 + 60), "renewed")])
+        wanted = intervals.lease_metrics(live.whole(), "10 seconds")
+        assert rows(found) == rows(live.passed(wanted, "window_end"), *live.columns)
+    assert found.count() > 20
+
+
+def test_silent_shards_give_zeros_on_time(spark, tmp_path):
+    live = Live(spark, str(tmp_path), SAMPLES, lambda s: metrics.stream_stats_dense(s, 10, "5 seconds"))
+    live.push([("s", "quiet", at(1), 3.0), ("s", "known", at(12), None), ("s", "busy", at(22), 1.0)])
+    # From here on only one shard speaks; the watermark ends between two timers.
+    for second in (41, 47, 88):
+        found = live.push([("s", "busy", at(second), 2.0)])
+        wanted = samples.sample_stats_every(live.whole(), 10)
+        assert rows(found) == rows(live.passed(wanted, "window_end"), *live.columns)
+    quiet = found.filter("shard_id = 'quiet'").orderBy("window_start").collect()
+    assert [r.sample_count for r in quiet] == [1, *[0] * 7]
+    assert [(r.sum, r.maximum, r.minimum) for r in quiet[:2]] == [(3.0, 3.0, 3.0), (0.0, 0.0, 0.0)]
+    found = live.push([("s", "quiet", at(125), 5.0), ("s", "busy", at(160), 1.0)])
+    wanted = samples.sample_stats_every(live.whole(), 10)
+    assert rows(found) == rows(live.passed(wanted, "window_end"), *live.columns)
+
+
+def test_a_silent_shard_is_told_without_input_and_once(spark, tmp_path):
+    live = Live(
+        spark, str(tmp_path), RECORDS, lambda s: metrics.stream_stalled(s, 30, 10, "5 seconds")
+    )
+
+    def told(*seconds, shard="busy"):
+        found = live.push([("s", shard, b"", at(x)) for x in seconds])
+        return rows(found, "kind", "shard_id", "last_arrival", "at")
+
+    first = ("stalled", "quiet", at(3), at(33))
+    assert told(3, 8, shard="quiet") == []
+    assert ("stalled", "quiet", at(8), at(38)) not in told(20, 40)
+    first = ("stalled", "quiet", at(8), at(38))
+    assert told(60) == [first]
+    assert told(70) == [first]
+    assert told(100) == [first]
+    found = told(110, shard="quiet") + told(135)
+    assert ("back", "quiet", at(8), at(110)) in found
+    assert found.count(first) == 2
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_alerts_equal_the_batch_report(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    live = Live(
+        spark, str(tmp_path), RECORDS, lambda s: metrics.stream_stalled(s, 20, 5, "10 seconds")
+    )
+    for step in range(3):
+        times = [(rng.choice("abc"), step * 200 + rng.random() * 200) for _ in range(25)]
+        found = live.push([("s", shard, b"", at(t)) for shard, t in times])
+    wanted = activity.stalls(live.whole(), 20).withColumn("_known", F.window("at", "5 seconds").end)
+    assert rows(found) == rows(live.passed(wanted, "_known"), *live.columns)
+    assert found.count() > 10
+
+
+def test_long_table_over_several_batches(spark, tmp_path):
+    """Records, samples and leases of one table of events, an interval at a time."""
+    rng = random.Random(5)
+    schema = "stream string, shard_id string, worker string, ts timestamp, kind string, metric string, value double, data binary"
+
+    def parts(events):
+        return (
+            events.selectExpr("stream", "shard_id", "data", "ts AS arrival_ts"),
+            events.filter("metric IS NOT NULL").select("stream", "shard_id", "ts", "metric", "value"),
+            events.filter("kind IS NOT NULL").select("stream", "shard_id", "worker", "ts", "kind"),
+        )
+
+    def long(events):
+        return publish.flat_metrics(metrics.stream_metrics_long(*parts(events), "10 seconds", "5 seconds"))
+
+    live = Live(spark, str(tmp_path), schema, long)
+    for step in range(3):
+        live.push(
+            [
+                (
+                    "s",
+                    rng.choice("ab"),
+                    "w",
+                    at(step * 50 + rng.randrange(50)),
+                    rng.choice(["gained", "lost", "renewed", None]),
+                    rng.choice(["lag", "fetch", "process", None]),
+                    float(rng.randrange(9)),
+                    b"x" * rng.randrange(5),
+                )
+                for _ in range(40)
+            ]
+        )
+    records, measured, leases = parts(live.whole())
+    per_shard = intervals.shard_metrics(records, measured, "10 seconds")
+    held = intervals.lease_metrics(leases, "10 seconds")
+    whole = publish.flat_metrics(publish.metrics_long(per_shard, held, "window_end"))
+    assert rows(live.out()) == rows(live.passed(whole, "ts"), *live.columns)
+    assert live.out().count() > 100
