@@ -403,6 +403,12 @@ _BODIES = {
         FROM r GROUP BY 1, 2""",
     "stream_sessions": _SESSIONS + "SELECT * FROM sessions",
     "stream_deduplicated": _RECORDS + "r",
+    "handoff_times": """
+        SELECT stream, shard_id, metric, true AS timed,
+               CASE WHEN metric = 'lag' THEN CAST((epoch_us((SELECT max(ts) FROM events))
+                 - epoch_us(max(ts))) // 1000 AS DOUBLE) END AS lag_ms
+        FROM r CROSS JOIN (SELECT unnest(['fetch', 'process', 'lag']) AS metric)
+        GROUP BY stream, shard_id, metric""",
     "stream_leases": _LEASE_HOURS,
     "stream_stats_with_empty": """
         , d AS (SELECT shard_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ws,

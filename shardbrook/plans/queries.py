@@ -27,6 +27,7 @@ from shardbrook.sources.log import append_records, stream_log
 from shardbrook.sources.progress_table import empty_progress, read_progress, write_base
 from shardbrook.storage import shared_dir
 from shardbrook.streaming import handoff, metrics, runner, windows
+from shardbrook.streaming.timing import BatchTimes, batch_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -462,6 +463,23 @@ def handoff_progress(spark, sf_dir):
     )
 
 
+def handoff_times(spark, sf_dir):
+    """Samples that the batches of a hand-off leave; the lag in milliseconds."""
+    place = shared_dir(spark, "handoff")
+    times = BatchTimes(spark, f"{place}/times")
+    stream = log.records_of(log.events_stream(spark, sf_dir, FILES_PER_BATCH))
+    runner.run_to_end(
+        handoff.start_handoff(
+            stream, lambda batch, batch_id: None, checkpoint=f"{place}/checkpoint", times=times
+        )
+    )
+    times.close()
+    lag = F.when(F.col("metric") == intervals.LAG, F.col("value"))
+    return batch_samples(spark, f"{place}/times").select(
+        "stream", "shard_id", "metric", (F.col("value") >= 0).alias("timed"), lag.alias("lag_ms")
+    )
+
+
 def _appended(spark, name: str, result: DataFrame):
     """What a stream appended, and the query that did."""
     place = shared_dir(spark, name)
@@ -629,6 +647,7 @@ QUERIES: dict[str, Query] = {
         handoff_batch,
         handoff_progress,
         handoff_resumed,
+        handoff_times,
         resume_two_streams,
         progress_two_writers,
         handoff_ordered,

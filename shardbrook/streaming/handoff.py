@@ -6,12 +6,12 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shardbrook.operators.intervals import FETCH, PROCESS
+from shardbrook.operators.intervals import PROCESS
 from shardbrook.operators.positions import resume as after_progress
 from shardbrook.operators.progress import latest_checkpoints
 from shardbrook.operators.running import shard_positions
@@ -19,6 +19,7 @@ from shardbrook.schema import PROGRESS, SAMPLE, SHARD_KEYS
 from shardbrook.sources.progress_table import add_updates, next_number, read_progress
 from shardbrook.storage import write_once
 from shardbrook.streaming.runner import start
+from shardbrook.streaming.timing import BatchTimes
 
 BatchFunction = Callable[[DataFrame, int], None]
 CheckpointFunction = Callable[[DataFrame], DataFrame]
@@ -33,6 +34,7 @@ def start_handoff(
     writer: str | None = None,
     checkpoints_of: CheckpointFunction | None = latest_checkpoints,
     resume: bool = False,
+    times: BatchTimes | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Call ``process(batch, batch_id)`` for every micro-batch of a stream.
@@ -47,6 +49,9 @@ def start_handoff(
     at its first start; that is kept beside ``checkpoint``, so a restart skips the
     same ones.
 
+    ``times`` measures every batch (``timing``); for that the batch's shards are read once
+    more.
+
     Delivery is at least once: a batch whose run was cut short is handed over
     again under the same number, and leaves the same progress.  Recovery follows
     Spark's own ``checkpoint``; the progress table is output.  An error in
@@ -76,14 +81,20 @@ def start_handoff(
         )
         records = after_progress(records, bounds)
 
+    if times:
+        records = times.observed(records)
+
     def run(batch: DataFrame, batch_id: int) -> None:
         process(batch, batch_id)
+        if times:
+            times.add_shards(batch, batch_id)
         if progress_path and checkpoints_of:
             commit_progress(
                 checkpoints_of(batch), progress_path, first + batch_id, writer
             )
 
-    return start(records.writeStream.foreachBatch(run), checkpoint, **trigger)
+    writer_of = records.writeStream.foreachBatch(run)
+    return start(writer_of.queryName(times.name) if times else writer_of, checkpoint, **trigger)
 
 
 def commit_progress(
@@ -190,27 +201,3 @@ def handoff_ordered(
 
     return ordered.mapInPandas(run, SAMPLE if timings else schema)
 
-
-def batch_durations(query: StreamingQuery, stream: str) -> DataFrame:
-    """Recent batch times of a running stream as SAMPLE rows.
-
-    ``fetch`` is fetching plus processing, ``process`` the user code and its
-    output.  They are per batch: Spark does not time shards.  Spark keeps a
-    bounded number of recent batches.
-    """
-    rows = []
-    for progress in query.recentProgress:
-        took = progress["durationMs"]
-        for metric, field in ((FETCH, "triggerExecution"), (PROCESS, "addBatch")):
-            if field in took:
-                rows.append(
-                    Row(
-                        stream=stream,
-                        shard_id=None,
-                        ts=pd.Timestamp(progress["timestamp"]).to_pydatetime(),
-                        metric=metric,
-                        value=float(took[field]),
-                    )
-                )
-    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-    return spark.createDataFrame(rows, SAMPLE)

@@ -12,6 +12,7 @@ from shardbrook.operators.progress import closing_updates, latest_checkpoints, m
 from shardbrook.sources import progress_table as table
 from shardbrook.sources.log import append_records, read_log, stream_log
 from shardbrook.streaming import handoff, runner, windows
+from shardbrook.streaming.timing import BatchTimes, batch_samples
 
 
 class Consumer:
@@ -152,11 +153,32 @@ def test_progress_respects_the_guard(spark, make, consumer):
     assert consumer.stored() == [("a", "1"), ("b", "1"), ("c", "9")]
 
 
-def test_batch_durations(spark, make, consumer):
-    consumer.push(make.records([("a", "1", 1, b"")]))
-    query = consumer.run()
-    found = {r.metric: r.value for r in handoff.batch_durations(query, "s").collect()}
-    assert found["fetch"] >= found["process"] >= 0
+def test_every_batch_is_timed(spark, make, tmp_path):
+    """More batches than Spark remembers; a batch of two shards, and a restart."""
+    root, batches = str(tmp_path), 150
+    one = make.records([("a", str(i), i, b"") for i in range(batches)])
+    one.repartitionByRange(batches, "arrival_ts").write.parquet(f"{root}/log")
+
+    def run():
+        times = BatchTimes(spark, f"{root}/times")
+        runner.run_to_end(
+            handoff.start_handoff(
+                stream_log(spark, f"{root}/log", 1),
+                lambda batch, batch_id: None,
+                checkpoint=f"{root}/checkpoint",
+                times=times,
+            )
+        )
+        times.close()
+        return batch_samples(spark, f"{root}/times")
+
+    found = run().groupBy("shard_id", "metric").agg(F.count("*"), F.min("value") >= 0)
+    assert rows(found) == [("a", m, batches, True) for m in ("fetch", "lag", "process")]
+    both = make.records([("a", "900", 900, b""), ("b", "1", 890, b"")]).coalesce(1)
+    both.write.mode("append").parquet(f"{root}/log")
+    found = run()
+    assert rows(found.filter("metric = 'lag' AND value > 0"), "shard_id", "value") == [("b", 10_000.0)]
+    assert found.filter("shard_id = 'a' AND metric = 'fetch'").count() == batches + 1
 
 
 def test_stream_from_frozen_tips(spark, make, consumer):
