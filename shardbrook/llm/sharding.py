@@ -49,9 +49,9 @@ def _dealt(ranges: DataFrame, shards: int) -> DataFrame:
         F.array().cast("array<int>").alias("taken"),
     )
     taken = F.aggregate("all", start, deal)["taken"]
-    return listed.select(
-        F.inline(F.transform("all", lambda r, i: F.struct(r["_range"], r["n"], F.get(taken, i))))
-    ).toDF("_range", "n", "shard")
+    # Zipped, so that the dealing is done once and not for each range.
+    pairs = listed.select(F.inline(F.arrays_zip(F.col("all"), taken.alias("shard"))).alias("r", "shard"))
+    return pairs.select("r._range", "r.n", "shard")
 
 
 def shard_rows(
