@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardbrook.operators.running import running_total
 from shardbrook.schema import SHARD_KEYS
+from shardbrook.storage import store
 
 PAGES_IN_GROUP = 64
 
@@ -109,3 +111,70 @@ def heaviest_owner(
     """The owner with most load, the first by name on a tie."""
     loads = owner_loads(progress, weights, strict)
     return loads.orderBy(F.desc("load"), "owner").limit(1)
+
+
+def rebalance_plan(
+    progress: DataFrame, owners: DataFrame | None = None, strict: bool = False
+) -> DataFrame:
+    """The fewest moves after which every owner has an even share: ``owner`` to ``new_owner``.
+
+    An even share is the number of shards by the number of owners, rounded down; what is
+    left over goes, one each, to the owners with most shards (by name on a tie), as that
+    saves moves.  ``owners`` (``owner``) adds owners that hold nothing yet.
+
+    Which shards an owner gives up follows from a digest of their names.  Shards given up
+    and places left free are numbered by running sums in the order of owners' names and
+    meet by number: a row each for a move, none for a pair of owners.  Owners, a row each,
+    are ranked in one window; their shards are not.
+    """
+    rows = valid_rows(progress, strict).select("owner", *SHARD_KEYS)
+    loads = rows.groupBy("owner").agg(F.count("*").alias("n_shards"))
+    if owners is not None:
+        loads = (
+            owners.filter("owner IS NOT NULL").select("owner")
+            .union(loads.select("owner"))
+            .distinct()
+            .join(loads, "owner", "left")
+            .withColumn("n_shards", F.coalesce("n_shards", F.lit(0)))
+        )
+    loads = store(loads, "loads")
+    n_shards, n_owners = loads.agg(F.sum("n_shards"), F.count("*")).first()
+    share, left_over = divmod(n_shards or 0, n_owners or 1)
+    nth = F.row_number().over(Window.orderBy(F.desc("n_shards"), "owner"))
+    target = F.lit(share) + (nth <= left_over).cast("bigint")
+    by_name = Window.orderBy("owner").rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(number: Column) -> Column:
+        return F.coalesce(F.sum(number).over(by_name), F.lit(0))
+
+    change = F.col("n_shards") - F.col("target")
+    ranked = loads.withColumn("target", target).select(
+        "owner",
+        F.greatest(change, F.lit(0)).alias("_gives"),
+        F.greatest(-change, F.lit(0)).alias("_takes"),
+    )
+    ranked = store(
+        ranked.withColumn("_given", before(F.col("_gives"))).withColumn(
+            "_taken", before(F.col("_takes"))
+        ),
+        "shares",
+    )
+    giving = rows.join(ranked.filter("_gives > 0").select("owner", "_gives", "_given"), "owner")
+    digest = F.md5(F.concat_ws("/", *SHARD_KEYS).cast("binary"))
+    given = running_total(
+        giving.withColumn("_digest", digest),
+        keys=["owner"],
+        order=["_digest", "shard_id"],
+        value=F.lit(1),
+        stretch=F.substring("_digest", 1, 2),
+        name="_nth",
+    ).filter("_nth <= _gives")
+    places = ranked.filter("_takes > 0").select(
+        F.col("owner").alias("new_owner"),
+        F.explode(F.sequence(F.col("_taken") + 1, F.col("_taken") + F.col("_takes"))).alias("_place"),
+    )
+    return (
+        given.withColumn("_place", F.col("_given") + F.col("_nth"))
+        .join(places, "_place")
+        .select(*SHARD_KEYS, "owner", "new_owner")
+    )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardbrook.functions.sequence import key_bounds, number_of, seq_key
@@ -95,6 +97,57 @@ def resume(records: DataFrame, progress: DataFrame, complete: bool = False) -> D
     )
 
 
+def read_between(records: DataFrame, bounds: DataFrame, groups: int = 8) -> DataFrame:
+    """Records of the shards in ``bounds`` after their ``low_key`` and up to their ``high_key``.
+
+    A null bound is none.  A shard may have several rows if they do not overlap.  On a
+    stored log little else is read: the bounds are cut into ``groups`` of about equal size by
+    ``low_key``, and each group is a scan of its own, with the group's smallest and largest
+    key as literals for the row groups, and its shards pruning the folders.  So one shard that
+    lags behind makes only its group read from far back.
+    """
+    columns = [*SHARD_KEYS, "low_key", "high_key"]
+    # A row for each shard is ranked here, none of the log.
+    tile = F.ntile(groups).over(Window.orderBy(F.asc_nulls_first("low_key")))
+    dealt = store(bounds.select(*columns, tile.alias("_group")), "bounds")
+    ends = dealt.groupBy("_group").agg(
+        F.min("low_key").alias("low"),
+        F.max("high_key").alias("high"),
+        F.bool_or(F.col("low_key").isNull()).alias("from_first"),
+        F.bool_or(F.col("high_key").isNull()).alias("to_last"),
+    )
+    scans = []
+    for end in ends.orderBy("_group").collect():  # a row for each group
+        part = records
+        if not end["from_first"]:
+            part = part.filter(F.col("seq_key") > end["low"])
+        if not end["to_last"]:
+            part = part.filter(F.col("seq_key") <= end["high"])
+        own = dealt.filter(F.col("_group") == end["_group"]).select(*columns)
+        scans.append(
+            part.join(own, SHARD_KEYS)
+            .filter(F.col("low_key").isNull() | (F.col("seq_key") > F.col("low_key")))
+            .filter(F.col("high_key").isNull() | (F.col("seq_key") <= F.col("high_key")))
+            .select(*records.columns)
+        )
+    return reduce(DataFrame.unionByName, scans) if scans else records.limit(0)
+
+
+def resume_by_groups(
+    records: DataFrame, progress: DataFrame, groups: int = 8, complete: bool = False
+) -> DataFrame:
+    """``resume`` of a stored log that reads little more than what is left.
+
+    Shards without a checkpoint are looked up in the log's key columns and read whole;
+    ``complete`` states that there are none.
+    """
+    bounds = progress.select(*SHARD_KEYS, _checkpoint_key().alias("low_key"))
+    if not complete:
+        found = records.select(*SHARD_KEYS).distinct().join(bounds, SHARD_KEYS, "left_anti")
+        bounds = bounds.unionByName(found.withColumn("low_key", F.lit(None).cast("string")))
+    return read_between(records, bounds.withColumn("high_key", F.lit(None).cast("string")), groups)
+
+
 def resume_or_start(
     records: DataFrame,
     progress: DataFrame,

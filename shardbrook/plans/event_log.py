@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from shardbrook.functions.measures import whole_millis
 from shardbrook.operators.intervals import FETCH, LAG, PROCESS
-from shardbrook.sources.log import as_records
-from shardbrook.storage import store
+from shardbrook.sources.log import append_records, as_records, read_log
+from shardbrook.storage import shared_dir, store
 
 STREAM = "events"
 
@@ -112,6 +112,35 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(progress_of(events(spark, sf_dir)), "progress")
 
 
+def lineage_of(events: DataFrame) -> DataFrame:
+    """User shards and their parents: each follows from one with a smaller number.
+
+    Every seventh is a merge of two; every eleventh has a parent that is gone.
+    """
+    user = F.col("user_id")
+    half = F.expr("cast((user_id - 1) div 2 AS string)")
+    third = F.expr("cast((user_id - 1) div 3 AS string)")
+    gone = F.concat(F.lit("gone-"), user.cast("string"))
+    parents = (
+        F.when(user == 0, F.array(F.lit(None).cast("string")))
+        .when(user % 11 == 0, F.array(gone))
+        .when(user % 7 == 0, F.array(half, third))
+        .otherwise(F.array(half))
+    )
+    return events.select("user_id").distinct().select(
+        F.lit(STREAM).alias("stream"),
+        F.expr(USER_SHARDS).alias("shard_id"),
+        F.explode(parents).alias("parent_shard_id"),
+    )
+
+
+def stored_log(spark: SparkSession, sf_dir: str, shard_id: str = FOUR_SHARDS) -> DataFrame:
+    """The records as a log in files, a folder for each shard."""
+    path = shared_dir(spark, "log")
+    append_records(records(spark, sf_dir, shard_id), path)
+    return read_log(spark, path)
+
+
 def samples_of(events: DataFrame) -> DataFrame:
     """Measured values: clicks as lag, purchases and views as durations.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 # The log in four shards (r) and with one shard per user (u), the progress
 # table (p), measured samples (s) and lease events (l).
 _PRELUDE = """
-WITH r AS (
+WITH RECURSIVE r AS (
   SELECT 'events' AS stream,
          'shardId-' || lpad(CAST(user_id % 4 AS VARCHAR), 3, '0') AS shard_id,
          lpad(CAST(event_id AS VARCHAR), 20, '0') AS seq,
@@ -215,6 +215,20 @@ _LEASE_HOURS = """
                  AS BIGINT) AS leases_held
         FROM hours"""
 
+_LINEAGE = """
+, edges AS (
+  SELECT CAST(user_id AS VARCHAR) AS child, CAST(unnest(CASE
+           WHEN user_id = 0 OR user_id % 11 = 0 THEN []
+           WHEN user_id % 7 = 0 THEN [(user_id - 1) // 2, (user_id - 1) // 3]
+           ELSE [(user_id - 1) // 2] END) AS VARCHAR) AS parent
+  FROM (SELECT DISTINCT user_id FROM events)),
+ways AS (
+  SELECT DISTINCT shard_id, shard_id AS above, 0 AS d FROM u
+  UNION
+  SELECT ways.shard_id, parent, d + 1 FROM ways JOIN edges ON child = above
+  WHERE parent IN (SELECT shard_id FROM u))
+"""
+
 _BODIES = {
     "records_scan": _RECORDS + "r",
     "shard_catalog": """
@@ -232,6 +246,24 @@ _BODIES = {
         ON t.shard_id = r.shard_id WHERE tip IS NULL OR seq > tip""",
     "start_after_sequence": """
         SELECT shard_id, seq AS sequence_number FROM r WHERE seq > '00000000000000000500'""",
+    "start_after_sequence_stored": """
+        SELECT shard_id, seq AS sequence_number FROM r WHERE seq > '00000000000000000500'""",
+    "resume_stored_log": """
+        SELECT shard_id, seq AS sequence_number FROM u LEFT JOIN p USING (shard_id)
+        WHERE sequence_id IS NULL OR seq > sequence_id""",
+    "shard_generations": _LINEAGE
+    + """
+        , longest AS (SELECT shard_id, max(d) AS generation FROM ways GROUP BY 1)
+        SELECT shard_id, generation, min(above) AS root_shard_id
+        FROM ways JOIN longest USING (shard_id) WHERE d = generation GROUP BY 1, 2""",
+    "readable_shards": _LINEAGE
+    + """
+        , done AS (SELECT p.shard_id, bool_and(closed) AND coalesce(max(seq) <= any_value(
+                            sequence_id), false) AS drained FROM p JOIN u USING (shard_id) GROUP BY 1)
+        SELECT ways.shard_id, own.drained,
+               bool_and(d = 0 OR ancestor.drained) AS readable
+        FROM ways JOIN done own ON own.shard_id = ways.shard_id
+        JOIN done ancestor ON ancestor.shard_id = above GROUP BY 1, 2""",
     "resume_after_checkpoint": """
         SELECT shard_id, seq AS sequence_number FROM u LEFT JOIN p USING (shard_id)
         WHERE sequence_id IS NULL OR seq > sequence_id""",
@@ -260,6 +292,10 @@ _BODIES = {
                              AND seq > coalesce(sequence_id, '')) AS drained
         FROM p WHERE closed""",
     "duplicate_deliveries": _REPLAYED
+    + """
+        SELECT shard_id, seq AS sequence_number, count(*) AS n_delivered
+        FROM delivered GROUP BY 1, 2 HAVING count(*) > 1""",
+    "duplicate_runs": _REPLAYED
     + """
         SELECT shard_id, seq AS sequence_number, count(*) AS n_delivered
         FROM delivered GROUP BY 1, 2 HAVING count(*) > 1""",
@@ -358,6 +394,22 @@ _BODIES = {
     "heaviest_owner": f"""
         SELECT owner, count(*) AS n_shards FROM ({_OWNED})
         GROUP BY 1 ORDER BY n_shards DESC, owner LIMIT 1""",
+    "rebalance_plan": f"""
+        , owned AS ({_OWNED}),
+        loads AS (SELECT owner, count(*) AS n FROM owned GROUP BY 1 UNION ALL SELECT 'idle', 0),
+        shares AS (SELECT owner, n, (SELECT sum(n) // count(*) FROM loads) + CASE WHEN row_number()
+                     OVER (ORDER BY n DESC, owner) <= (SELECT sum(n) % count(*) FROM loads)
+                     THEN 1 ELSE 0 END AS target FROM loads),
+        ranked AS (SELECT owner, greatest(n - target, 0) AS gives, greatest(target - n, 0) AS takes,
+                     coalesce(sum(greatest(n - target, 0)) OVER (ORDER BY owner
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+                     coalesce(sum(greatest(target - n, 0)) OVER (ORDER BY owner
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken FROM shares),
+        moving AS (SELECT owner, shard_id, given + row_number() OVER (
+                     PARTITION BY owner ORDER BY md5('events/' || shard_id), shard_id) AS place,
+                     gives, given FROM owned JOIN ranked USING (owner))
+        SELECT shard_id, moving.owner, ranked.owner AS new_owner FROM moving JOIN ranked
+        ON place > taken AND place <= taken + takes WHERE place <= moving.given + moving.gives""",
     "stalled_shards": """
         SELECT shard_id, max(ts) AS last_arrival,
                epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts)) AS silent_us

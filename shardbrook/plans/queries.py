@@ -8,12 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardbrook.functions.sequence import seq_key
 from shardbrook.operators import (
     activity,
     catalog,
     counters,
     delivery,
     intervals,
+    lineage,
     owners,
     positions,
     publish,
@@ -25,7 +27,7 @@ from shardbrook.plans import event_log as log
 from shardbrook.sources import sinks
 from shardbrook.sources.log import append_records, stream_log
 from shardbrook.sources.progress_table import empty_progress, read_progress, write_base
-from shardbrook.storage import shared_dir
+from shardbrook.storage import shared_dir, store
 from shardbrook.streaming import handoff, metrics, runner, windows
 from shardbrook.streaming.timing import BatchTimes, batch_samples
 
@@ -110,6 +112,36 @@ def resume_after_checkpoint(spark, sf_dir):
     return _identity(positions.resume(recs, log.progress(spark, sf_dir)))
 
 
+def start_after_sequence_stored(spark, sf_dir):
+    """The same start on a stored log, whose row groups it prunes."""
+    return _identity(
+        positions.start_at(
+            log.stored_log(spark, sf_dir),
+            positions.AFTER_SEQUENCE_NUMBER,
+            sequence_number="00000000000000000500",
+        )
+    )
+
+
+def resume_stored_log(spark, sf_dir):
+    """Resume of a stored log, in groups of shards that stand about equally far."""
+    stored = log.stored_log(spark, sf_dir, log.USER_SHARDS)
+    return _identity(positions.resume_by_groups(stored, log.progress(spark, sf_dir)))
+
+
+def shard_generations(spark, sf_dir):
+    return lineage.shard_generations(log.lineage_of(log.events(spark, sf_dir))).drop("stream")
+
+
+def readable_shards(spark, sf_dir):
+    """Shards whose ancestors are all closed and read to the end."""
+    recs = log.records(spark, sf_dir, log.USER_SHARDS)
+    ended = log.progress(spark, sf_dir).filter("closed")
+    drained = checkpoints.drained_shards(ended.select("stream", "shard_id", "sequence_id"), recs)
+    shards = log.lineage_of(log.events(spark, sf_dir))
+    return lineage.readable_shards(shards, drained).drop("stream")
+
+
 # --- progress ---------------------------------------------------------------
 
 
@@ -171,6 +203,22 @@ def duplicate_deliveries(spark, sf_dir):
     )
 
 
+def duplicate_runs(spark, sf_dir):
+    """The same from runs: one reader had the whole log, another began at the checkpoints."""
+    stored = log.stored_log(spark, sf_dir, log.USER_SHARDS)
+    first = positions.shard_tips(stored).select(
+        "stream", "shard_id", F.lit(None).cast("string").alias("low_key"), F.col("tip_key").alias("high_key")
+    )
+    first = store(first, "runs")
+    low = seq_key(F.nullif("sequence_id", F.lit("")))
+    second = first.drop("low_key").join(
+        log.progress(spark, sf_dir).select("stream", "shard_id", low.alias("low_key")),
+        ["stream", "shard_id"],
+        "left",
+    )
+    return delivery.duplicate_runs(first.unionByName(second), stored).drop("stream")
+
+
 def deduplicated_deliveries(spark, sf_dir):
     return _payload_as_text(delivery.drop_duplicate_deliveries(_replayed(spark, sf_dir)))
 
@@ -321,6 +369,12 @@ def heaviest_owner(spark, sf_dir):
     return owners.heaviest_owner(log.progress(spark, sf_dir)).drop("load")
 
 
+def rebalance_plan(spark, sf_dir):
+    """Moves to an even load, with one owner who holds nothing yet."""
+    idle = spark.createDataFrame([("idle",)], "owner string")
+    return owners.rebalance_plan(log.progress(spark, sf_dir), idle).drop("stream")
+
+
 def stalled_shards(spark, sf_dir):
     """Users silent for a day when the log ends."""
     recs = log.records(spark, sf_dir, log.USER_SHARDS)
@@ -608,6 +662,10 @@ QUERIES: dict[str, Query] = {
         start_trim_horizon,
         start_latest,
         start_after_sequence,
+        start_after_sequence_stored,
+        resume_stored_log,
+        shard_generations,
+        readable_shards,
         resume_after_checkpoint,
         checkpoint_lookup,
         checkpoint_latest,
@@ -616,6 +674,7 @@ QUERIES: dict[str, Query] = {
         checkpoint_closing,
         shard_drained,
         duplicate_deliveries,
+        duplicate_runs,
         deduplicated_deliveries,
         records_processed,
         bytes_processed,
@@ -641,6 +700,7 @@ QUERIES: dict[str, Query] = {
         owner_skew,
         owner_skew_by_bytes,
         heaviest_owner,
+        rebalance_plan,
         stalled_shards,
         silence_gaps,
         activity_sessions,

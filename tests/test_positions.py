@@ -1,8 +1,13 @@
+import random
+import re
+
 import pytest
 from conftest import rows
 
 from shardbrook.operators import positions
 from shardbrook.operators.catalog import list_shards, new_shards, shard_catalog
+from shardbrook.operators.delivery import duplicate_deliveries, duplicate_runs
+from shardbrook.sources.log import append_records, read_log
 
 LOG = [
     ("a", "9", 1, b"x"),
@@ -100,3 +105,63 @@ def test_resume_or_start_at_latest(make):
     assert seqs(found) == [("a", "10"), ("a", "11"), ("b", "6"), ("c", "1")]
     with pytest.raises(ValueError):
         positions.resume_or_start(grown, progress, "AFTER_SEQUENCE_NUMBER", tips)
+
+
+def _stored(make, tmp_path, rows):
+    path = str(tmp_path / "log")
+    append_records(make.records(rows), path)
+    return read_log(make.records(rows).sparkSession, path)
+
+
+def test_resume_in_groups_reads_little_else(make, tmp_path):
+    shards = [f"s{i}" for i in range(6)]
+    stored = _stored(make, tmp_path, [(s, str(q), q, b"") for s in shards for q in range(1, 60)])
+    marks = {"s0": "2", "s1": "50", "s2": "51", "s3": "9", "s4": ""}
+    progress = make.progress([(s, q, "w", False, None) for s, q in marks.items()])
+    found = positions.resume_by_groups(stored, progress, groups=3)
+    assert seqs(found) == seqs(positions.resume(stored, progress))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    bounds = set(re.findall(r"GreaterThan\(seq_key,(\d+)\)", plan))
+    # Shards read whole or from far back leave the others' bound as it is.
+    assert len(bounds) == 2 and max(bounds).endswith("50") and plan.count("dynamicpruning") >= 3
+    ended = progress.filter("sequence_id <> ''")
+    known = stored.filter("shard_id NOT IN ('s4', 's5')")
+    found = positions.resume_by_groups(stored, ended, groups=2, complete=True)
+    assert seqs(found) == seqs(positions.resume(known, ended))
+    assert positions.resume_by_groups(stored, progress.limit(0), complete=True).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_runs_tell_the_same_repeats_as_deliveries(spark, make, tmp_path, seed):
+    rng = random.Random(seed)
+    log = [(s, str(q), q, b"") for s in "abc" for q in range(1, 120)] + [("d", "1", 1, b"")]
+    stored = _stored(make, tmp_path, log)
+    runs = [("d", 0, 1), ("c", 0, 119)]
+    runs += [(s, *sorted(rng.sample(range(0, 120), 2))) for s in "aab" * 5] + [("b", 7, 7)]
+    runs.append(("a", 0, 40))
+
+    def key(number):
+        return f"{len(str(number)):08d}{number}" if number else None
+
+    bounds = spark.createDataFrame(
+        [("s", s, key(low), key(high)) for s, low, high in runs],
+        "stream string, shard_id string, low_key string, high_key string",
+    )
+    delivered = make.records([r for s, low, high in runs for r in log if r[0] == s and low < int(r[1]) <= high])
+    wanted = rows(duplicate_deliveries(delivered), "shard_id", "sequence_number", "n_delivered")
+    found = duplicate_runs(bounds, stored)
+    assert rows(found, "shard_id", "sequence_number", "n_delivered") == wanted and wanted
+
+
+def test_records_outside_overlaps_are_not_read(spark, make, tmp_path):
+    stored = _stored(make, tmp_path, [(s, str(q), q, b"") for s in "ab" for q in range(100, 200)])
+    bounds = spark.createDataFrame(
+        [("s", "a", None, "00000003150"), ("s", "a", "00000003140", "00000003199"), ("s", "b", None, "00000003199")],
+        "stream string, shard_id string, low_key string, high_key string",
+    )
+    found = duplicate_runs(bounds, stored)
+    assert rows(found, "sequence_number", "n_delivered") == [(str(q), 2) for q in range(141, 151)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(seq_key,00000003140)" in plan and "LessThanOrEqual(seq_key,00000003150)" in plan
+    once = bounds.filter("shard_id = 'b'")
+    assert duplicate_runs(once, stored).count() == 0

@@ -110,3 +110,49 @@ def test_sessions_equal_session_windows(make):
     built_in = recs.groupBy("shard_id", window.alias("w")).count().select("shard_id", "w.start", "w.end", "count")
     ours = activity.activity_sessions(recs)
     assert rows(ours, "shard_id", "session_start", "session_end", "n_records") == rows(built_in)
+
+
+def _moved(make, progress, owners_too=None):
+    """Loads after the plan, the number of moves, and the plan's rows."""
+    plan = owners.rebalance_plan(progress, owners_too).collect()
+    held = {r.shard_id: r.owner for r in owners.valid_rows(progress).collect()}
+    assert len({r.shard_id for r in plan}) == len(plan)
+    for r in plan:
+        assert held[r.shard_id] == r.owner != r.new_owner
+        held[r.shard_id] = r.new_owner
+    loads = {}
+    for owner in held.values():
+        loads[owner] = loads.get(owner, 0) + 1
+    return loads, len(plan), plan
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_a_plan_evens_the_load_with_fewest_moves(spark, make, seed):
+    rng = random.Random(seed)
+    names = [f"w{i}" for i in range(7)]
+    held = {n: rng.choice([0, 1, 3, 9, 25]) for n in names}
+    held["w0"] = 200  # one owner with most of the shards
+    progress = make.progress(
+        [(f"{n}-{i}", "", n, False, None) for n, count in held.items() for i in range(count)]
+        + [("closed", "", "w1", True, None), ("none", "", None, False, None)]
+    )
+    others = spark.createDataFrame([(n,) for n in names] + [(None,)], "owner string")
+    loads, moves, _ = _moved(make, progress, others)
+    total = sum(held.values())
+    share, left_over = divmod(total, len(names))
+    assert sorted(loads.values()) == sorted([share] * (7 - left_over) + [share + 1] * left_over)
+    # No plan is shorter: the largest loads get the larger shares.
+    wanted = sorted(held.values(), reverse=True)
+    least = sum(max(0, n - share - (i < left_over)) for i, n in enumerate(wanted))
+    assert moves == least
+
+
+def test_even_loads_stay_and_ties_go_by_name(make):
+    even = make.progress([(f"{o}{i}", "", o, False, None) for o in "abc" for i in range(2)])
+    assert owners.rebalance_plan(even).count() == 0
+    tied = make.progress(
+        [(f"{o}{i}", "", o, False, None) for o in "ab" for i in range(3)] + [("c0", "", "c", False, None)]
+    )
+    loads, moves, plan = _moved(make, tied)
+    assert loads == {"a": 3, "b": 2, "c": 2} and moves == 1 and plan[0].owner == "b"
+    assert owners.rebalance_plan(even.limit(0)).count() == 0
