@@ -455,6 +455,18 @@ _BODIES = {
         FROM r GROUP BY 1, 2""",
     "stream_sessions": _SESSIONS + "SELECT * FROM sessions",
     "stream_deduplicated": _RECORDS + "r",
+    "handoff_from_latest": """
+        SELECT r.shard_id, seq AS sequence_number FROM r LEFT JOIN (
+          SELECT shard_id, max(seq) AS tip FROM r
+          WHERE event_id < (SELECT max(event_id) / 2.0 FROM events) GROUP BY 1) t
+        ON t.shard_id = r.shard_id WHERE tip IS NULL OR seq > tip""",
+    "progress_handed_over": """
+        , marks AS (SELECT shard_id, max(seq) AS last, user_id % 2 = 0 AS even, user_id % 6 = 0 AS sixth,
+                           max(seq) FILTER (WHERE event_id < (SELECT max(event_id) / 2.0 FROM events)) AS half
+                    FROM u GROUP BY ALL)
+        SELECT shard_id, CASE WHEN even AND NOT sixth AND half IS NOT NULL THEN half ELSE last END AS sequence_id,
+               CASE WHEN even AND half IS NOT NULL THEN 'after' ELSE 'before' END AS owner
+        FROM marks""",
     "handoff_times": """
         SELECT stream, shard_id, metric, true AS timed,
                CASE WHEN metric = 'lag' THEN CAST((epoch_us((SELECT max(ts) FROM events))

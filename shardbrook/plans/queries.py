@@ -26,7 +26,13 @@ from shardbrook.operators import progress as checkpoints
 from shardbrook.plans import event_log as log
 from shardbrook.sources import sinks
 from shardbrook.sources.log import append_records, stream_log
-from shardbrook.sources.progress_table import empty_progress, read_progress, write_base
+from shardbrook.sources.progress_table import (
+    add_owners,
+    add_updates,
+    empty_progress,
+    read_progress,
+    write_base,
+)
 from shardbrook.storage import shared_dir, store
 from shardbrook.streaming import handoff, metrics, runner, windows
 from shardbrook.streaming.timing import BatchTimes, batch_samples
@@ -517,6 +523,42 @@ def handoff_progress(spark, sf_dir):
     )
 
 
+def handoff_from_latest(spark, sf_dir):
+    """A hand-off that first started when half of the log was there."""
+    place = shared_dir(spark, "handoff")
+    ev = log.events(spark, sf_dir)
+    then = log.records_of(ev.filter(F.col("event_id") < log.halfway(ev)))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _identity(batch).write.mode("overwrite").parquet(f"{place}/out/batch={batch_id}")
+
+    stream = log.records_of(log.events_stream(spark, sf_dir, FILES_PER_BATCH))
+    runner.run_to_end(
+        handoff.start_handoff(
+            stream, write, checkpoint=f"{place}/checkpoint", position=positions.LATEST, log=then
+        )
+    )
+    return spark.read.parquet(f"{place}/out").drop("batch")
+
+
+def progress_handed_over(spark, sf_dir):
+    """One writer's shards, half of them taken over by another; the first one's late write."""
+    place = f"{shared_dir(spark, 'progress')}/progress"
+    ev = log.events(spark, sf_dir)
+    half = log.halfway(ev)
+    first = checkpoints.latest_checkpoints(
+        log.records_of(ev.filter(F.col("event_id") < half), log.USER_SHARDS)
+    )
+    whole = checkpoints.latest_checkpoints(log.records_of(ev, log.USER_SHARDS))
+    even = F.col("shard_id").cast("bigint") % 2 == 0
+    sixth = F.col("shard_id").cast("bigint") % 6 == 0
+    add_updates(first, place, 0, "before")
+    add_owners(first.filter(even).withColumn("owner", F.lit("after")), place)
+    add_updates(whole.filter(sixth), place, 0, "after")
+    add_updates(whole, place, 1, "before")
+    return read_progress(spark, place).select("shard_id", "sequence_id", "owner")
+
+
 def handoff_times(spark, sf_dir):
     """Samples that the batches of a hand-off leave; the lag in milliseconds."""
     place = shared_dir(spark, "handoff")
@@ -707,6 +749,8 @@ QUERIES: dict[str, Query] = {
         handoff_batch,
         handoff_progress,
         handoff_resumed,
+        handoff_from_latest,
+        progress_handed_over,
         handoff_times,
         resume_two_streams,
         progress_two_writers,

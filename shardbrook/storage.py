@@ -63,3 +63,23 @@ def write_once(
         build().write.mode("overwrite").parquet(rows)
         spark.sql("SELECT true AS done").write.mode("overwrite").parquet(marker)
     return spark.read.schema(schema).parquet(rows)
+
+
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    there = context._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, wherever Spark's paths may lie."""
+    there, files = _file_system(spark, path)
+    if not files.exists(there):
+        return []
+    return [f.getPath().getName() for f in files.listStatus(there) if f.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark's paths may lie."""
+    there, files = _file_system(spark, path)
+    files.delete(there, True)

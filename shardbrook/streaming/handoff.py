@@ -12,7 +12,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shardbrook.operators.intervals import PROCESS
-from shardbrook.operators.positions import resume as after_progress
+from shardbrook.operators.positions import (
+    LATEST,
+    TRIM_HORIZON,
+    freeze_tips,
+    resume_or_start,
+    start_at,
+)
 from shardbrook.operators.progress import latest_checkpoints
 from shardbrook.operators.running import shard_positions
 from shardbrook.schema import PROGRESS, SAMPLE, SHARD_KEYS
@@ -34,7 +40,10 @@ def start_handoff(
     writer: str | None = None,
     checkpoints_of: CheckpointFunction | None = latest_checkpoints,
     resume: bool = False,
+    position: str = TRIM_HORIZON,
+    log: DataFrame | None = None,
     times: BatchTimes | None = None,
+    fold_every: int = 100,
     **trigger,
 ) -> StreamingQuery:
     """Call ``process(batch, batch_id)`` for every micro-batch of a stream.
@@ -47,7 +56,12 @@ def start_handoff(
 
     With ``resume`` a new stream hands over only records after the progress stored
     at its first start; that is kept beside ``checkpoint``, so a restart skips the
-    same ones.
+    same ones.  Shards without progress, or all without ``resume``, begin at ``position``:
+    TRIM_HORIZON or LATEST.  LATEST needs ``log``, a batch read of the same log; its tips are
+    taken at the first start and kept in the same way.
+
+    After every ``fold_every`` batches the writer's progress is folded
+    (``progress_table.fold_updates``).
 
     ``times`` measures every batch (``timing``); for that the batch's shards are read once
     more.
@@ -70,16 +84,21 @@ def start_handoff(
         )
         first = base.first()[0]
 
+    beside = checkpoint.rstrip("/")
+    tips = None
+    if position == LATEST:
+        if log is None:
+            raise ValueError("LATEST needs a batch read of the log")
+        tips = freeze_tips(log, f"{beside}.tips")
     if resume:
         if not progress_path:
             raise ValueError("resume needs the path of a progress table")
         bounds = write_once(
-            spark,
-            f"{checkpoint.rstrip('/')}.resumed_from",
-            PROGRESS,
-            lambda: read_progress(spark, progress_path),
+            spark, f"{beside}.resumed_from", PROGRESS, lambda: read_progress(spark, progress_path)
         )
-        records = after_progress(records, bounds)
+        records = resume_or_start(records, bounds, position, tips)
+    else:
+        records = start_at(records, position, tips)
 
     if times:
         records = times.observed(records)
@@ -90,7 +109,7 @@ def start_handoff(
             times.add_shards(batch, batch_id)
         if progress_path and checkpoints_of:
             commit_progress(
-                checkpoints_of(batch), progress_path, first + batch_id, writer
+                checkpoints_of(batch), progress_path, first + batch_id, writer, fold_every
             )
 
     writer_of = records.writeStream.foreachBatch(run)
@@ -98,10 +117,14 @@ def start_handoff(
 
 
 def commit_progress(
-    updates: DataFrame, path: str, number: int, writer: str | None = None
+    updates: DataFrame,
+    path: str,
+    number: int,
+    writer: str | None = None,
+    fold_every: int | None = None,
 ) -> None:
     """Add a batch's checkpoints under its number; a replay changes nothing."""
-    add_updates(updates, path, number, writer)
+    add_updates(updates, path, number, writer, fold_every)
 
 
 class ShardProcessor:

@@ -1,5 +1,8 @@
+import random
+
 import pytest
-from conftest import rows
+from conftest import at, rows
+from pyspark.sql import functions as F
 
 from shardbrook.operators import progress as p
 from shardbrook.operators.delivery import drop_duplicate_deliveries, duplicate_deliveries
@@ -178,3 +181,130 @@ def test_write_once_starts_over_after_a_cut(spark, tmp_path):
     assert rows(found) == [(2,)]
     again = write_once(spark, path, "n int", lambda: pytest.fail("built twice"))
     assert rows(again) == [(2,)]
+
+
+def test_a_late_write_of_a_former_owner_is_refused(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    table.add_updates(updates(spark, ("a", "1"), ("b", "1")), path, 0, "A")
+    taken = spark.createDataFrame([("s", "a", "B")], "stream string, shard_id string, owner string")
+    table.add_owners(taken, path)
+    table.add_updates(updates(spark, ("a", "5"), ("b", "5")), path, 1, "A")  # b is still A's
+    found = rows(table.read_progress(spark, path), "shard_id", "sequence_id", "owner")
+    assert found == [("a", "1", "B"), ("b", "5", "A")]
+    table.add_updates(updates(spark, ("a", "3")), path, 0, "B")
+    table.add_updates(updates(spark, ("a", "9")), path, 2, "A")
+    found = rows(table.read_progress(spark, path), "shard_id", "sequence_id", "owner")
+    assert found == [("a", "3", "B"), ("b", "5", "A")]
+    # A claim holds everybody back until it is settled.
+    table.add_owners(taken.selectExpr("*", "'C' AS claim_request"), path)
+    table.add_updates(updates(spark, ("a", "4")), path, 1, "B")
+    assert rows(table.read_progress(spark, path), "sequence_id", "claim_request")[0] == ("3", "C")
+    table.add_owners(taken.selectExpr("stream", "shard_id", "'C' AS owner"), path)
+    table.add_updates(updates(spark, ("a", "6")), path, 0, "C")
+    assert rows(table.read_progress(spark, path), "sequence_id", "owner")[1] == ("6", "C")
+
+
+def test_the_base_is_written_once(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    table.write_base(make.progress([("a", "1", "x", False, None)]), path)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        table.write_base(make.progress([("a", "2", "x", False, None)]), path)
+
+
+def _history(seed):
+    """Base rows, updates and changes of owner with their times."""
+    rng = random.Random(seed)
+    base = [(s, "0", rng.choice(["A", "B", None]), False, rng.choice([None, "Z"])) for s in "abc"]
+    changes, made, numbers = [], [], {}
+    for second in range(1, 120):
+        shard = rng.choice("abcdef")
+        if rng.random() < 0.2:
+            changes.append(("s", shard, rng.choice("AB"), rng.choice([None, None, "Z"]), at(second)))
+        else:
+            writer = rng.choice(["A", "A", "B", "B", None])
+            numbers[writer] = numbers.get(writer, -1) + 1
+            made.append(("s", shard, str(second), False, writer, numbers[writer], at(second)))
+    return base, made, changes
+
+
+def _folded(base, made, changes):
+    """shard: (checkpoint, owner, claim), by going through time."""
+    state = {s: [q, owner, claim] for s, q, owner, _, claim in base}
+    for event in sorted(made + changes, key=lambda e: e[-1]):
+        shard = event[1]
+        if len(event) == 5:
+            state.setdefault(shard, [None, None, None])[1:] = [event[2], event[3]]
+            continue
+        row = state.setdefault(shard, [None, event[4], None])
+        if event[4] is None or (row[2] is None and row[1] == event[4]):
+            row[0] = event[2]
+    return {shard: tuple(row) for shard, row in state.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fold_against_going_through_time(spark, make, seed):
+    base, made, changes = _history(seed)
+    found = table.fold(
+        make.progress(base),
+        spark.createDataFrame(made, table.UPDATE),
+        spark.createDataFrame(changes, table.OWNER),
+    )
+    got = {r.shard_id: (r.sequence_id, r.owner, r.claim_request) for r in found.collect()}
+    assert got == _folded(base, made, changes)
+
+
+def test_folded_updates_give_the_same_and_can_be_pruned(spark, make, tmp_path):
+    base, made, changes = _history(7)
+    path = str(tmp_path / "progress")
+    table.write_base(make.progress(base), path)
+    table.add_owners(spark.createDataFrame(changes, table.OWNER), path)
+    for writer in ("A", "B", None):
+        own = [u for u in made if u[4] == writer]
+        (
+            spark.createDataFrame(own, table.UPDATE)
+            .withColumn("upto", F.col("number"))
+            .write.mode("append")
+            .partitionBy("upto")
+            .parquet(f"{path}/updates/who={table._who(writer)}")
+        )
+    wanted = _folded(base, made, changes)
+
+    def got():
+        return {
+            r.shard_id: (r.sequence_id, r.owner, r.claim_request)
+            for r in table.read_progress(spark, path).collect()
+        }
+
+    assert got() == wanted
+    for writer in ("A", "B", None):
+        numbers = table.next_number(spark, path, writer)
+        table.fold_updates(spark, path, writer)
+        assert got() == wanted
+        assert table.prune(spark, path, writer) == numbers
+        assert got() == wanted and table.next_number(spark, path, writer) == numbers
+        table.add_updates(updates(spark, ("a", "0")), path, 0, writer)  # a replay of a pruned one
+        assert got() == wanted
+
+
+def test_thousands_of_batches_are_few_files(spark, make, tmp_path):
+    path = str(tmp_path / "progress")
+    (
+        spark.range(3_000)
+        .selectExpr(
+            "'s' AS stream", "'a' AS shard_id", "cast(id AS string) AS sequence_id", "false AS closed",
+            "'w' AS writer", "id AS number", "timestamp '2024-01-01' + make_interval(0,0,0,0,0,0,id) AS written_at",
+            "id AS upto",
+        )
+        .repartition(8, "upto")
+        .write.partitionBy("upto")
+        .parquet(f"{path}/updates/who={table._who('w')}")
+    )
+    table.add_updates(updates(spark, ("a", "3000")), path, 3_000, "w")
+    table.fold_updates(spark, path, "w")
+    assert table.prune(spark, path, "w") == 3_001
+    left = [p for p in (tmp_path / "progress").rglob("*.parquet")]
+    assert len(left) <= 4
+    assert rows(table.read_progress(spark, path), "sequence_id", "owner") == [("3000", "w")]
+    for number in range(3_001, 3_008):
+        table.add_updates(updates(spark, ("a", str(number))), path, number, "w", fold_every=4)
+    assert rows(table.read_progress(spark, path), "sequence_id") == [("3007",)]

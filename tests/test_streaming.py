@@ -1,5 +1,7 @@
 """Hand-off, restart and stream reports."""
 
+import time
+
 import pandas as pd
 import pytest
 from conftest import at, rows
@@ -355,3 +357,56 @@ def test_stream_drops_repeats_across_batches(spark, make, consumer, hot):
     stream = stream_log(spark, consumer.log, max_files_per_trigger=1)
     found = _run(spark, consumer, windows.stream_drop_duplicates(stream, "1 hour", hot))
     assert rows(found, "sequence_number") == [("1",), ("2",)]
+
+
+def test_start_at_the_tips_and_resume(spark, make, consumer, tmp_path):
+    """Shards with progress resume, others begin at the tips of the first start."""
+    consumer.push(make.records([("a", "1", 1, b""), ("a", "2", 1, b""), ("b", "1", 1, b"")]))
+    table.add_updates(
+        spark.createDataFrame([("s", "a", "1")], "stream string, shard_id string, sequence_id string"),
+        consumer.progress, 0, "w",
+    )
+    for q in ("2", "3"):
+        log = read_log(spark, consumer.log)
+        consumer.run(resume=True, position=positions.LATEST, log=log)
+        consumer.push(make.records([("b", q, 2, b""), ("c", q, 2, b"")]))
+    consumer.run(resume=True, position=positions.LATEST, log=log)
+    out = spark.read.parquet(consumer.out)
+    assert rows(out, "shard_id", "sequence_number") == [("a", "2"), ("b", "2"), ("b", "3"), ("c", "2"), ("c", "3")]
+    with pytest.raises(ValueError, match="batch read"):
+        consumer.run(position=positions.LATEST)
+
+
+def test_stop_ends_while_data_keeps_coming(spark, make, consumer):
+    """The batch in progress is finished, and a restart goes on after it."""
+    source = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
+    raw = source.selectExpr(
+        "'s' AS stream", "'a' AS shard_id", "cast(value AS string) AS sequence_number",
+        "format_string('%08d%d', length(cast(value AS string)), value) AS seq_key",
+        "'k' AS partition_key", "cast('' AS binary) AS data", "timestamp AS arrival_ts",
+    )
+    begun, ended = [], []
+
+    def slow(batch, batch_id):
+        begun.append(batch_id)
+        time.sleep(0.5)
+        batch.write.mode("append").parquet(consumer.out)
+        ended.append(batch_id)
+
+    for _ in range(2):
+        query = handoff.start_handoff(
+            raw, slow, checkpoint=f"{consumer.root}/checkpoint", progress_path=consumer.progress,
+            writer="w", processingTime="0 seconds",
+        )
+        least = len(ended) + 2
+        while len(ended) < least and query.isActive:
+            time.sleep(0.05)
+        began = time.monotonic()
+        runner.stop(query)
+        assert not query.isActive and time.monotonic() - began < 30
+    assert begun == sorted(begun)
+    out = spark.read.parquet(consumer.out)
+    done = out.agg(F.max(F.col("sequence_number").cast("bigint"))).scalar()
+    stored = int(consumer.stored()[0][1])
+    assert stored <= out.select(done).first()[0]
+    assert rows(duplicate_deliveries(out)) == [] or len(begun) > len(set(begun))
