@@ -359,6 +359,13 @@ _BODIES = {
     "metrics_text": _EXPOSITION,
     "metrics_stored": _LONG,
     "metrics_text_stored": _EXPOSITION,
+    "metrics_pushed": f"""
+        SELECT metric, dims, unit, CASE WHEN metric = 'CurrentLeases'
+                 THEN arg_max(value, ts) ELSE sum(value) END AS value,
+               sum(sample_count) AS sample_count, sum(sum) AS sum,
+               coalesce(max(maximum) FILTER (WHERE sample_count > 0), max(maximum)) AS maximum,
+               coalesce(min(minimum) FILTER (WHERE sample_count > 0), min(minimum)) AS minimum
+        FROM ({_PRELUDE} {_LONG}) GROUP BY metric, dims, unit""",
     "log_roundtrip": _RECORDS + "r",
     "active_owners": f"""
         SELECT owner, shard_id, count(*) OVER (PARTITION BY owner) AS n_shards
@@ -443,6 +450,10 @@ _BODIES = {
         SELECT shard_id, seq AS sequence_number,
                row_number() OVER (PARTITION BY shard_id ORDER BY seq) AS position,
                n AS n_bytes FROM r""",
+    "handoff_live_ordered": """
+        SELECT shard_id, seq AS sequence_number,
+               row_number() OVER (PARTITION BY shard_id ORDER BY seq) AS position,
+               n AS n_bytes, 1 AS n_inits FROM r""",
     "shard_positions": """
         SELECT shard_id, seq AS sequence_number,
                row_number() OVER (PARTITION BY shard_id ORDER BY seq) AS position FROM r""",
@@ -493,4 +504,6 @@ _BODIES = {
     "stream_metrics_long": _LONG,
 }
 
-ORACLES = {name: f"{_PRELUDE}{body}" for name, body in _BODIES.items()}
+ORACLES = {
+    name: body if _PRELUDE in body else f"{_PRELUDE}{body}" for name, body in _BODIES.items()
+}

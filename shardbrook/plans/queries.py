@@ -34,7 +34,7 @@ from shardbrook.sources.progress_table import (
     write_base,
 )
 from shardbrook.storage import shared_dir, store
-from shardbrook.streaming import handoff, metrics, runner, windows
+from shardbrook.streaming import handoff, metrics, ordered, push, runner, windows
 from shardbrook.streaming.timing import BatchTimes, batch_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,6 +439,52 @@ def handoff_ordered(spark, sf_dir):
     )
 
 
+def handoff_live_ordered(spark, sf_dir):
+    """A live log whose records arrive up to an hour late, handed over in order.
+
+    It grows in three parts, and the stream is started anew for each.
+    """
+
+    class SizeOf:
+        def init(self, shard_id: str) -> None:
+            self.shard_id, self.last, self.inits = shard_id, 0, getattr(self, "inits", 0) + 1
+
+        def process(self, batch: pd.DataFrame) -> pd.DataFrame:
+            places = batch["position"]
+            if places.iloc[0] != self.last + 1 or not (places.diff().iloc[1:] == 1).all():
+                raise ValueError(f"records of {self.shard_id} out of order")
+            self.last = int(places.iloc[-1])
+            return pd.DataFrame(
+                {
+                    "shard_id": self.shard_id,
+                    "sequence_number": batch["sequence_number"],
+                    "position": places,
+                    "n_bytes": batch["data"].str.len(),
+                    "n_inits": self.inits,
+                }
+            )
+
+        def shutdown(self) -> None:
+            pass
+
+    place = shared_dir(spark, "live")
+    recs = log.records(spark, sf_dir).withColumn("arrival_ts", F.col("arrival_ts").cast("timestamp"))
+    late = F.unix_micros("arrival_ts") + F.pmod(F.xxhash64("seq_key"), F.lit(3_600_000_000))
+    first, last = recs.agg(F.min(F.unix_micros("arrival_ts")), F.max(F.unix_micros("arrival_ts"))).first()
+    part = F.floor((late - first) * 3 / (last - first + 3_600_000_001))
+    # A record of no shard, long after the others, lets them all go.
+    beat = recs.limit(1).withColumn("shard_id", F.lit("beat")).withColumn(
+        "arrival_ts", F.timestamp_micros(F.lit(last + 10 * 3_600_000_000))
+    )
+    schema = "shard_id string, sequence_number string, position bigint, n_bytes bigint, n_inits bigint"
+    for number in range(3):
+        here = recs.filter(part == number)
+        (here if number < 2 else here.unionByName(beat)).write.mode("append").parquet(f"{place}/log")
+        live = ordered.handoff_live(stream_log(spark, f"{place}/log"), SizeOf, schema, "2 hours")
+        runner.run_to_end(runner.append_to_table(live, f"{place}/out", f"{place}/checkpoint"))
+    return spark.read.schema(schema).parquet(f"{place}/out")
+
+
 def handoff_batch(spark, sf_dir):
     """Stream the log through user code; what it wrote, read back."""
     place = shared_dir(spark, "handoff")
@@ -634,6 +680,31 @@ def stream_deduplicated(spark, sf_dir):
     return _payload_as_text(kept)
 
 
+def metrics_pushed(spark, sf_dir):
+    """What a service has after three pushes, of which it refused a shard's part twice."""
+    place = f"{shared_dir(spark, 'push')}/outcomes"
+    ev = log.events(spark, sf_dir)
+    per_shard = intervals.shard_metrics(log.records_of(ev), log.samples_of(ev), HOUR)
+    leases = intervals.lease_metrics(log.lease_events_of(ev), HOUR)
+    long = store(publish.metrics_long(per_shard, leases, "window_end"), "long")
+
+    def refusing(number: int):
+        def take(rows: pd.DataFrame) -> None:
+            if number < 2 and any(r["value"] == "shardId-001" for r in rows["labels"].iloc[0]):
+                raise ConnectionError("refused")
+
+        return take
+
+    for number in range(3):
+        third = long.filter(F.pmod(F.dayofmonth("ts"), F.lit(3)) == number)
+        push.push_interval(third, refusing(number), place, number, rows_per_push=1)
+    whole = push.carried_over(push.pushed_rows(spark, place))
+    labels = F.array_join(F.transform("labels", lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return whole.select(
+        "metric", labels.alias("dims"), "unit", "value", "sample_count", "sum", "maximum", "minimum"
+    )
+
+
 def _rest(found: DataFrame, time: str, query) -> DataFrame:
     """Rows of a batch read whose time the watermark of an ended stream has not passed."""
     watermark = windows.final_watermark(query)
@@ -736,6 +807,7 @@ QUERIES: dict[str, Query] = {
         metrics_text,
         metrics_stored,
         metrics_text_stored,
+        metrics_pushed,
         active_owners,
         owner_shard_lists,
         invalid_progress,
@@ -755,6 +827,7 @@ QUERIES: dict[str, Query] = {
         resume_two_streams,
         progress_two_writers,
         handoff_ordered,
+        handoff_live_ordered,
         stream_totals,
         stream_windows,
         stream_sessions,
