@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shardbrook.functions.measures import micros_between, payload_bytes
 from shardbrook.schema import SHARD_KEYS
+from shardbrook.storage import store
 
 
 def records_processed(records: DataFrame) -> DataFrame:
@@ -29,19 +30,26 @@ def throughput(records: DataFrame) -> DataFrame:
 def with_lag(per_shard: DataFrame) -> DataFrame:
     """Add how far each shard's newest record is behind the newest of its stream.
 
-    Works on one row per shard.  The tips are a second aggregate over those same
-    rows, so the log is scanned and shuffled once (the exchange is reused); they
-    come as one map with an entry per stream.
+    Works on one row per shard, stored so that the log is scanned once; each meets the one
+    row of its stream.  A shard without a stream has no lag.
     """
-    tips = per_shard.where("stream IS NOT NULL").groupBy("stream").agg(
-        F.max("last_arrival").alias("tip")
-    )
-    by_stream = tips.agg(
-        F.map_from_entries(F.collect_list(F.struct("stream", "tip")))
-    ).scalar()
-    return per_shard.withColumn("_tip", by_stream[F.col("stream")]).withColumn(
+    per_shard = store(per_shard, "per-shard")
+    tips = per_shard.groupBy("stream").agg(F.max("last_arrival").alias("_tip"))
+    return per_shard.join(tips, "stream", "left").withColumn(
         "lag_us", micros_between(F.col("last_arrival"), F.col("_tip"))
-    ).drop("_tip")
+    ).select(*per_shard.columns, "lag_us")
+
+
+def lag_gauge(samples: DataFrame, metric: str = "lag") -> DataFrame:
+    """The newest sample of each shard: ``value`` and when it was taken.
+
+    Of several at one time the largest counts.  Samples without a time are left out.
+    """
+    own = samples.filter((F.col("metric") == metric) & F.col("ts").isNotNull())
+    newest = F.max(F.struct("ts", "value"))
+    return own.groupBy(*SHARD_KEYS).agg(newest.alias("_s")).select(
+        *SHARD_KEYS, F.col("_s.ts").alias("ts"), F.col("_s.value").alias("value")
+    )
 
 
 def lag_latest(records: DataFrame) -> DataFrame:

@@ -308,6 +308,9 @@ _BODIES = {
     "lag_latest": """
         SELECT shard_id, epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts)) AS lag_us
         FROM r GROUP BY 1""",
+    "lag_gauge": """
+        SELECT shard_id, max(ts) AS ts, arg_max(value, ts) AS value
+        FROM s WHERE metric = 'lag' GROUP BY 1""",
     "shard_summary": """
         SELECT stream, shard_id, count(*) AS n_records, CAST(sum(n) AS BIGINT) AS n_bytes,
                max(ts) AS last_arrival,

@@ -244,6 +244,10 @@ def lag_latest(spark, sf_dir):
     return counters.lag_latest(log.records(spark, sf_dir)).select("shard_id", "lag_us")
 
 
+def lag_gauge(spark, sf_dir):
+    return counters.lag_gauge(log.samples_of(log.events(spark, sf_dir))).drop("stream")
+
+
 def shard_summary(spark, sf_dir):
     """Records, bytes and lag per shard."""
     return counters.with_lag(counters.throughput(log.records(spark, sf_dir)))
@@ -792,6 +796,7 @@ QUERIES: dict[str, Query] = {
         records_processed,
         bytes_processed,
         lag_latest,
+        lag_gauge,
         shard_summary,
         lag_stats,
         duration_stats,

@@ -238,3 +238,19 @@ def test_large_counters_keep_every_digit(spark):
     df = spark.sql("SELECT 9007199254740993L AS big, 1234567890123457D AS whole, 0.5D AS part")
     found = df.select(*(_number(F.col(c)).alias(c) for c in df.columns)).first()
     assert tuple(found) == ("9007199254740993", "1234567890123457", "0.5")
+
+
+def test_lag_of_very_many_streams(spark):
+    """A hundred thousand streams of three shards, and shards of no stream."""
+    per_shard = spark.range(300_000).selectExpr(
+        "concat('s', id % 100000) AS stream", "cast(id AS string) AS shard_id",
+        "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id div 100000) AS last_arrival",
+    )
+    none = spark.range(1).selectExpr("cast(NULL AS string) AS stream", "'x' AS shard_id", "timestamp '2024-01-01' AS last_arrival")
+    found = counters.with_lag(per_shard.union(none))
+    assert rows(found.groupBy("lag_us").count()) == [(0, 100_000), (1_000_000, 100_000), (2_000_000, 100_000), (None, 1)]
+
+
+def test_the_newest_sample_is_the_gauge(make):
+    found = make.samples([("a", 2, "lag", 5), ("a", 9, "lag", 1), ("a", 9, "fetch", 7), ("b", 1, "lag", 2)])
+    assert rows(counters.lag_gauge(found), "shard_id", "value") == [("a", 1.0), ("b", 2.0)]
