@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import key_bounds, run_of
+from shardbrook.functions.sequence import key_bounds, run_of, time_key
 from shardbrook.schema import SHARD_KEYS
 from shardbrook.storage import store
 
@@ -58,21 +59,24 @@ def running_total(
     )
 
 
-def leases_held(lease_events: DataFrame, stretch_interval: str = "1 hour") -> DataFrame:
+def leases_held(lease_events: DataFrame, target_events: int = 1_000_000) -> DataFrame:
     """The leases-held gauge after every gain (+1) and loss (-1).
 
-    Needs an ``event_id`` that orders events with equal time.
+    Needs an ``event_id``, a whole number that orders events with equal time.  Stretches follow
+    from the rows (``in_stretches``), so a burst of one worker's events is many tasks.
     """
-    change = lease_changes()
-    moves = lease_events.filter(F.col("kind").isin("gained", "lost"))
+    keys = [*SHARD_KEYS, "worker"]
+    moves = lease_events.filter(F.col("kind").isin("gained", "lost")).withColumn(
+        "_key", time_key("ts", "event_id")
+    )
     return running_total(
-        moves,
-        keys=[*SHARD_KEYS, "worker"],
+        in_stretches(moves, target_events, keys, "_key"),
+        keys=keys,
         order=["ts", "event_id"],
-        value=change,
-        stretch=F.window("ts", stretch_interval).start,
+        value=lease_changes(),
+        stretch=F.col("_stretch"),
         name="leases_held",
-    ).drop("_stretch")
+    ).drop("_stretch", "_key")
 
 
 def lease_changes() -> Column:
@@ -81,18 +85,31 @@ def lease_changes() -> Column:
     )
 
 
-def in_stretches(records: DataFrame, target_records: int = 1_000_000) -> DataFrame:
+def _same(by: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
+    """Equal in all columns; null equals null."""
+    equal = [left[c].eqNullSafe(right[c]) for c in by]
+    return reduce(Column.__and__, equal)
+
+
+def in_stretches(
+    records: DataFrame,
+    target_records: int = 1_000_000,
+    keys: Sequence[str] = SHARD_KEYS,
+    key: str = "seq_key",
+) -> DataFrame:
     """Add ``_stretch``: consecutive pieces of each shard of at most twice the target.
 
     A shard begins as one stretch.  Stretches with more records are cut: their span
     and count give the digits to drop where numbers lie evenly.  What is still too
-    large (a burst) is cut again by its own density, and at last by so few digits
-    that a stretch cannot hold more than the target, since numbers are unique.
+    large (a burst) is cut again by its own density, then by so few digits that only repeated
+    keys can make a stretch crowded, and at last key by key.  Records of one key, or of none,
+    may stand in any order, so they are dealt out; only those are written, since a
+    record must keep its place in the deal.
 
     Each round passes over the keys and joins a table with a row per crowded stretch;
     where no shard is crowded there is one pass and no join.
     """
-    by = [*SHARD_KEYS, "_stretch"]
+    by = [*keys, "_stretch"]
     fine = len(str(max(1, target_records))) - 1
     # How many leading characters the first and the last key share.
     same = (
@@ -102,22 +119,43 @@ def in_stretches(records: DataFrame, target_records: int = 1_000_000) -> DataFra
     pieces = F.ceil(F.log10(F.col("n_records") / target_records)).cast("int")
     even = F.greatest(F.octet_length("last_key") - F.expr(same) - pieces, F.lit(0))
     dealt = records.withColumn("_stretch", F.lit(""))
-    for digits in (even, even, F.lit(fine)):
-        crowded = store(
-            key_bounds(dealt, by)
-            .filter((F.col("n_records") > 2 * target_records) & F.col("last_key").isNotNull())
-            .select(*by, digits.alias("_digits")),
-            "crowded",
-        )
-        if crowded.isEmpty():
+
+    def crowded(*columns: Column) -> DataFrame:
+        full = key_bounds(dealt, by, key).filter(F.col("n_records") > 2 * target_records)
+        return store(full.select(*by, *columns), "crowded")
+
+    one_key = (F.col("first_key") == F.col("last_key")) & (F.col("n_keyless") == 0)
+    repeated = F.coalesce(one_key, F.lit(False)) | (F.col("n_keyless") == F.col("n_records"))
+    for digits in (even, even, F.lit(fine), F.lit(0)):
+        full = crowded(digits.alias("_digits"), repeated.alias("_repeated"), "n_records")
+        if full.filter("NOT _repeated").isEmpty():
             break
-        run = F.when(F.col("_digits").isNotNull(), run_of("seq_key", F.col("_digits")))
-        dealt = (
-            dealt.join(crowded, by, "left")
-            .withColumn("_stretch", F.coalesce(run, "_stretch"))
-            .drop("_digits")
+        cut = full.filter("NOT _repeated").select(*by, "_digits")
+        run = run_of(key, F.col("_digits"))
+        joined = dealt.join(cut, _same(by, dealt, cut), "left").select(
+            *[dealt[c] for c in dealt.columns if c != "_stretch"],
+            dealt["_stretch"].alias("_was"),
+            cut["_digits"].alias("_digits"),
+        )
+        stretch = F.when(F.col("_digits").isNotNull(), F.coalesce(run, F.col("_was")))
+        dealt = joined.withColumn("_stretch", F.coalesce(stretch, F.col("_was"))).drop(
+            "_was", "_digits"
         )
-    return dealt
+    else:
+        full = crowded(repeated.alias("_repeated"), "n_records")
+    if full.isEmpty():
+        return dealt
+    alike = full.filter("_repeated").select(
+        *by, F.ceil(F.col("n_records") / target_records).alias("_parts")
+    )
+    place = F.pmod(F.monotonically_increasing_id(), F.col("_parts"))
+    # A blank sorts before every digit.
+    part = F.concat("_stretch", F.lit(" "), F.lpad(place.cast("string"), 12, "0"))
+    hot = dealt.join(alike, _same(by, dealt, alike)).select(
+        *[dealt[c] for c in dealt.columns], alike["_parts"]
+    )
+    hot = store(hot.withColumn("_stretch", part).drop("_parts"), "alike")
+    return dealt.join(alike, _same(by, dealt, alike), "left_anti").unionByName(hot)
 
 
 def shard_positions(

@@ -5,6 +5,7 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from shardbrook.functions.measures import whole_millis
+from shardbrook.functions.sequence import time_key
 from shardbrook.operators import counters, intervals, publish, running, samples
 from shardbrook.sources import sinks
 
@@ -254,3 +255,42 @@ def test_lag_of_very_many_streams(spark):
 def test_the_newest_sample_is_the_gauge(make):
     found = make.samples([("a", 2, "lag", 5), ("a", 9, "lag", 1), ("a", 9, "fetch", 7), ("b", 1, "lag", 2)])
     assert rows(counters.lag_gauge(found), "shard_id", "value") == [("a", 1.0), ("b", 2.0)]
+
+
+def test_repeated_and_missing_keys_are_cut(spark, make):
+    """A thousand records of one key and 990 of none, alike in all columns, beside others."""
+    same = [("a", "500", 1, b"x")] * 1000 + [("a", str(n), 1, b"") for n in range(400, 600)]
+    none = [("a", None, 1, b"x")] * 990 + [(None, str(n), 1, b"") for n in range(100, 300)]
+    recs = make.records(same + none + [("b", "7", 1, b"")])
+    numbered = running.shard_positions(recs, target_records=10).collect()
+    sizes, by_shard = {}, {}
+    for r in numbered:
+        sizes[r.shard_id, r._stretch] = sizes.get((r.shard_id, r._stretch), 0) + 1
+        number = -1 if r.sequence_number is None else int(r.sequence_number)
+        by_shard.setdefault(r.shard_id, []).append((r.position, number))
+    assert max(sizes.values()) <= 20 and len(sizes) >= 200
+    for found in by_shard.values():
+        found.sort()
+        assert [p for p, _ in found] == list(range(1, len(found) + 1))
+        assert [n for _, n in found] == sorted(n for _, n in found)
+    assert len(by_shard["a"]) == 2190 and len(by_shard[None]) == 200
+
+
+def test_a_burst_of_one_worker_is_many_stretches(spark, make):
+    """All in one hour, many at one moment; the gauge as one walk through time gives it."""
+    rng = random.Random(2)
+    moves = [
+        (i, "a", "w", rng.choice([5, 5, 5, rng.randrange(3600)]), rng.choice(["gained", "lost"]))
+        for i in range(1500)
+    ] + [(5000 + i, "b", "w", i * 50_000, "gained") for i in range(30)]
+    events = make.leases(moves)
+    keyed = events.withColumn("_key", time_key("ts", "event_id"))
+    by = ["stream", "shard_id", "worker"]
+    sizes = running.in_stretches(keyed, 20, by, "_key").groupBy(*by, "_stretch").count().collect()
+    assert max(r["count"] for r in sizes) <= 40
+    found = {r.event_id: r.leases_held for r in running.leases_held(events, 20).collect()}
+    held, wanted = {}, {}
+    for i, shard, worker, second, kind in sorted(moves, key=lambda m: (m[3], m[0])):
+        held[shard] = held.get(shard, 0) + (1 if kind == "gained" else -1)
+        wanted[i] = held[shard]
+    assert found == wanted

@@ -1,7 +1,10 @@
+import random
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from shardbrook.functions.sequence import key_bounds, number_of, run_of, seq_key
+from shardbrook.functions.sequence import key_bounds, number_of, run_of, seq_key, time_key
 
 canonical = st.integers(0, 10**120).map(str)
 
@@ -75,3 +78,22 @@ def test_runs_never_decrease(spark):
     runs = [r.run for r in df.orderBy(seq_key("n")).select(run_of(seq_key("n"), 3).alias("run")).collect()]
     assert runs == sorted(runs)
     assert len(set(runs)) > 2
+
+
+def test_long_numbers_that_differ_early_have_one_head(spark):
+    """56 digits, of which all but the first eighteen vary."""
+    rng = random.Random(4)
+    numbers = [f"495903382714902566{rng.randrange(10**38):038d}" for _ in range(300)]
+    keyed = spark.createDataFrame([("a", n) for n in numbers], "g string, n string").select(
+        "g", seq_key("n").alias("seq_key")
+    )
+    assert keyed.select(run_of("seq_key", 38)).distinct().count() == 1
+    found = key_bounds(keyed, ["g"]).select(number_of("first_key"), number_of("last_key")).first()
+    assert tuple(found) == (min(numbers), max(numbers))
+
+
+def test_time_keys_sort_by_time_and_tie(spark):
+    df = spark.createDataFrame(
+        [("1950-01-01", 1), ("2024-01-01", 9), ("2024-01-01", 10), ("2024-01-02", 2)], "t string, n bigint"
+    ).withColumn("key", time_key(F.col("t").cast("timestamp"), "n"))
+    assert [(r.t[:4], r.n) for r in df.orderBy("key").collect()] == [("1950", 1), ("2024", 9), ("2024", 10), ("2024", 2)]
