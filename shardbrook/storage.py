@@ -9,26 +9,32 @@ shuffle beyond that.  No broadcast hint is used anywhere in this package.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the session's checkpoint folder."""
+def _scratch(spark: SparkSession) -> str:
+    """This application's folder below the session's checkpoint folder, or its warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shardbrook-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/shardbrook/{name}-{uuid.uuid4().hex}"
+        root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/shardbrook/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new path that the driver and all executors share."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables that ``store`` and ``shared_dir`` placed for this application.
+
+    Results that still read them can not be used any more.
+    """
+    remove(spark, _scratch(spark))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

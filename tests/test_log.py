@@ -60,3 +60,30 @@ def test_project_any_table(spark):
     )
     assert found.schema.fieldNames() == RECORD.fieldNames()
     assert rows(found, "stream", "shard_id", "seq_key") == [("s", "one", "000000017")]
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from shardbrook import storage
+
+    kept = storage.store(spark.range(3), "kept")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert storage.read_if_present(spark, path, "id bigint").count() == 3
+    storage.clear_scratch(spark)
+    assert storage.read_if_present(spark, path, "id bigint") is None
+
+
+def test_the_core_stays_when_a_text_library_is_missing(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    (tmp_path / "tiktoken.py").write_text("raise ImportError('not here')")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; print(len(e.queries()), 'records_scan' in e.queries())"
+    done = subprocess.run(
+        [sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True,
+        env=os.environ | {"PYTHONPATH": f"{tmp_path}:{root}"},
+    )
+    from shardbrook.plans.queries import QUERIES
+
+    assert done.stdout.split() == [str(len(QUERIES)), "True"], done.stderr[-1000:]
