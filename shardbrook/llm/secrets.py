@@ -38,7 +38,14 @@ MORE_KINDS = [
         24,
     ),
     ("web-token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 20),
-    ("key-block", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]+", 0, 20),
+    # To the end of its own name, before that of another, or to the end of the text.
+    (
+        "key-block",
+        r"(?s)-----BEGIN ((?:[A-Z0-9]+ )*?PRIVATE KEY(?: BLOCK)?)-----"
+        r".*?(?:-----END \1-----|(?=-----END )|(?=-----END\z)|\z)",
+        0,
+        20,
+    ),
 ]
 ORDER = {name: i for i, (name, *_) in enumerate(BASE_KINDS + MORE_KINDS)}
 # Held by more owners, or more repositories, than these, a value is a copied example.
@@ -92,7 +99,7 @@ def candidates(
     id_col: str = "doc_id",
     text_col: str = "text",
     owner_col: str = "source",
-    repository_col: str | None = "doc_id",
+    repository_col: str | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``_row, _id, _owner, _repository, keep..., _base, _more``: spans with hashed values.
@@ -166,7 +173,7 @@ def find_secrets(
     id_col: str = "doc_id",
     text_col: str = "text",
     owner_col: str = "source",
-    repository_col: str | None = "doc_id",
+    repository_col: str | None = None,
     keep: tuple[str, ...] = (),
     most_owners: int = MOST_OWNERS,
     most_repositories: int = MOST_REPOSITORIES,
@@ -181,8 +188,8 @@ def find_secrets(
     all of it, so spans may overlap.
 
     A null or empty text has no spans.  A null owner counts as one owner, a null
-    repository as one repository.  With ``repository_col=None`` a value is judged by its
-    owners alone, however many texts of theirs hold it.  Rows with null or repeated ids are each searched
+    repository as one repository.  Without a ``repository_col`` a value is judged by its
+    owners alone, however many texts of theirs hold it; a text is no repository.  Rows with null or repeated ids are each searched
     and come back once each.  Columns not named are not read.
 
     Texts without a candidate are not shuffled; the others meet the counts by hash,

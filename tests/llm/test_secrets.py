@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shardbrook.llm import secrets
@@ -69,10 +70,73 @@ def test_copied_examples_are_not_added_and_live_ones_are(documents):
 
 
 def test_one_owner_in_many_repositories_is_an_example(documents):
+    """Repositories count where there is a column of them; documents are none."""
     value = "Zq8x_0192837465_tkwmplvnrs"
-    rows = [(i, value, "en", "owner", 0) for i in range(secrets.MOST_REPOSITORIES + 1)]
-    assert {r.spans for r in secrets.find_secrets(documents(rows)).collect()} == {""}
-    assert {r.spans for r in secrets.find_secrets(documents(rows[1:])).collect()} == {"opaque:0:26"}
+    rows = [(i, value, "en", "owner", i % 9) for i in range(60)]
+    docs = documents(rows).withColumnRenamed("n_chars", "repo")
+    assert {r.spans for r in secrets.find_secrets(docs).collect()} == {"opaque:0:26"}
+    assert {r.spans for r in secrets.find_secrets(docs, repository_col="repo").collect()} == {""}
+    few = docs.where("repo < 8")
+    assert {r.spans for r in secrets.find_secrets(few, repository_col="repo").collect()} == {"opaque:0:26"}
+
+
+def test_whole_keys_are_masked(documents):
+    def pem(name, headers=""):
+        return f"-----BEGIN {name}-----\n{headers}MIIEow+/x-y\nq0Zp9w==\n-----END {name}-----"
+
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    long_name = " ".join(["VERY"] * 20) + " PRIVATE KEY"
+    texts = [
+        f"a {pem('RSA PRIVATE KEY', headers)} b",
+        f"a {pem('PGP PRIVATE KEY BLOCK', 'Version: X 1-2' + chr(10))} b {pem('EC PRIVATE KEY')} c",
+        f"a {pem(long_name)} b",
+        "a -----BEGIN PRIVATE KEY-----\nMIIE-cut",
+        f"a -----BEGIN RSA PRIVATE KEY-----\nMIIE\n{pem('CERTIFICATE')} b",
+        f"a {pem('CERTIFICATE')} b {pem('RSA PUBLIC KEY')}",
+    ]
+    docs = documents([(i, t, "en", f"owner{i}", 0) for i, t in enumerate(texts)])
+    rows = secrets.find_secrets(docs, keep=("text",)).withColumn(
+        "out", secrets.masked(F.col("text"), F.col("places"))
+    )
+    found = {r.doc_id: r.out for r in rows.collect()}
+    mask = secrets.MASK
+    assert [found[i] for i in range(4)] == [f"a {mask} b", f"a {mask} b {mask} c", f"a {mask} b", f"a {mask}"]
+    assert "MIIE\n" not in found[4] and found[4].startswith(f"a {mask}") and found[4].endswith(" b")
+    assert found[5] == texts[5]
+
+
+@pytest.mark.parametrize("most_owners", [secrets.MOST_OWNERS, 1, 0])
+def test_owner_counts_over_a_whole_table(spark, most_owners):
+    """Spans, live and copied candidates by plain Python over all documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found, owners = {}, {}
+    for row in docs.collect():
+        spans = []
+        for order, (_, pattern, group, least) in enumerate(secrets.BASE_KINDS + secrets.MORE_KINDS):
+            for m in re.finditer(pattern.replace(r"\z", r"\Z"), row.text or ""):
+                if len(m[group]) >= least:
+                    spans.append((m.start(), order, m.end(), m[group]))
+        found[row.doc_id] = sorted(spans)
+        for *_, value in spans:
+            owners.setdefault(value, set()).add(row.source)
+    live = {v for v, who in owners.items() if len(who) <= most_owners}
+    names, first_more = list(secrets.ORDER), len(secrets.BASE_KINDS)
+    wanted = {}
+    for key, spans in found.items():
+        base = [s for s in spans if s[1] < first_more]
+        places = list(base)
+        for s in spans:
+            at = s[0]
+            for b in base:
+                at = max(at, b[2]) if b[0] <= at else at
+            if s[1] >= first_more and s[3] in live and s[2] > at:
+                places.append(s)
+        listed = ",".join(f"{names[o]}:{a}:{z}" for a, o, z, _ in sorted(places, key=lambda s: s[:3]))
+        n_live = sum(s[3] in live for s in spans)
+        wanted[key] = (listed, n_live, len(spans) - n_live)
+    rows = secrets.find_secrets(docs, most_owners=most_owners).collect()
+    assert {r.doc_id: (r.spans, r.n_live, r.n_copied) for r in rows} == wanted
+    assert any(n for _, n, _ in wanted.values()) == (most_owners > 0)
 
 
 def test_values_of_few_owners_are_live_in_any_number_of_documents(spark, documents, tmp_path):
