@@ -151,8 +151,8 @@ def top_products(
     by value).  Fewer than k vectors give fewer rows, empty tables none.
 
     Vectors are dealt by norm into buckets of about ``bucket_rows``, queries into
-    blocks of at most about ``query_block``; a task joins one block with one bucket,
-    and sends on at most k rows for each query of it.
+    blocks of at most about ``query_block``; a task joins one block with one dimension of
+    one bucket, and sends on at most k rows for each query of it.
     """
     vectors = store(vectors, "vectors")
     queries = store(
@@ -168,7 +168,7 @@ def top_products(
     # Sort by length; equal lengths are dealt by id, so no bucket is a single length's.
     bucketed = store(
         vectors.repartitionByRange(n_buckets, F.desc("norm"), F.xxhash64("id")).withColumn(
-            "bucket", F.spark_partition_id().cast("long") * 64 + F.pmod(F.col("dim"), F.lit(64))
+            "bucket", F.spark_partition_id().cast("long")
         ),
         "buckets",
     )
@@ -177,14 +177,14 @@ def top_products(
 
     def joined(pairs: DataFrame) -> DataFrame:
         """Best rows of each bucket for the queries (with floors) paired with it."""
-        left = pairs.select("bucket", "block", "id", "v", "floor")
-        used = left.select(F.col("bucket").alias("on"), F.col("block").alias("by")).distinct()
-        right = bucketed.join(used, F.col("bucket") == F.col("on")).select(
-            "on", "by", F.col("id").alias("vec"), F.col("v").alias("w")
+        by = ["dim", "bucket", "block"]
+        left = pairs.select(*by, "id", "v", "floor")
+        right = bucketed.join(left.select(*by).distinct(), ["dim", "bucket"]).select(
+            *by, F.col("id").alias("vec"), F.col("v").alias("w")
         )
         return (
-            left.groupBy("bucket", "block")
-            .cogroup(right.groupBy("on", "by"))
+            left.groupBy(*by)
+            .cogroup(right.groupBy(*by))
             .applyInArrow(run, "query_id long, vec_id long, score long")
         )
 
@@ -218,7 +218,7 @@ def top_products(
             F.when(F.size("s") >= k, F.element_at("s", k).cast("double")).alias("floor"),
         )
     )
-    others = lists.join(first.select("bucket"), "bucket", "left_anti")
+    others = lists.join(first, ["dim", "bucket"], "left_anti")
     rest = (
         blocked.join(floors, "id", "left")
         .withColumn("floor", F.coalesce("floor", nothing))

@@ -60,6 +60,12 @@ def test_odd_rows(spark):
     assert _found(spark, [(50, [1.0])]) == []
 
 
+def test_dimensions_sixty_four_apart(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(rng.choice([2, 66, 130]))]) for i in range(240)]
+    assert _found(spark, rows, 10, bucket_rows=30, query_block=7) == _brute(rows, every=10)
+
+
 def test_repeated_rows(spark):
     """A query counts once and does not meet rows of its own id; others rank side by side."""
     rows = [(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, [0.1, 0.1])]
