@@ -177,14 +177,16 @@ def top_products(
 
     def joined(pairs: DataFrame) -> DataFrame:
         """Best rows of each bucket for the queries (with floors) paired with it."""
-        by = ["dim", "bucket", "block"]
+        by, of = ["dim", "bucket", "block"], ["of_dim", "of_bucket", "of_block"]
         left = pairs.select(*by, "id", "v", "floor")
-        right = bucketed.join(left.select(*by).distinct(), ["dim", "bucket"]).select(
-            *by, F.col("id").alias("vec"), F.col("v").alias("w")
+        used = left.select(*by).distinct().toDF(*of)
+        there = (F.col("dim") == F.col("of_dim")) & (F.col("bucket") == F.col("of_bucket"))
+        right = bucketed.join(used, there).select(
+            *of, F.col("id").alias("vec"), F.col("v").alias("w")
         )
         return (
             left.groupBy(*by)
-            .cogroup(right.groupBy(*by))
+            .cogroup(right.groupBy(*of))
             .applyInArrow(run, "query_id long, vec_id long, score long")
         )
 
