@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardbrook.llm.common import whole_text
+from shardbrook.storage import store
 
 # What counts as a separator, the phrases, and wordings of public licenses.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -128,17 +129,31 @@ def _hashed_grams(words: str, gram: int) -> Column:
 def template_places(
     spark: SparkSession, templates: list[tuple[str, str]], gram: int
 ) -> DataFrame:
-    """``template, label, grams, hash, place``: where each k-gram stands in a template."""
+    """``template, label, grams, place, hash, text``: where each k-gram stands in a template."""
     rows = [(i, label, template_words(text)) for i, (label, text) in enumerate(templates)]
     if any(len(words) < gram for _, _, words in rows):
         raise ValueError(f"a template needs at least {gram} words")
     frame = spark.createDataFrame(rows, "template int, label string, words array<string>")
-    return frame.withColumn("h", _hashed_grams("words", gram)).select(
-        "template",
-        "label",
-        F.size("h").alias("grams"),
-        F.posexplode("h").alias("place", "hash"),
+    placed = frame.withColumn("h", _hashed_grams("words", gram)).select(
+        "template", "label", "words", F.size("h").alias("grams"), F.posexplode("h").alias("place", "hash")
     )
+    return placed.withColumn("text", _gram_text("words", F.col("place"), gram)).drop("words")
+
+
+def _gram_text(words: str, place: Column, gram: int) -> Column:
+    return F.array_join(F.slice(words, place + 1, gram), " ")
+
+
+def in_order(places: Column) -> Column:
+    """How many of a list of places can be kept so that they ascend, each place once."""
+
+    def step(ends: Column, place: Column) -> Column:
+        """``ends``: the least last place of a row of 1, 2, 3, ... places."""
+        below = F.filter(ends, lambda e: e < place)
+        above = F.filter(ends, lambda e: e >= place)
+        return F.concat(below, F.array(place), F.slice(above, F.lit(2), F.size(above)))
+
+    return F.size(F.aggregate(places, F.array().cast("array<int>"), step))
 
 
 def _phrase_places(phrases: list[tuple[str, str]]) -> tuple[Column, Column, Column, Column]:
@@ -191,14 +206,25 @@ def scan(
 
     Hashes are looked up in the templates' set inside each row first, so only those
     that stand in a template become rows; the templates (a fixed list, a few hundred
-    places) are broadcast.  Votes are counted in each task before they are shuffled,
-    by row, template and diagonal.
+    places) are broadcast.  A vote counts if the words there are those of the template.
+    A span is scored by the places of the template that it holds in the template's order,
+    each place once: a phrase that comes again and again is one place.
+
+    Rows without a vote are not shuffled.  Numbers, places and matching k-grams of all rows are written
+    once to the shared folder, so that a row keeps its number.
     """
     spark = docs.sparkSession
     places = template_places(spark, templates, gram)
     known = [r["hash"] for r in places.select("hash").distinct().collect()]  # fixed size
     count, first, last, labels = _phrase_places(phrases)
     hashes = F.from_json(F.lit(f"[{','.join(map(str, known))}]"), "array<bigint>")
+    numbered = F.transform("_grams", lambda h, i: F.struct(i.alias("at"), h.alias("hash")))
+    standing = F.transform(
+        F.filter(numbered, lambda g: F.array_contains(hashes, g["hash"])),
+        lambda g: F.struct(
+            g["at"].alias("at"), g["hash"].alias("hash"), _gram_text("_words", g["at"], gram).alias("text")
+        ),
+    )
     parts = (
         docs.select(
             F.monotonically_increasing_id().alias("_row"),
@@ -219,38 +245,42 @@ def scan(
                 last.alias("last_word"),
                 labels.alias("base"),
             ).alias("own"),
-            F.when(F.arrays_overlap("_grams", hashes), F.col("_grams")).alias("_grams"),
+            F.when(F.arrays_overlap("_grams", hashes), standing).alias("_votes"),
         )
     )
-    # Every row stays, with or without a match, so nothing has to be joined back.
+    parts = store(parts, "licenses")
+    voting = parts.where("_votes IS NOT NULL")
+    # The words are compared too, so nothing rests on a hash.
     votes = (
-        parts.select("_row", "own", F.posexplode_outer("_grams").alias("at", "hash"))
-        .join(F.broadcast(places), "hash", "left")
+        voting.select("_row", F.inline("_votes"))
+        .join(F.broadcast(places), ["hash", "text"])
         .withColumn("diagonal", F.col("at") - F.col("place"))
         .groupBy("_row", "template", "diagonal")
         .agg(
-            F.any_value("own").alias("own"),
             F.any_value("label").alias("label"),
             F.any_value("grams").alias("grams"),
-            F.count("template").alias("votes"),
-            F.min("at").alias("low"),
-            F.max("at").alias("high"),
+            F.collect_list(F.struct("at", (-F.col("place")).alias("back"))).alias("pairs"),
         )
     )
     along = Window.partitionBy("_row", "template").orderBy("diagonal")
     starts = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > drift, F.lit(True))
+    pairs = F.array_sort(F.flatten(F.collect_list("pairs")))
     spans = (
         votes.withColumn("new", starts.cast("int"))
         .withColumn("span", F.sum("new").over(along))
         .groupBy("_row", "template", "span")
         .agg(
-            F.any_value("own").alias("own"),
             F.any_value("label").alias("label"),
-            (F.sum("votes") / F.any_value("grams")).alias("share"),
-            F.min("low").alias("first"),
-            (F.max("high") + gram - 1).alias("last"),
+            F.any_value("grams").alias("grams"),
+            pairs.alias("pairs"),
+        )
+        .select(
+            "_row",
+            "label",
+            (in_order(F.transform("pairs", lambda p: -p["back"])) / F.col("grams")).alias("share"),
+            F.get("pairs", F.lit(0))["at"].alias("first"),
+            (F.element_at("pairs", -1)["at"] + gram - 1).alias("last"),
         )
-        .withColumn("share", F.when(F.col("share") > 1, F.lit(1.0)).otherwise(F.col("share")))
     )
     span = F.struct(
         "label",
@@ -258,31 +288,30 @@ def scan(
         F.col("last").cast("long").alias("last"),
         F.col("share").alias("score"),
     )
-    return (
-        spans.groupBy("_row")
-        .agg(
-            F.any_value("own").alias("own"),
+    told = spans.groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.when(F.col("share") >= least_score, span))).alias("spans"),
+        F.max("share").alias("share"),
+    )
+    none = F.array().cast(told.schema["spans"].dataType)
+    rows = voting.join(told, "_row", "left").withColumn("spans", F.coalesce("spans", none))
+    silent = parts.where("_votes IS NULL").withColumns(
+        {"spans": none, "share": F.lit(None).cast("double")}
+    )
+    return rows.unionByName(silent).select(
+        F.col("own.id").alias(id_col),
+        "own.n_words",
+        "own.n_base",
+        "own.first_word",
+        "own.last_word",
+        F.array_join(F.array_sort("own.base"), ",").alias("base_labels"),
+        F.array_join(
             F.array_sort(
-                F.collect_list(F.when(F.col("share") >= least_score, span))
-            ).alias("spans"),
-            F.max("share").alias("share"),
-        )
-        .select(
-            F.col("own.id").alias(id_col),
-            "own.n_words",
-            "own.n_base",
-            "own.first_word",
-            "own.last_word",
-            F.array_join(F.array_sort("own.base"), ",").alias("base_labels"),
-            F.array_join(
-                F.array_sort(
-                    F.array_union(F.col("own.base"), F.transform("spans", lambda s: s["label"]))
-                ),
-                ",",
-            ).alias("labels"),
-            F.when(F.col("own.n_base") > 0, F.lit(1.0))
-            .otherwise(F.coalesce("share", F.lit(0.0)))
-            .alias("score"),
-            "spans",
-        )
+                F.array_union(F.col("own.base"), F.transform("spans", lambda s: s["label"]))
+            ),
+            ",",
+        ).alias("labels"),
+        F.when(F.col("own.n_base") > 0, F.lit(1.0))
+        .otherwise(F.coalesce("share", F.lit(0.0)))
+        .alias("score"),
+        "spans",
     )

@@ -60,6 +60,12 @@ _TEMPLATE_ROWS = ", ".join(
     f"({i}, {_text(label)}, {_text(text)})" for i, (label, text) in enumerate(TEMPLATES)
 )
 
+# The most places that ascend: the least last place of a row of 1, 2, 3, ... of them.
+_IN_ORDER = (
+    "len(list_reduce(list_prepend(CAST([] AS BIGINT[]), list([place] ORDER BY here, place DESC)), "
+    "lambda ends, p: list_filter(ends, lambda e: e < p[1]) || p || list_filter(ends, lambda e: e >= p[1])[2:]))"
+)
+
 LICENSES = f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS w FROM documents),
 based AS (
@@ -72,8 +78,9 @@ based AS (
 ), found AS (
     {_grams("docs", "rid")}
 ), votes AS (
-    SELECT rid, template, label, grams, found.place - places.place AS diagonal, count(*) AS votes
-    FROM found JOIN places USING (gram) GROUP BY ALL
+    SELECT rid, template, label, grams, found.place AS here, places.place AS place,
+           found.place - places.place AS diagonal
+    FROM found JOIN places USING (gram)
 ), marked AS (
     SELECT *, coalesce(diagonal - lag(diagonal) OVER along > {DRIFT}, true) AS opens FROM votes
     WINDOW along AS (PARTITION BY rid, template ORDER BY diagonal)
@@ -81,7 +88,7 @@ based AS (
     SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY rid, template ORDER BY diagonal) AS span
     FROM marked
 ), spans AS (
-    SELECT rid, label, least(sum(votes) / any_value(grams), 1.0) AS share
+    SELECT rid, label, {_IN_ORDER} / any_value(grams) AS share
     FROM numbered GROUP BY rid, template, label, span
 ), told AS (
     SELECT rid, max(share) AS share,

@@ -1,6 +1,8 @@
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from shardbrook.llm import licenses
 
@@ -77,6 +79,56 @@ def test_the_same_license_twice_is_two_spans(documents):
     assert row.labels == label and len(row.spans) == 2 and row.score == 1
 
 
+def test_a_repeated_phrase_is_no_license(documents):
+    """A phrase eight times, a clause thirty times, sentences in the wrong order."""
+    bsd = licenses.template_words(next(t for label, t in licenses.TEMPLATES if label == "bsd"))
+    clause = " ".join(bsd[:14])
+    mit = licenses.template_words(next(t for label, t in licenses.TEMPLATES if label == "mit"))
+    third = len(mit) // 3
+    turned = " ".join(mit[2 * third :] + mit[third : 2 * third] + mit[:third])
+    texts = ["gnu general public license " * 8, f"{clause} " * 30, " ".join(bsd[20:40]) * 3, turned]
+    found = licenses.scan(documents(texts)).orderBy("doc_id").collect()
+    assert [r.labels for r in found] == [""] * 4
+    assert all(r.score < licenses.LEAST_SCORE and r.spans == [] for r in found)
+
+
+def test_places_in_order(spark):
+    rng = random.Random(1)
+    lists = [[], [5], [3, 3, 3], [9, 8, 7], [1, 2, 3]]
+    lists += [[rng.randrange(30) for _ in range(rng.randint(1, 60))] for _ in range(40)]
+
+    def longest(places):
+        best = []
+        for i, p in enumerate(places):
+            best.append(1 + max((best[j] for j in range(i) if places[j] < p), default=0))
+        return max(best, default=0)
+
+    table = spark.createDataFrame([(i, p) for i, p in enumerate(lists)], "i int, p array<int>")
+    found = table.select("i", licenses.in_order(F.col("p"))).collect()
+    assert dict(map(tuple, found)) == {i: longest(p) for i, p in enumerate(lists)}
+
+
+def test_odd_texts_against_sql(spark, duck, documents, tmp_path):
+    """Licenses with changes, repeats and other orders, as the SQL twin sees them."""
+    from shardbrook.llm.oracles import LLM_ORACLES
+    from shardbrook.llm.queries import LLM_QUERIES
+
+    rng = random.Random(6)
+    texts = list(TEXTS)
+    for label, text in licenses.TEMPLATES:
+        words = licenses.template_words(text)
+        for _ in range(3):
+            some = [w for w in words if rng.random() > 0.05]
+            cut = rng.randrange(len(some))
+            texts.append(" ".join(some[cut:] + some[: rng.randrange(len(some))] * rng.randint(1, 3)))
+    documents(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = duck.execute(LLM_ORACLES["op2_license_scan"])
+    names = [c[0] for c in wanted.description]
+    found = LLM_QUERIES["op2_license_scan"](spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, wanted.fetchall()))
+
+
 def test_short_templates_are_refused(spark):
     with pytest.raises(ValueError, match="words"):
         licenses.template_places(spark, [("x", "two words")], 4)
