@@ -140,23 +140,37 @@ def blocks_of(page: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
-    def block_of(depth: int) -> tuple[_Open, int]:
-        while depth and stack[depth].tag not in BLOCK:
-            depth -= 1
-        above = depth - 1
-        while above > 0 and stack[above].tag not in BLOCK:
-            above -= 1
-        return stack[depth], stack[max(above, 0)].number
+    places: dict[str, list[int]] = {}  # depths of open elements by name
+    open_blocks: list[int] = []  # depths of open block elements
 
-    def close(depth: int) -> None:
-        """End the element at ``depth`` and all inside it."""
+    def settle() -> None:
+        """The block element that text now stands in, and the one around that."""
         nonlocal home, parent
-        if any(o.tag in BLOCK for o in stack[depth:]):
+        home = stack[open_blocks[-1] if open_blocks else 0]
+        parent = stack[open_blocks[-2] if len(open_blocks) > 1 else 0].number
+
+    def push(entry: _Open) -> None:
+        places.setdefault(entry.tag, []).append(len(stack))
+        if entry.tag in BLOCK:
+            open_blocks.append(len(stack))
+        stack.append(entry)
+
+    def close(depth: int) -> None:
+        """End the element at ``depth`` and all inside it; each is ended once."""
+        inside = open_blocks and open_blocks[-1] >= depth
+        if inside:
             flush()
-            del stack[depth:]
-            home, parent = block_of(len(stack) - 1)
-        else:
-            del stack[depth:]
+        for entry in stack[depth:]:
+            places[entry.tag].pop()
+        del stack[depth:]
+        while open_blocks and open_blocks[-1] >= depth:
+            open_blocks.pop()
+        if inside:
+            settle()
+
+    def nearest(names) -> int:
+        """Depth of the innermost open element of these names; 0 if there is none."""
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
     parent = 0
     length = len(page)
@@ -177,10 +191,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         name = name.lower()
         if tag["end"] or tag["end2"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == name:
-                    close(depth)
-                    break
+            depth = nearest((name,))
+            if depth:
+                close(depth)
             continue
         if name == "br":
             pieces.append("\n")
@@ -192,14 +205,10 @@ def blocks_of(page: str) -> list[Block]:
         rest = tag["rest"] if tag["name"] else tag["rest2"]
         # An open paragraph ends where a block begins; other elements as listed.
         ends = CLOSES.get(name, ("p",) if name in BLOCK else ())
-        if ends:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in ends:
-                    close(depth)
-                    if name != "tr":
-                        break
-                elif stack[depth].tag in STOPS:
-                    break
+        depth = nearest(ends)
+        while depth and depth >= nearest(STOPS):
+            close(depth)
+            depth = nearest(ends) if name == "tr" else 0
         top = stack[-1]
         structure = _structure(name, rest, top.structure)
         number += 1
@@ -214,10 +223,10 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in BLOCK:
             flush()
-            stack.append(entry)
-            home, parent = block_of(len(stack) - 1)
+            push(entry)
+            settle()
         else:
-            stack.append(entry)
+            push(entry)
     flush()
     return found
 

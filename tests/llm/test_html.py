@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 from shardbrook.llm import html_extract as H
 
@@ -87,3 +88,39 @@ def test_rows(spark):
     texts = {r.text for r in found if r.page_id not in (1, 2)}
     assert len(texts) == 1 and "Second paragraph" in texts.pop()
     assert H.extract(pages.limit(0), H.learn(pages.limit(0))).count() == 0
+
+
+def test_nested_and_unmatched_tags_take_linear_time():
+    many = 200_000
+    for page in (
+        "<b>" * many + "</i>" * many,
+        "<b>" * many + "x<div></div>" * many,
+        "<p><table><td>" + "<b>" * many + "<div>y</div>" * many,
+    ):
+        began = time.perf_counter()
+        H.blocks_of(page)
+        assert time.perf_counter() - began < 10  # seconds; the square would be hours
+
+
+def test_the_cut_decides_where_names_and_tags_tell_nothing():
+    """A block leans one way by itself and goes with its neighbours all the same."""
+    long = "<p>" + "A sentence with many words that say something about it. " * 4 + "</p>"
+    short = "<p>See <a href=x>there</a></p>"
+    links = "<p><a href=x>One</a></p><p><a href=y>Two</a></p>"
+    middling = "<p>More <a href=x>on this</a> here</p>"
+
+    def sides(page):
+        blocks = H.blocks_of(page)
+        assert not any(b.structure for b in blocks)
+        costs = [H.cost_of(b, WEIGHTS) for b in blocks]
+        labels = H.minimum_cut(costs, H.ties(blocks))
+        return [(c > 0, label) for c, label in zip(costs, labels)]
+
+    alone = sides(short)
+    assert alone == [(False, False)]
+    between = sides(f"<div>{long}{short}{long}</div>")
+    assert between == [(True, True), (False, True), (True, True)]
+    assert sides(middling) == [(True, True)]
+    assert sides(f"<div>{links}{middling}{links}</div>")[2] == (True, False)
+    text = H.extract_page(f"<div>{long}{short}{long}</div>", WEIGHTS)
+    assert "See there" in text
