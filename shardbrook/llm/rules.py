@@ -152,11 +152,10 @@ def log_ratios(hashed: DataFrame, trusted: Column, buckets: int) -> DataFrame:
 
 
 def default_trust() -> Column:
-    """Texts with enough words, hardly a symbol, and mostly distinct pairs of words."""
-    symbols = F.length(F.regexp_replace("_text", SYMBOLS, ""))
+    """Texts that pass the base rules, with hardly a symbol and mostly distinct pairs of words."""
     return (
-        (F.col("_n") >= MIN_WORDS)
-        & (100 * symbols <= F.col("_n"))
+        ~F.col("base_failed")
+        & (100 * F.col("n_symbols") <= F.col("_n"))
         & (2 * F.size(F.array_distinct("_pairs")) >= F.size("_pairs"))
     )
 
@@ -175,7 +174,8 @@ def judge(
 
     Returns ``id_col``, the ``keep`` columns and ``n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, score, kept``.  ``trusted`` is a
-    condition on ``_text``, its words ``_words`` (``_n`` of them) and ``keep`` columns.  A null or empty text has no words and fails the base
+    condition on ``_text``, its words ``_words`` (``_n`` of them), the base counts, ``base_failed`` and
+    ``keep`` columns; without it, base rules are part of what makes a text trusted.  A null or empty text has no words and fails the base
     rules; its score is 0.  Null and repeated ids are taken like any other row;
     columns not named are not read, and a ``keep`` column may have any name but
     those of the result.
@@ -187,7 +187,7 @@ def judge(
     own = list(keep)
     hashed = _hashes(docs, id_col, text_col, own)
     measured = _measured(hashed)
-    model = log_ratios(hashed, default_trust() if trusted is None else trusted, buckets)
+    model = log_ratios(measured, default_trust() if trusted is None else trusted, buckets)
     # One number per bucket, in thousandths; folded to a constant array by the planner.
     listed = model.select(
         F.to_json(F.transform("ratios", lambda r: F.round(r * 1000).cast("int"))).alias("r")
