@@ -33,13 +33,20 @@ DIGITS = frozenset("0123456789")
 
 
 class TreeCodec:
-    """Encodes and decodes whole texts by the ranks of one vocabulary."""
+    """Encodes and decodes whole texts by the ranks of one vocabulary.
 
-    def __init__(self, rank_file: bytes, pattern: str, leaf_chars: int = 512):
+    The split pattern is ``public_tokenizers.PATTERN``: where a token boundary holds
+    whatever follows (``_kind``) rests on it.
+    """
+
+    def __init__(self, rank_file: bytes, leaf_chars: int = 512):
         pairs = (line.split() for line in rank_file.splitlines() if line)
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.plain = tiktoken.Encoding(
-            "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+            "ranks",
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks=ranks,
+            special_tokens={},
         )
         self.leaf_chars = max(1, leaf_chars)
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
@@ -128,7 +135,6 @@ def encode_documents(
     docs: DataFrame,
     *,
     vocabulary: str | None = None,
-    pattern: str = public_tokenizers.PATTERN,
     id_col: str = "doc_id",
     text_col: str = "text",
     leaf_chars: int = 512,
@@ -149,7 +155,7 @@ def encode_documents(
         ranks = spark.sparkContext.broadcast(file.read())
 
     def setup():
-        codec = TreeCodec(ranks.value, pattern, leaf_chars)
+        codec = TreeCodec(ranks.value, leaf_chars)
 
         def apply(columns):
             for key, text in zip(*columns):

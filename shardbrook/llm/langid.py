@@ -28,7 +28,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12  # of each width
 EMBEDDING = 8
 PER_LANGUAGE = 600  # labelled texts of each language that training sees
-SAMPLE_CHARS = 512  # of each of them, from a place given by its id
+SAMPLE_CHARS = 512  # of each of them that training sees
 UNKNOWN = "und"
 
 
@@ -189,9 +189,13 @@ def learn(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
+    sample_chars: int = SAMPLE_CHARS,
 ) -> Network | None:
     """Train on about ``per_language`` labelled texts of each language.
 
+    Training sees ``sample_chars`` characters of each, from a place given by its id;
+    predictions read whole texts.
+
     Held-out rows, rows with a null language, and texts without a letter are not
     used.  Rows are chosen by a hash of their id at a rate that follows from their
     language's count, so the sample is the same in every run and small languages are
@@ -209,11 +213,11 @@ def learn(
         return None
     rates = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, per_language / n)))
     share = F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1_000_000)) / 1e6
-    room = F.greatest(F.length("_text") - SAMPLE_CHARS, F.lit(0)) + 1
+    room = F.greatest(F.length("_text") - sample_chars, F.lit(0)) + 1
     place = (F.pmod(F.xxhash64("_id", F.lit(4)), room) + 1).cast("int")
     chosen = (
         labelled.where(share < F.element_at(rates, F.col("_lang")))
-        .select("_lang", "_id", F.substring("_text", place, F.lit(SAMPLE_CHARS)).alias("_text"))
+        .select("_lang", "_id", F.substring("_text", place, F.lit(sample_chars)).alias("_text"))
         .where(F.col("_text").rlike(r"\p{L}"))
         # A repeated id may stand for many rows of one rate.
         .groupBy("_lang", "_id")

@@ -38,8 +38,6 @@ SALT_SHARE = 1000
 SALT_ROWS = 1_000_000
 # Words whose ids a task remembers.
 WORDS_HELD = 400_000
-# Beyond this many rows the plan is not broadcast; a capacity of 2048 gives far less.
-PLAN_ROWS = 4_000_000
 
 
 # Letters that every library lower-cases and composes alike, as a character class.
@@ -250,8 +248,6 @@ def pack(
     )
     histogram = {r["_length"]: r["count"] for r in sized.groupBy("_length").count().collect()}
     plan, _ = best_fit_plan(histogram, capacity)
-    if len(plan) > PLAN_ROWS:
-        raise ValueError(f"the plan has {len(plan)} rows; it is broadcast up to {PLAN_ROWS}")
 
     most = max(1, min(SALT_ROWS, sum(histogram.values()) // SALT_SHARE))
     parts = spark.createDataFrame(

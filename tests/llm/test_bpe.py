@@ -28,7 +28,7 @@ def plain():
 @pytest.fixture(scope="module")
 def codec():
     with open(PATH, "rb") as file:
-        return TreeCodec(file.read(), public_tokenizers.PATTERN)
+        return TreeCodec(file.read())
 
 
 @pytest.mark.parametrize("leaf", [1, 2, 3, 7, 16])

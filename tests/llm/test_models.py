@@ -1,8 +1,11 @@
 """The quality ranking and language identification."""
 
+import math
+import re
 import zlib
 
 import numpy as np
+import regex
 from pyspark.sql import functions as F
 
 from shardbrook.llm import langid, quality
@@ -118,3 +121,53 @@ def test_held_out_languages(spark):
         F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")
     )
     assert found.first().right >= 0.97
+
+
+def _features(text):
+    """The quality features by plain Python."""
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [line for line in text.split("\n") if line]
+
+    def share(part, whole):
+        return math.sqrt(min(part / max(1, whole), 1.0))
+
+    def count(pattern):
+        return len(regex.findall(pattern, text))
+
+    n, chars = len(words), len(text)
+    return [
+        share(count(r"[#*$%&|<>{}\[\]\\~^=_@]"), n),
+        share(count(r"[!?]"), n),
+        share(count(r"\p{Lu}"), chars),
+        share(count(r"[0-9]"), chars),
+        share(count(r"[\p{L}\x20\n.,]"), chars),
+        math.log(max(1, n) / max(1, len(set(words)))),
+        share(max(1, len(lines)) - len(set(lines)), len(lines)),
+        min(max(1, chars) / max(1, n), 30.0) / 10,
+        share(sum(not regex.search(r"[\p{L}\p{N}]", w) for w in words), n),
+    ]
+
+
+def test_quality_scores_against_plain_python(documents, spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    ranking = quality.learn(docs, labels)
+    assert len(ranking.weights) == len(_features(""))
+    some = [r.text for r in docs.collect()] + ODD + ["A B b B\nB\nB", "ÀÉ ß ﬁ İ 中文 😀 \x0b ¼ ² _ #"]
+    found = quality.score_documents(documents(some), ranking).collect()
+    assert len(found) == len(some)
+    for row in found:
+        strength = sum(w * f for w, f in zip(ranking.weights, _features(some[row.doc_id])))
+        z = (strength - ranking.threshold) / ranking.scale + math.log(0.7 / 0.3)
+        wanted = 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
+        assert abs(row.score - wanted) < 1e-9, some[row.doc_id][:80]
+
+
+def test_the_bounds_of_the_samples_are_parameters(documents, spark):
+    texts = [f"text number {i}" if i % 2 else "### $$$ ### und so weiter" for i in range(80)]
+    docs = documents([(i, t, "en" if i % 2 else "de", "s", 0) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    assert quality.learn(docs, labels, pairs=50) != quality.learn(docs, labels, pairs=5000)
+    short, long = langid.learn(docs, sample_chars=3), langid.learn(docs, sample_chars=300)
+    assert not np.array_equal(short.embedding, long.embedding)

@@ -130,3 +130,27 @@ def test_pieces_carry_their_ids(documents, encoder):
     rows = tokenise(documents(["one two"]), capacity=2).orderBy("piece").collect()
     ids = np.frombuffer(b"".join(bytes(r.ids) for r in rows), dtype="<u4").tolist()
     assert ids == encoder.exact.encode("one two", add_special_tokens=False).ids + [0]
+
+
+def test_registered_query_over_its_whole_table(spark, encoder):
+    """Every piece of every document, in as few sequences as best fit document by document."""
+    from shardbrook.llm.queries import LLM_QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = LLM_QUERIES["op3_best_fit_packing"](spark, sf_dir).collect()
+    found = defaultdict(list)
+    for row in rows:
+        found[row.doc_id].append(row)
+    assert set(found) == set(texts)
+    lengths = []
+    for key, text in texts.items():
+        ids = encoder.exact.encode(text or "", add_special_tokens=False).ids + [0]
+        cuts = [ids[at : at + 2048] for at in range(0, len(ids), 2048)]
+        mine = sorted(found[key], key=lambda r: r.piece)
+        assert [(r.piece, r.start, r.length) for r in mine] == [
+            (n, 2048 * n, len(cut)) for n, cut in enumerate(cuts)
+        ]
+        assert [r.ids_crc32 for r in mine] == [zlib.crc32(np.asarray(c, "<u4").tobytes()) for c in cuts]
+        lengths += map(len, cuts)
+    assert _check(rows, 2048) == _best_fit_decreasing(lengths, 2048)
