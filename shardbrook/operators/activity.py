@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shardbrook.functions.measures import micros_between, seconds
 from shardbrook.operators.counters import with_lag
 from shardbrook.schema import SHARD_KEYS
+from shardbrook.storage import store
 
 DEFAULT_LEASE_SECONDS = 30
 
@@ -90,7 +91,8 @@ def stalls(records: DataFrame, lease_seconds: int = DEFAULT_LEASE_SECONDS) -> Da
     ``stalled`` at the end of the lease, up to the newest record of the shard's stream;
     ``back`` at the first record after it.
     """
-    opened = activity_sessions(records, lease_seconds)
+    # A row per shard and stretch of activity, stored as it meets the tips of its streams.
+    opened = store(activity_sessions(records, lease_seconds), "sessions")
     by_time = Window.partitionBy(*SHARD_KEYS).orderBy("session_start")
     tips = opened.groupBy("stream").agg(F.max("session_end").alias("_tip"))
     ended = (
