@@ -30,6 +30,16 @@ def throughput_by_interval(records: DataFrame, interval: str = DEFAULT_INTERVAL)
     )
 
 
+def untimed_records(records: DataFrame) -> DataFrame:
+    """How many records of each shard have no time, beside all of them.
+
+    They count in totals and stand in no interval, session or stream.
+    """
+    return records.groupBy(*SHARD_KEYS).agg(
+        F.count_if(F.col("arrival_ts").isNull()).alias("n_untimed"), F.count("*").alias("n_records")
+    )
+
+
 def shard_metrics(
     records: DataFrame, samples: DataFrame, interval: str | None = DEFAULT_INTERVAL
 ) -> DataFrame:

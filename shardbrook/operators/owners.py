@@ -9,8 +9,6 @@ from shardbrook.operators.running import running_total
 from shardbrook.schema import SHARD_KEYS
 from shardbrook.storage import store
 
-PAGES_IN_GROUP = 64
-
 
 def _invalid() -> Column:
     return F.col("owner").isNull() | F.col("shard_id").isNull()
@@ -63,28 +61,36 @@ def active_owners(progress: DataFrame, strict: bool = False) -> DataFrame:
     return rows.join(rows.groupBy("owner").agg(F.count("*").alias("n_shards")), "owner")
 
 
+def _in_owner(rows: DataFrame, name: str) -> DataFrame:
+    """Number the shards of each owner from 1, in the order of a digest of their names.
+
+    The digest cuts an owner's shards into even stretches, however many there are.
+    """
+    digest = F.md5(F.concat_ws("/", *SHARD_KEYS).cast("binary"))
+    return running_total(
+        rows.withColumn("_digest", digest),
+        keys=["owner"],
+        order=["_digest", "shard_id"],
+        value=F.lit(1),
+        stretch=F.substring("_digest", 1, 2),
+        name=name,
+    ).drop("_digest", "_stretch")
+
+
 def owner_shard_lists(
     progress: DataFrame, page_size: int = 1000, strict: bool = False
 ) -> DataFrame:
-    """The shards of each owner as sorted lists of at most ``page_size``.
+    """The shards of each owner as lists of ``page_size``; the last one may be shorter.
 
-    So that one owner with most of the shards is neither one task nor one huge array,
-    its shards are first spread by the leading digits of a digest of the id: as many
-    digits as keep a group of the largest owner at about ``PAGES_IN_GROUP`` pages
-    (none where it has fewer).  All pages of an owner together are its whole list.
+    All pages of an owner together are its whole list; each is sorted.  Which shards
+    share a page follows from a digest of their names, so that one owner with
+    most of the shards is neither one task nor one huge array.
     """
-    owned = valid_rows(progress, strict).select("owner", "shard_id")
-    most = owned.groupBy("owner").count().agg(F.max("count")).scalar()
-    digits = F.greatest(F.ceil(F.ln(most / (PAGES_IN_GROUP * page_size)) / F.ln(F.lit(16.0))), F.lit(0))
-    rows = owned.withColumn(
-        "page_group",
-        F.substring(F.md5(F.col("shard_id").cast("binary")), F.lit(1), digits.cast("int")),
-    )
-    nth = F.row_number().over(Window.partitionBy("owner", "page_group").orderBy("shard_id"))
-    page = F.floor((nth - 1) / F.lit(page_size)).cast("bigint")
+    owned = valid_rows(progress, strict).select("owner", *SHARD_KEYS)
+    page = F.floor((F.col("_nth") - 1) / F.lit(page_size)).cast("bigint")
     return (
-        rows.withColumn("page", page)
-        .groupBy("owner", "page_group", "page")
+        _in_owner(owned, "_nth")
+        .groupBy("owner", page.alias("page"))
         .agg(
             F.sort_array(F.collect_list("shard_id")).alias("shards"),
             F.count("*").alias("n_shards"),
@@ -160,15 +166,7 @@ def rebalance_plan(
         "shares",
     )
     giving = rows.join(ranked.filter("_gives > 0").select("owner", "_gives", "_given"), "owner")
-    digest = F.md5(F.concat_ws("/", *SHARD_KEYS).cast("binary"))
-    given = running_total(
-        giving.withColumn("_digest", digest),
-        keys=["owner"],
-        order=["_digest", "shard_id"],
-        value=F.lit(1),
-        stretch=F.substring("_digest", 1, 2),
-        name="_nth",
-    ).filter("_nth <= _gives")
+    given = _in_owner(giving, "_nth").filter("_nth <= _gives")
     places = ranked.filter("_takes > 0").select(
         F.col("owner").alias("new_owner"),
         F.explode(F.sequence(F.col("_taken") + 1, F.col("_taken") + F.col("_takes"))).alias("_place"),

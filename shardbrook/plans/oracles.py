@@ -333,6 +333,9 @@ _BODIES = {
         FROM l WHERE delta <> 0""",
     "event_counter": """
         SELECT shard_id, worker, CAST(sum(renewal) AS BIGINT) AS n_events FROM l GROUP BY 1, 2""",
+    "untimed_records": """
+        SELECT stream, shard_id, count(*) FILTER (WHERE user_id % 50 = 0) AS n_untimed,
+               count(*) AS n_records FROM r GROUP BY 1, 2""",
     "metrics_windowed": """
         SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start,
                time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS window_end,
@@ -375,15 +378,10 @@ _BODIES = {
         FROM ({_OWNED})""",
     "owner_shard_lists": f"""
         , owned AS ({_OWNED}),
-        most AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM owned GROUP BY owner)),
-        grouped AS (
-          SELECT owner, shard_id, substr(md5(shard_id), 1, CAST(greatest(0, ceil(
-                   ln(n / (64.0 * 5)) / ln(16))) AS INTEGER)) AS page_group FROM owned, most),
-        numbered AS (
-          SELECT *, (row_number() OVER (PARTITION BY owner, page_group ORDER BY shard_id) - 1)
-                    // 5 AS page FROM grouped)
-        SELECT owner, page_group, page, string_agg(shard_id, ',' ORDER BY shard_id) AS shards,
-               count(*) AS n_shards FROM numbered GROUP BY 1, 2, 3""",
+        numbered AS (SELECT *, (row_number() OVER (PARTITION BY owner
+                                  ORDER BY md5('events/' || shard_id), shard_id) - 1) // 5 AS page FROM owned)
+        SELECT owner, page, string_agg(shard_id, ',' ORDER BY shard_id) AS shards,
+               count(*) AS n_shards FROM numbered GROUP BY 1, 2""",
     "invalid_progress": """
         SELECT count(*) FILTER (WHERE owner IS NULL OR shard_id IS NULL) AS n_invalid,
                count(*) AS n_rows FROM p WHERE NOT closed""",

@@ -291,6 +291,14 @@ def metrics_windowed(spark, sf_dir):
     return intervals.throughput_by_interval(log.records(spark, sf_dir))
 
 
+def untimed_records(spark, sf_dir):
+    """A log in which every fiftieth user's records have lost their time."""
+    recs = log.records(spark, sf_dir)
+    lost = F.col("partition_key").cast("bigint") % 50 == 0
+    timed = recs.withColumn("arrival_ts", F.when(~lost, F.col("arrival_ts")))
+    return intervals.untimed_records(timed)
+
+
 def metrics_hourly(spark, sf_dir):
     return intervals.throughput_by_interval(log.records(spark, sf_dir), HOUR)
 
@@ -804,6 +812,7 @@ QUERIES: dict[str, Query] = {
         running_gauge,
         shard_positions,
         event_counter,
+        untimed_records,
         metrics_windowed,
         metrics_hourly,
         leases_windowed,
