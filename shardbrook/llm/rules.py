@@ -49,8 +49,9 @@ def _windows(n: Column, hashes: Column, size: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _measured(df: DataFrame) -> DataFrame:
-    """Adds the base counts."""
+def _measured(df: DataFrame, searched: Column | None = None) -> DataFrame:
+    """Adds the base counts; repeated windows are looked for where ``searched`` says so."""
+    n = F.col("_n") if searched is None else F.when(searched, F.col("_n")).otherwise(0)
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     repeated = F.size(F.array_distinct("_grams")) < F.size("_grams")
     # Windows sorted by hash: equal ones stand next to each other.
@@ -91,7 +92,7 @@ def _measured(df: DataFrame) -> DataFrame:
         ),
     )
     return (
-        df.withColumn("_grams", _windows(F.col("_n"), F.col("_hash"), WINDOW))
+        df.withColumn("_grams", _windows(n, F.col("_hash"), WINDOW))
         .withColumn("_sorted", by_hash)
         .withColumn("_places", places)
         .select(
@@ -121,8 +122,7 @@ def log_ratios(hashed: DataFrame, trusted: Column, buckets: int) -> DataFrame:
     Counts of both multinomials are smoothed by one half.
     """
     counts = (
-        hashed.withColumn("_pairs", _windows(F.col("_n"), F.col("_hash"), 2))
-        .select(
+        hashed.select(
             F.coalesce(trusted, F.lit(False)).cast("long").alias("t"),
             F.concat("_hash", "_pairs").alias("g"),
         )
@@ -151,6 +151,18 @@ def log_ratios(hashed: DataFrame, trusted: Column, buckets: int) -> DataFrame:
     )
 
 
+def _may_repeat() -> Column:
+    """False where too few pairs of words come again for the base rules to fail.
+
+    Every pair inside a window that comes again comes again too.  Such windows cover runs of
+    at least ``WINDOW - 1`` pairs that are found twice or more, so at most ``WINDOW / (WINDOW
+    - 1)`` words for each of those pairs; and at least half of them are not the first of
+    their kind.
+    """
+    again = F.size("_pairs") - F.size(F.array_distinct("_pairs"))
+    return 100 * 2 * WINDOW * again > MAX_REPEAT_PERCENT * (WINDOW - 1) * F.col("_n")
+
+
 def default_trust() -> Column:
     """Texts that pass the base rules, with hardly a symbol and mostly distinct pairs of words."""
     return (
@@ -187,7 +199,12 @@ def judge(
     own = list(keep)
     hashed = _hashes(docs, id_col, text_col, own)
     measured = _measured(hashed)
-    model = log_ratios(measured, default_trust() if trusted is None else trusted, buckets)
+    paired = hashed.withColumn("_pairs", _windows(F.col("_n"), F.col("_hash"), 2))
+    if trusted is None:
+        # Only whether the base rules fail is asked here.
+        model = log_ratios(_measured(paired, _may_repeat()), default_trust(), buckets)
+    else:
+        model = log_ratios(_measured(paired), trusted, buckets)
     # One number per bucket, in thousandths; folded to a constant array by the planner.
     listed = model.select(
         F.to_json(F.transform("ratios", lambda r: F.round(r * 1000).cast("int"))).alias("r")

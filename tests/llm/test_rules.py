@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -112,3 +113,22 @@ def test_clean_text_stays_and_junk_goes(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for row in rows.collect():
         assert tuple(row[c] for c in NAMES) == _base(texts[row.doc_id])
+
+
+def test_few_repeated_pairs_can_not_fail_the_base_rules(documents):
+    """Texts on both sides of the limit: where repeats are not looked for there are too few."""
+    rng = random.Random(9)
+    texts = []
+    for _ in range(400):
+        words = [f"w{rng.randrange(rng.choice([20, 300, 5000]))}" for _ in range(rng.randint(10, 120))]
+        for _ in range(rng.randint(0, 3)):
+            at, size = rng.randrange(len(words)), rng.randint(5, 12)
+            words[rng.randrange(len(words)) : 0] = words[at : at + size]
+        texts.append(" ".join(words))
+    hashed = rules._hashes(documents(texts), "doc_id", "text", [])
+    paired = hashed.withColumn("_pairs", rules._windows(F.col("_n"), F.col("_hash"), 2))
+    whole = {r._id: r.base_failed for r in rules._measured(paired).select("_id", "base_failed").collect()}
+    some = rules._measured(paired, rules._may_repeat()).select("_id", "base_failed", rules._may_repeat().alias("searched"))
+    found = some.collect()
+    assert {r._id: r.base_failed for r in found} == whole
+    assert {True, False} == set(whole.values()) and any(not r.searched for r in found)
