@@ -90,6 +90,16 @@ def _who(writer: str | None) -> str:
     return "anyone" if writer is None else hashlib.md5(writer.encode()).hexdigest()
 
 
+def _place(path: str, kind: str, writer: str | None) -> str:
+    return f"{path.rstrip('/')}/{kind}/who={_who(writer)}"
+
+
+def _numbers(spark: SparkSession, path: str, kind: str, writer: str | None) -> list[int]:
+    """Numbers of a writer's folders, whether or not they are finished."""
+    names = folders(spark, _place(path, kind, writer))
+    return [int(n.removeprefix("upto=")) for n in names if n.startswith("upto=")]
+
+
 def _folders(spark: SparkSession, path: str, kind: str) -> DataFrame:
     placed = T.StructType([*UPDATE.fields, *_PLACE])
     found = read_if_present(spark, f"{path.rstrip('/')}/{kind}", placed)
@@ -133,13 +143,14 @@ def add_updates(
     is a replay and is left as it is.  After every ``fold_every`` numbers the
     writer's updates are folded.
     """
-    spark, place = updates.sparkSession, path.rstrip("/")
-    folder = f"{place}/updates/who={_who(writer)}/upto={number}"
+    spark = updates.sparkSession
+    # Folding begins after its last number was added, so a folder's name is enough here.
+    if number <= max(_numbers(spark, path, "folded", writer), default=-1):
+        return
+    folder = f"{_place(path, 'updates', writer)}/upto={number}"
     there = read_if_present(spark, folder, UPDATE)
     if there is not None and not there.isEmpty():
         return
-    if number <= _last_number(spark, path, "folded", writer):
-        return
     closed = F.coalesce("closed", F.lit(False)) if "closed" in updates.columns else F.lit(False)
     named = updates.select(*SHARD_KEYS, "sequence_id", closed.alias("closed"))
     furthest = F.max_by(F.struct("sequence_id", "closed"), seq_key("sequence_id"))
@@ -283,9 +294,10 @@ def fold_updates(
     newest = counted.groupBy(*SHARD_KEYS).agg(
         F.max_by(F.struct(*UPDATE.fieldNames()), F.struct("number", "written_at")).alias("u")
     )
-    folder = f"{path.rstrip('/')}/folded/who={_who(writer)}/upto={upto}"
     rows = newest.select("u.*").unionByName(updates.filter(same & ~old))
-    rows.coalesce(1).write.mode("errorifexists").parquet(folder)
+    # What may be there already is the rest of a write that was cut short.
+    folder = f"{_place(path, 'folded', writer)}/upto={upto}"
+    rows.write.mode("overwrite").parquet(folder)
 
 
 def prune(spark: SparkSession, path: str, writer: str | None) -> int:
@@ -295,9 +307,8 @@ def prune(spark: SparkSession, path: str, writer: str | None) -> int:
     """
     newest, removed = _last_number(spark, path, "folded", writer), 0
     for kind, past in (("updates", newest), ("folded", newest - 1)):
-        place = f"{path.rstrip('/')}/{kind}/who={_who(writer)}"
-        for name in folders(spark, place):
-            if int(name.removeprefix("upto=")) <= past:
-                remove(spark, f"{place}/{name}")
+        for number in _numbers(spark, path, kind, writer):
+            if number <= past:
+                remove(spark, f"{_place(path, kind, writer)}/upto={number}")
                 removed += 1
     return removed
