@@ -108,7 +108,10 @@ def _folders(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def read_updates(spark: SparkSession, path: str) -> DataFrame:
     """All updates that still count: each writer's newest folded ones and those after them."""
-    folded, single = _folders(spark, path, "folded"), _folders(spark, path, "updates")
+    single = _folders(spark, path, "updates")
+    if "folded" not in folders(spark, path):
+        return single.select(*UPDATE.fieldNames())
+    folded = _folders(spark, path, "folded")
     newest = folded.groupBy("who").agg(F.max("upto").alias("_folded"))
     return (
         folded.join(newest, "who").filter("upto = _folded").select(*UPDATE.fieldNames())
@@ -127,7 +130,8 @@ def _last_number(spark: SparkSession, path: str, kind: str, writer: str | None)
 
 def next_number(spark: SparkSession, path: str, writer: str | None) -> int:
     """The number after a writer's last one."""
-    return 1 + max(_last_number(spark, path, kind, writer) for kind in ("updates", "folded"))
+    kinds = [k for k in ("updates", "folded") if _numbers(spark, path, k, writer)]
+    return 1 + max((_last_number(spark, path, kind, writer) for kind in kinds), default=-1)
 
 
 def add_updates(
@@ -269,7 +273,10 @@ def read_base(spark: SparkSession, path: str) -> DataFrame:
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """The table as it is now; no rows before anything was written."""
-    return fold(read_base(spark, path), read_updates(spark, path), read_owners(spark, path))
+    base = read_base(spark, path)
+    if not {"updates", "folded", "owners"} & set(folders(spark, path)):
+        return base
+    return fold(base, read_updates(spark, path), read_owners(spark, path))
 
 
 def fold_updates(
