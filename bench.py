@@ -38,6 +38,10 @@ HEADLINE = [
     "stats_with_empty",
     "stream_deduplicated",
     "handoff_resumed",
+    "lag_gauge",
+    "rebalance_plan",
+    "shard_generations",
+    "stream_leases",
 ]
 
 
