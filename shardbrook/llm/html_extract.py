@@ -17,6 +17,7 @@ import html
 import math
 import re
 from collections import deque
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -266,21 +267,25 @@ def text_features(block: Block) -> list[float]:
     ]
 
 
-def train_text_weights(pages: list[str], prior: float = PRIOR) -> list[float]:
-    """Weights of text features, given blocks whose structure leaves no doubt.
+def examples_of(page: str) -> Iterator[tuple[list[float], float]]:
+    """Text features and a mark for blocks whose structure leaves no doubt."""
+    for block in blocks_of(page):
+        s = block.structure
+        poor = "boiler_tag" in s or "boiler_name" in s or "hidden" in s
+        if poor or "content_tag" in s:
+            yield text_features(block), 0.0 if poor else 1.0
+
+
+def train_text_weights(
+    examples: list[tuple[list[float], float]], prior: float = PRIOR
+) -> list[float]:
+    """Weights of text features from ``examples_of`` pages.
 
     Logistic regression by Newton steps; a Gaussian prior holds the weights near their
     centre, and good and poor examples count as much in total.
     """
     centre = np.array(list(TEXT.values()))
-    rows, marks = [], []
-    for page in pages:
-        for block in blocks_of(page):
-            s = block.structure
-            poor = "boiler_tag" in s or "boiler_name" in s or "hidden" in s
-            if poor or "content_tag" in s:
-                rows.append(text_features(block))
-                marks.append(0.0 if poor else 1.0)
+    rows, marks = [f for f, _ in examples], [m for _, m in examples]
     if not rows or min(marks) == max(marks):
         return centre.tolist()
     x, y = np.array(rows), np.array(marks)
@@ -404,8 +409,9 @@ def learn(
 ) -> list[float]:
     """Text weights from at most ``sample`` pages: those with the smallest id hashes.
 
-    Pages are first thinned out to about twice as many, so that what is sorted and sent
-    to the driver does not grow with the number of tasks.
+    Pages are first thinned out to about twice as many, so that what is sorted does not grow
+    with the number of tasks.  Examples are drawn from them on the executors; the
+    driver gets a few numbers for each block and no page.
     """
     share = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1_000_000_000)) / 1e9
     chosen = (
@@ -413,9 +419,24 @@ def learn(
         .where(share < 2 * sample / max(1, pages.count()))
         .orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_html"))
         .limit(sample)
-        .collect()
+        .select("_html")
+    )
+
+    def setup():
+        def apply(columns):
+            for (page,) in zip(*columns):
+                for features, mark in examples_of(page):
+                    yield (features, mark), 128
+
+        return apply
+
+    schema = T.StructType(
+        [
+            T.StructField("features", T.ArrayType(T.DoubleType())),
+            T.StructField("mark", T.DoubleType()),
+        ]
     )
-    return train_text_weights([r["_html"] for r in chosen])
+    return train_text_weights([tuple(r) for r in map_rows(chosen, setup, schema).collect()])
 
 
 def extract(
