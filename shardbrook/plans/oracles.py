@@ -467,6 +467,7 @@ _BODIES = {
         FROM r GROUP BY 1, 2""",
     "stream_sessions": _SESSIONS + "SELECT * FROM sessions",
     "stream_deduplicated": _RECORDS + "r",
+    "handoff_stopped": _RECORDS + "r",
     "handoff_from_latest": """
         SELECT r.shard_id, seq AS sequence_number FROM r LEFT JOIN (
           SELECT shard_id, max(seq) AS tip FROM r

@@ -513,6 +513,25 @@ def handoff_batch(spark, sf_dir):
     return spark.read.parquet(f"{place}/out").drop("batch")
 
 
+def handoff_stopped(spark, sf_dir):
+    """What a hand-off without an end has delivered when it is stopped after a batch."""
+    place = shared_dir(spark, "handoff")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _payload_as_text(batch).write.mode("overwrite").parquet(f"{place}/out/batch={batch_id}")
+
+    query = handoff.start_handoff(
+        log.records_of(log.events_stream(spark, sf_dir, FILES_PER_BATCH)),
+        write,
+        checkpoint=f"{place}/checkpoint",
+        progress_path=f"{place}/progress",
+        processingTime="0 seconds",
+    )
+    runner.after_batch(query)
+    runner.stop(query)
+    return spark.read.parquet(f"{place}/out").drop("batch")
+
+
 def handoff_resumed(spark, sf_dir):
     """A new stream over a stored progress table: only what comes after it."""
     place = shared_dir(spark, "handoff")
@@ -834,6 +853,7 @@ QUERIES: dict[str, Query] = {
         activity_sessions,
         handoff_batch,
         handoff_progress,
+        handoff_stopped,
         handoff_resumed,
         handoff_from_latest,
         progress_handed_over,

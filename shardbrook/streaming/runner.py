@@ -22,6 +22,14 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def after_batch(query: StreamingQuery) -> None:
+    """Wait until a query has finished a batch; its failure is raised here."""
+    while query.isActive and query.lastProgress is None:
+        time.sleep(0.05)
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def stop(query: StreamingQuery) -> None:
     """Let the batch in progress finish, then stop, whether or not data keeps coming."""
     before = query.lastProgress

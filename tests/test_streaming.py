@@ -410,3 +410,16 @@ def test_stop_ends_while_data_keeps_coming(spark, make, consumer):
     stored = int(consumer.stored()[0][1])
     assert stored <= out.select(done).first()[0]
     assert rows(duplicate_deliveries(out)) == [] or len(begun) > len(set(begun))
+
+
+def test_a_failed_query_is_told_while_waiting_for_a_batch(make, consumer):
+    consumer.push(make.records([("a", "1", 1, b"")]))
+
+    def fail(batch, batch_id):
+        raise ValueError("no")
+
+    query = handoff.start_handoff(
+        stream_log(consumer.spark, consumer.log), fail, checkpoint=f"{consumer.root}/checkpoint"
+    )
+    with pytest.raises(Exception, match="no"):
+        runner.after_batch(query)
