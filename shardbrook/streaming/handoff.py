@@ -113,7 +113,9 @@ def start_handoff(
             )
 
     writer_of = records.writeStream.foreachBatch(run)
-    return start(writer_of.queryName(times.name) if times else writer_of, checkpoint, **trigger)
+    if times:
+        writer_of = writer_of.queryName(times.name)
+    return start(writer_of, checkpoint, spark, **trigger)
 
 
 def commit_progress(

@@ -6,7 +6,8 @@ to keyed state that survives the interval.  Timers run on event time: the waterm
 moved on by other shards, makes a silent shard speak.
 
 State is a few numbers for each key.  It is kept by Spark's checkpoint; a restarted
-query goes on where it was.  Needs the RocksDB state store (``session.SETTINGS``).
+query goes on where it was.  Needs the RocksDB state store, which ``runner`` starts queries with
+where the session names no other.
 
 Processors are local classes, so that they travel to the executors by value.
 """

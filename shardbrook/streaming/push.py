@@ -109,7 +109,7 @@ def start_push(
     def run(batch: DataFrame, batch_id: int) -> None:
         push_interval(batch, push, path, batch_id)
 
-    return start(long.writeStream.foreachBatch(run), checkpoint, **trigger)
+    return start(long.writeStream.foreachBatch(run), checkpoint, long.sparkSession, **trigger)
 
 
 def pushed_rows(spark, path: str) -> DataFrame:

@@ -3,17 +3,44 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from shardbrook.session import SETTINGS
 
-def start(writer: DataStreamWriter, checkpoint: str, **trigger) -> StreamingQuery:
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def _state_store(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB for a query that is started inside, unless the session names a store.
+
+    Spark's default store has no keyed state with timers.  A query keeps the settings it
+    was started with, so the session's are as before afterwards.
+    """
+    if spark.conf.get(_PROVIDER, ""):
+        yield
+        return
+    spark.conf.set(_PROVIDER, SETTINGS[_PROVIDER])
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER)
+
+
+def start(
+    writer: DataStreamWriter, checkpoint: str, spark: SparkSession | None = None, **trigger
+) -> StreamingQuery:
     """Start a query; without a trigger it reads what is there and ends."""
     trigger = trigger or {"availableNow": True}
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    with _state_store(spark or SparkSession.active()):
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def run_to_end(query: StreamingQuery) -> StreamingQuery:
@@ -46,7 +73,7 @@ def append_to_table(
 ) -> StreamingQuery:
     """Append a stream's final rows to Parquet, each exactly once."""
     writer = result.writeStream.outputMode("append").format("parquet").option("path", path)
-    return start(writer, checkpoint, **trigger)
+    return start(writer, checkpoint, result.sparkSession, **trigger)
 
 
 def keep_newest(
@@ -61,9 +88,8 @@ def keep_newest(
         rows = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
         rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/turn={batch_id % 2}")
 
-    return start(
-        result.writeStream.outputMode("complete").foreachBatch(replace), checkpoint, **trigger
-    )
+    writer = result.writeStream.outputMode("complete").foreachBatch(replace)
+    return start(writer, checkpoint, result.sparkSession, **trigger)
 
 
 def read_newest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -145,3 +145,18 @@ def test_long_table_over_several_batches(spark, tmp_path):
     whole = publish.flat_metrics(publish.metrics_long(per_shard, held, "window_end"))
     assert rows(live.out()) == rows(live.passed(whole, "ts"), *live.columns)
     assert live.out().count() > 100
+
+
+def test_a_session_that_names_no_state_store(spark, tmp_path):
+    """The store is chosen as the query starts; the session is as before afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        live = Live(spark, str(tmp_path), LEASES, lambda s: metrics.stream_leases(s, "10 seconds", "5 seconds"))
+        live.push([("s", "a", "w", at(1), "gained"), ("s", "a", "w", at(40), "lost")])
+        assert spark.conf.get(name, "") == ""
+        found = live.push([("s", "a", "w", at(90), "gained")])
+        assert rows(found, "leases_held") == [(0,), (1,)]
+    finally:
+        spark.conf.set(name, before)
