@@ -156,3 +156,17 @@ def test_query_against_sql(spark, duck):
     names = [c[0] for c in wanted.description]
     found = LLM_QUERIES["op2_license_scan"](spark, sf_dir).select(*names).collect()
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, wanted.fetchall()))
+
+
+def test_only_a_to_z_are_lowered_in_any_language(documents, spark):
+    texts = ["Ünder THE MIT LICENSE", "é Apache License, VERSION 2", "This worK is licensed under a licenſe"]
+    locales = spark.sparkContext._jvm.java.util.Locale
+    was = locales.getDefault()
+    try:
+        locales.setDefault(locales.forLanguageTag("tr-TR"))
+        rows = licenses.scan(documents(texts), templates=[("x", "this work is licensed")]).collect()
+    finally:
+        locales.setDefault(was)
+    assert {r.doc_id: tuple(r[1:6]) for r in rows} == {i: _base(t) for i, t in enumerate(texts)}
+    # A Kelvin sign is no k.
+    assert {r.labels for r in rows if r.doc_id == 2} == {""}
