@@ -171,3 +171,53 @@ def test_the_bounds_of_the_samples_are_parameters(documents, spark):
     assert quality.learn(docs, labels, pairs=50) != quality.learn(docs, labels, pairs=5000)
     short, long = langid.learn(docs, sample_chars=3), langid.learn(docs, sample_chars=300)
     assert not np.array_equal(short.embedding, long.embedding)
+
+
+def _quality_rows():
+    """Texts of two kinds whose features overlap, with their labels."""
+    rng = np.random.default_rng(3)
+    texts, labels = [], []
+    for i in range(400):
+        label = int(rng.random() < 0.7)
+        words = [f"w{rng.integers(60)}" if rng.random() < 0.4 else "Word"[: rng.integers(1, 5)] for _ in range(40)]
+        words += ["#!"] * int(rng.integers(0, 6 if label else 12))
+        texts.append(" ".join(words))
+        labels.append(label)
+    return texts, labels
+
+
+def test_all_pairs_of_all_labelled_documents_count(documents, spark):
+    texts, labels = _quality_rows()
+    told = spark.createDataFrame([(i, y, 0) for i, y in enumerate(labels)], "doc_id long, quality int, toxic int")
+    docs = documents(list(enumerate(texts)))
+    ranking = quality.learn(docs, told)
+    f = np.array([_features(t) for i, t in enumerate(texts) if not _held_out(i)])
+    y = np.array([label for i, label in enumerate(labels) if not _held_out(i)])
+    spread = f.std(axis=0)
+    spread[spread < 1e-9] = 1.0
+    d = ((f[y == 1][:, None] - f[y == 0][None]) / spread).reshape(-1, f.shape[1])
+    w = np.zeros(f.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(d @ w)))
+        slope = ((1 - p)[:, None] * d).mean(axis=0) - 1e-3 * w
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(len(w)), slope)
+    assert np.abs(np.array(ranking.weights) * spread - w).max() < 2e-3
+    strength = f @ np.array(ranking.weights)
+    in_order, n_poor = np.sort(strength), int((y == 0).sum())
+    assert abs(ranking.threshold - in_order[n_poor - 1 : n_poor + 1].mean()) < 1e-9
+    assert abs(ranking.scale - np.median(np.abs(strength - ranking.threshold)) / 3) < 1e-9
+    local = quality.fit_pairs(f[y == 1], f[y == 0], n_poor / len(y))
+    assert np.allclose(local.weights, ranking.weights, atol=1e-3)
+    assert abs(local.threshold - ranking.threshold) < 1e-2
+    # The order and the partitions of the rows are of no account; a repeated row counts once.
+    shuffled = docs.union(docs.limit(50)).orderBy(F.rand(1)).repartition(7)
+    assert quality.learn(shuffled, told.repartition(3)) == ranking
+
+
+def test_values_at_ranks(spark):
+    rng = np.random.default_rng(2)
+    for values in ([1.5], [2.0] * 9, [*rng.normal(size=3000), *[0.25] * 500, 1e9, -1e9], [0.0, 5e-324]):
+        frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+        ordered = [*sorted(map(float, values)), max(map(float, values))]
+        for rank in {0, len(values) // 2, len(values) - 1}:
+            assert quality._at_rank(frame, rank) == (ordered[rank], ordered[rank + 1])
