@@ -14,6 +14,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from shardbrook.schema import SHARD_KEYS
 from shardbrook.streaming.handoff import ShardProcessor
 
+# Bytes of waiting records that are one entry of the state.
+CHUNK_BYTES = 4 << 20
+
 
 def handoff_live(
     records: DataFrame,
@@ -37,7 +40,9 @@ def handoff_live(
     after it ``shutdown`` is called, once, and only the fact that the shard has ended is kept.
 
     A shard is one task at a time, as order in it demands; its state holds the records of
-    ``delay``.  Where order within stretches is enough, ``handoff_ordered`` spreads a hot shard.
+    ``delay``, in chunks of ``CHUNK_BYTES``.  New records are added to it; it is read when some are
+    ready, so a batch in which none is costs no more than its own records.  Where order within
+    stretches is enough, ``handoff_ordered`` spreads a hot shard.
     """
     wanted = list(columns)
     key = records.select("seq_key", "arrival_ts", *wanted)
@@ -48,8 +53,10 @@ def handoff_live(
     class Ordered(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.waiting = handle.getListState("waiting", kept)
-            self.timer = handle.getValueState("timer", "at bigint")
+            # A record by itself would be a call and a row of the state; a chunk is pickled rows.
+            self.waiting = handle.getMapState("waiting", "chunk bigint", "rows binary")
+            # The first moment when a record is ready, and how many chunks there are.
+            self.timer = handle.getValueState("timer", "at bigint, chunks bigint")
             # The last key, how many were handed over, and what the processor remembers.
             self.shard = handle.getValueState(
                 "shard", "last string, position bigint, memory binary, ended boolean"
@@ -84,32 +91,57 @@ def handoff_live(
                 memory = pickle.dumps(vars(processor))
                 self.shard.update((last, position + len(rows), memory, False))
 
-        def release(self, key, rows: pd.DataFrame, watermark: int) -> Iterator[pd.DataFrame]:
+        def keep(self, rows: pd.DataFrame, chunks: int) -> int:
+            """Add rows to those that wait; how many chunks there are then."""
+            size = rows.memory_usage(index=False, deep=True).sum()
+            step = max(1, len(rows) * CHUNK_BYTES // max(1, size))
+            for begin in range(0, len(rows), step):
+                part = rows.iloc[begin : begin + step]
+                self.waiting.updateValue((chunks,), (pickle.dumps(part),))
+                chunks += 1
+            return chunks
+
+        def wait(self, at: int | None, chunks: int) -> None:
+            """Set the timer for the first record that is ready."""
+            was = self.timer.get()[0] if self.timer.exists() else None
+            self.timer.update((at, chunks))
+            if was == at:
+                return
+            if was is not None:
+                self.handle.deleteTimer(was)
+            if at is not None:
+                self.handle.registerTimer(at)
+
+        def release(self, key, chunks: int, watermark: int) -> Iterator[pd.DataFrame]:
             """Hand over what the watermark has passed; the rest waits for the next timer."""
+            stored = (pickle.loads(self.waiting.getValue((i,))[0]) for i in range(chunks))
+            rows = pd.concat(stored, ignore_index=True)
             ready = rows["ready_ms"] <= watermark
             rest = rows[~ready]
             if ready.any():
                 yield from self.hand_over(key, rows[ready])
-            if self.timer.exists():
-                self.handle.deleteTimer(self.timer.get()[0])
-                self.timer.clear()
-            if len(rest):
-                self.waiting.put([tuple(r) for r in rest[names].itertuples(index=False)])
-                self.timer.update((int(rest["ready_ms"].min()),))
-                self.handle.registerTimer(self.timer.get()[0])
-            else:
-                self.waiting.clear()
-
-        def stored(self) -> pd.DataFrame:
-            return pd.DataFrame(list(self.waiting.get()), columns=names)
+            self.waiting.clear()
+            first = rest["ready_ms"].min()
+            self.wait(None if pd.isna(first) else int(first), self.keep(rest, 0))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             # The watermark is that of the batches before; none is ready sooner than it.
-            come = pd.concat([self.stored(), *(r[names] for r in rows)], ignore_index=True)
-            yield from self.release(key, come, timerValues.getCurrentWatermarkInMs())
+            at, chunks = self.timer.get() if self.timer.exists() else (None, 0)
+            for come in rows:
+                chunks = self.keep(come[names], chunks)
+                first = come["ready_ms"].min()
+                if not pd.isna(first) and (at is None or first < at):
+                    at = int(first)
+            watermark = timerValues.getCurrentWatermarkInMs()
+            if at is not None and at <= watermark:
+                yield from self.release(key, chunks, watermark)
+            else:
+                self.wait(at, chunks)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            yield from self.release(key, self.stored(), timerValues.getCurrentWatermarkInMs())
+            chunks = self.timer.get()[1] if self.timer.exists() else 0
+            if chunks:
+                yield from self.release(key, chunks, timerValues.getCurrentWatermarkInMs())
 
         def close(self) -> None:
             pass
