@@ -423,3 +423,30 @@ def test_a_failed_query_is_told_while_waiting_for_a_batch(make, consumer):
     )
     with pytest.raises(Exception, match="no"):
         runner.after_batch(query)
+
+
+def test_ordered_hand_off_sorts_the_records_once_in_short_stretches(make, capsys):
+    class Starts:
+        def init(self, shard_id):
+            self.starts = getattr(self, "starts", 0) + 1
+
+        def process(self, batch):
+            return pd.DataFrame({"position": batch["position"], "starts": self.starts})
+
+        def shutdown(self):
+            pass
+
+    recs = make.records([("a", str(10_000 + i), i, b"x") for i in range(300)])
+    result = handoff.handoff_ordered(
+        recs, Starts, "position bigint, starts bigint", columns=["position"], target_records=50
+    )
+    result.explain()
+    plan = capsys.readouterr().out
+    assert sum("Sort [" in line and "seq_key" in line for line in plan.splitlines()) == 1
+    found = result.collect()
+    assert sorted(r.position for r in found) == list(range(1, 301))
+    assert max(r.starts for r in found) > 1
+    spread = handoff.handoff_ordered(
+        recs, Starts, "position bigint, starts bigint", columns=["position"], target_records=50, partitions=3
+    ).collect()
+    assert sorted(r.position for r in spread) == list(range(1, 301))
